@@ -13,6 +13,18 @@ def _col(x):
     return x if isinstance(x, Column) else F.col(x)
 
 
+def to_numeric_sql(x):
+    """SQL text of `to_numeric` for the SQL expression `x`."""
+    noise = NUMERIC_NOISE.replace("\\", "\\\\")
+    return f"try_cast(regexp_replace({x}, '{noise}', '') AS DOUBLE)"
+
+
+def encode_risk_sql(x):
+    """SQL text of `encode_risk` for the SQL expression `x`."""
+    pairs = ", ".join(f"'{k}', {v}" for k, v in RISK_CODES.items())
+    return f"coalesce(try_element_at(map({pairs}), upper({x})), 0)"
+
+
 def to_numeric(x) -> Column:
     """Text to double; null when what is left after cleaning is no number."""
     return F.regexp_replace(_col(x), NUMERIC_NOISE, "").try_cast("double")
@@ -98,13 +110,6 @@ def unescape(x) -> Column:
 
 def register_sql(spark):
     """Offer `encode_risk` and `to_numeric` to SQL, without a Python worker."""
-    pairs = ", ".join(f"'{k}', {v}" for k, v in RISK_CODES.items())
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION encode_risk(x STRING) RETURNS INT "
-        f"RETURN coalesce(try_element_at(map({pairs}), upper(x)), 0)"
-    )
-    noise = NUMERIC_NOISE.replace("\\", "\\\\")
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION to_numeric(x STRING) RETURNS DOUBLE "
-        f"RETURN try_cast(regexp_replace(x, '{noise}', '') AS DOUBLE)"
-    )
+    create = "CREATE OR REPLACE TEMPORARY FUNCTION"
+    spark.sql(f"{create} encode_risk(x STRING) RETURNS INT RETURN {encode_risk_sql('x')}")
+    spark.sql(f"{create} to_numeric(x STRING) RETURNS DOUBLE RETURN {to_numeric_sql('x')}")

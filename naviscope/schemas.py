@@ -101,14 +101,6 @@ CELL = T.StructType(
         T.StructField("href", T.StringType()),
     ]
 )
-ROW_SCHEMA = T.StructType(
-    [
-        T.StructField("page_id", T.LongType()),
-        T.StructField("row_no", T.IntegerType()),
-        T.StructField("n_rows", T.IntegerType()),
-        T.StructField("cells", T.ArrayType(CELL)),
-    ]
-)
 
 
 def measure_columns(horizons=HORIZONS):
