@@ -62,10 +62,11 @@ def feature_means(rows, train_only=False):
 def impute_means(rows, train_only=False):
     """Missing features replaced by their horizon's mean, 0 where there is none."""
     means = feature_means(rows, train_only)
-    means = means.select("horizon", *[F.col(f).alias(f"mean_{f}") for f in FEATURES])
+    means = means.selectExpr("horizon", *[f"{f} AS mean_{f}" for f in FEATURES])
     rest = [c for c in rows.columns if c not in FEATURES]
     filled = [f"coalesce({f}, mean_{f}, 0D) AS {f}" for f in FEATURES]
-    return rows.join(means, "horizon").selectExpr(*rest, *filled)
+    # One row per horizon, and the horizons are a fixed list: safe to broadcast.
+    return rows.join(F.broadcast(means), "horizon").selectExpr(*rest, *filled)
 
 
 def feature_coverage(rows):
@@ -101,13 +102,14 @@ def duplicate_minority(rows, label="label_bin"):
     factors = b.select("horizon", F.coalesce(factor, F.lit(1)).cast("int").alias("__times"))
     times = F.when(F.col(label) == 1, F.col("__times")).otherwise(1)
     return (
-        rows.join(factors, "horizon")
+        rows.join(F.broadcast(factors), "horizon")  # one row per horizon
         .withColumn("copy", F.explode(F.sequence(F.lit(1), times)))
         .drop("__times")
     )
 
 
-def thin_majority(rows, keep, key="scheme_idx", label="label_bin"):
-    """All good rows and `keep` of 1,000 bad ones, chosen by a hash of the key."""
-    slot = F.pmod(F.xxhash64(key, "horizon"), F.lit(1000))
-    return rows.filter((F.col(label) == 1) | (slot < keep))
+def thin_majority(rows, share, key="scheme_idx", label="label_bin"):
+    """All good rows and about `share` of the bad ones, chosen by a hash of the key."""
+    limit = format(int(share * 16**8), "08x")
+    slot = F.expr(f"substr(md5(concat_ws('|', {key}, horizon)), 1, 8)")
+    return rows.filter((F.col(label) == 1) | (slot < limit))
