@@ -7,26 +7,28 @@ from pyspark.sql import functions as F
 def period_returns(prices, keys, period, price):
     """Return over the previous period the key has a price for, in percent.
 
+    Four decimals, kept as a decimal so that sums do not depend on row order.
     `prices` holds one row per key and period, so a key's window is as long as
     the calendar, not as the data.
     """
     w = Window.partitionBy(*keys).orderBy(period)
     growth = F.try_divide(F.col(price), F.lag(price).over(w))
-    return prices.withColumn("ret", F.round((growth - 1) * 100, 4)).filter("ret IS NOT NULL")
+    return prices.withColumn("ret", F.round((growth - 1) * 100, 4).cast("decimal(18,4)")).filter("ret IS NOT NULL")
 
 
 def benchmark_returns(returns, by, period):
     """Mean return of each group and period."""
-    return returns.groupBy(*by, period).agg(F.round(F.avg("ret"), 6).alias("bench"))
+    return returns.groupBy(*by, period).agg((F.sum("ret").cast("double") / F.count("ret")).alias("bench"))
 
 
-def risk_measures(returns, benchmark, key, by, period, risk_free=0.0):
-    """One row per key; measures that divide by zero are null."""
+def risk_measures(returns, benchmark, key, by, period, risk_free=0.0, min_periods=6):
+    """One row per key with at least `min_periods`; a division by zero gives null."""
     r = f"(ret - {risk_free}D)"
     joined = returns.join(benchmark, [*by, period])
+    joined = joined.withColumn("exact", F.col("ret")).withColumn("ret", F.col("ret").cast("double"))
     stats = joined.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_periods"),
-        F.expr(f"avg({r})").alias("mean_excess"),
+        F.expr(f"double(sum(exact)) / count(exact) - {risk_free}D").alias("mean_excess"),
         F.expr("stddev_samp(ret)").alias("std_dev"),
         F.expr(f"sqrt(avg(least({r}, 0D) * least({r}, 0D)))").alias("downside"),
         F.expr("regr_r2(ret, bench)").alias("r_squared"),
@@ -35,7 +37,7 @@ def risk_measures(returns, benchmark, key, by, period, risk_free=0.0):
         F.expr("try_divide(avg(CASE WHEN bench > 0 THEN ret END), avg(CASE WHEN bench > 0 THEN bench END))").alias("up_capture"),
         F.expr("try_divide(avg(CASE WHEN bench < 0 THEN ret END), avg(CASE WHEN bench < 0 THEN bench END))").alias("down_capture"),
     )
-    return stats.selectExpr(
+    return stats.filter(F.col("n_periods") >= min_periods).selectExpr(
         key,
         "n_periods",
         "mean_excess",

@@ -62,7 +62,7 @@ def category_benchmarks(wide, category="category", horizons=HORIZONS):
         F.expr(sql)
         for h in horizons
         for sql in (
-            f"round(avg(fund_ret_{h}), 6) AS cat_avg_{h}",
+            f"round(avg(fund_ret_{h}), 9) AS cat_avg_{h}",
             f"max(fund_ret_{h}) AS cat_best_{h}",
             f"min(fund_ret_{h}) AS cat_worst_{h}",
         )
@@ -78,7 +78,7 @@ def add_category_benchmarks(wide, category="category", horizons=HORIZONS):
     """
     joined = join_chunks(wide, category_benchmarks(wide, category, horizons), [category])
     return joined.selectExpr(
-        "*", *[f"round(fund_ret_{h} - cat_avg_{h}, 6) AS diff_{h}" for h in horizons]
+        "*", *[f"round(fund_ret_{h} - cat_avg_{h}, 9) AS diff_{h}" for h in horizons]
     )
 
 

@@ -9,7 +9,7 @@ yields every fact of a scheme.
 from pyspark.sql import functions as F
 
 from naviscope.operators import ranking, reshape, schemes
-from naviscope.schemas import HORIZONS, MEASURES
+from naviscope.schemas import HORIZONS
 from naviscope.session import materialise
 
 ROOT = "http://funds.example"
@@ -194,11 +194,12 @@ def scheme_long(spark, sf_dir, n_families=10):
     return reshape.by_horizon(scheme_wide(spark, sf_dir, n_families))
 
 
-def labelled(spark, sf_dir, n_families=10):
-    """One row per scheme and horizon with scores, label and the train flag."""
-    rows = schemes.add_label(schemes.add_scores(scheme_long(spark, sf_dir, n_families)))
+def label_rows(spark, sf_dir, wide):
+    """One row per scheme and horizon of `wide` with scores, label and train flag."""
+    rows = schemes.add_label(schemes.add_scores(reshape.by_horizon(wide)))
     positions = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("scheme_idx"))
     return ranking.add_train_flag(rows, positions)
 
 
-RETURN_COLUMNS = [f"{MEASURES['fund returns']}_{h}" for h in HORIZONS]
+def labelled(spark, sf_dir, n_families=10):
+    return label_rows(spark, sf_dir, scheme_wide(spark, sf_dir, n_families))

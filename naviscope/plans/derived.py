@@ -92,7 +92,7 @@ def family_pages(families):
     """One page listing all families in name order, under a header row."""
     rows = families.selectExpr(
         "family_name",
-        """concat('<tr><td><a href="', substring(family_url, 21), '">', family_name,
+        f"""concat('<tr><td><a href="', substring(family_url, {len(binding.ROOT) + 1}), '">', family_name,
         '</a></td><td>x</td><td>', family_aum, '</td></tr>') AS row""",
     )
     listed = rows.agg(F.array_sort(F.collect_list(F.struct("family_name", "row"))).alias("rows"))
@@ -128,13 +128,18 @@ def scheme_pages(schemes):
     )
 
 
+def _cell(measure, horizon):
+    text = f"string(cast({measure}_{horizon} AS decimal(28,9)))"
+    return f"coalesce({text}, '--')"
+
+
 def detail_pages(wide):
     """One page per scheme with its details and performance table."""
     labels = {v: k for k, v in MEASURES.items()}
     rows = []
     for i, (measure, label) in enumerate(labels.items()):
         shown = label.title() if i % 2 else f" {label} "
-        cells = ", ".join(f"'<td>', coalesce({measure}_{h}, '--'), '</td>'" for h in HORIZONS)
+        cells = ", ".join(f"'<td>', {_cell(measure, h)}, '</td>'" for h in HORIZONS)
         rows.append(f"'<tr><td>{shown}</td>', {cells}, '</tr>'")
     return wide.selectExpr(
         "scheme_idx AS page_id",

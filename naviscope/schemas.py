@@ -103,6 +103,20 @@ CELL = T.StructType(
 )
 
 
+# Numeric columns of a scheme that do not depend on the horizon.
+NUMERIC_COLUMN_ORDER = (
+    "num_scheme_risk",
+    "num_scheme_aum",
+    "num_family_aum",
+    "num_crisil_rating",
+    "num_latest_nav",
+    "num_1yr_return",
+    "num_min_investment",
+    "num_last_dividend",
+    "num_bonus",
+)
+
+
 def measure_columns(horizons=HORIZONS):
     """The 35 wide performance columns, measure by measure."""
     return [f"{m}_{h}" for m in MEASURES.values() for h in horizons]

@@ -8,28 +8,32 @@ from naviscope.operators import sections
 MAX_HEADERS = 1000
 
 
-def _shape(df):
-    return df.select(
+def _raw(reader, path):
+    return reader.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
     )
 
 
+def add_position(lines):
+    """`pos`, rising with the lines of a split in the order they were read."""
+    return lines.withColumn("pos", F.monotonically_increasing_id())
+
+
 def read_lines(spark, path):
-    """Feed lines as (file, block, pos, line).
+    """Feed lines as (file, block, line, pos).
 
     Files stay splittable: `block` is the byte offset of the split a line was
     read from and `pos` rises within it, so (block, pos) is the order of the
     file, and a block never holds more than one split's worth of lines.
     """
-    return _shape(spark.read.option("lineSep", "\n").text(path))
+    return add_position(_raw(spark.read, path))
 
 
 def stream_lines(spark, path, **options):
-    """The same lines from new files only, as a stream."""
-    return _shape(spark.readStream.options(**options).option("lineSep", "\n").text(path))
+    """(file, block, line) of new files as a stream; `add_position` per batch."""
+    return _raw(spark.readStream.options(**options), path)
 
 
 def headings_of(lines, delimiter=";"):

@@ -1,11 +1,21 @@
 """Delimited text output."""
 
 
+# Blanks inside fields are data, and a quote inside a field is doubled.
+FORMAT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_delimited(df, path, columns=None, delimiter=";", mode="error"):
     """Header and all rows, columns in the given order, one file per partition."""
     out = df.select(*[f"`{c}`" for c in columns]) if columns else df
-    out.write.mode(mode).option("sep", delimiter).option("header", True).csv(path)
+    out.write.mode(mode).options(**FORMAT).option("sep", delimiter).csv(path)
 
 
 def read_delimited(spark, path, schema, delimiter=";"):
-    return spark.read.schema(schema).option("sep", delimiter).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**FORMAT).option("sep", delimiter).csv(path)

@@ -16,7 +16,7 @@ def start_ingest(spark, source, target, checkpoint, dimension, names, files_per_
     lines = feed.stream_lines(spark, source, **options)
 
     def write(batch, batch_id):
-        good, rejects = feed.enriched_feed(batch, dimension, names)
+        good, rejects = feed.enriched_feed(feed.add_position(batch), dimension, names)
         plain = [F.col(f"`{c}`").alias(c.replace(" ", "_").lower()) for c in good.columns]
         good.select(*plain).write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
         rejects.select("file", "line_no", "line").write.mode("overwrite").parquet(
