@@ -8,10 +8,10 @@ tree count, one importance per feature.
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from naviscope.operators.evaluate import f1_scores
@@ -20,10 +20,11 @@ from naviscope.schemas import CHOSEN_TREES, FEATURE_NAMES, SPARSE_FEATURES
 from naviscope.session import materialise
 
 # The learner's deepest setting comes closest to growing trees until leaves are pure.
+# Each level is a pass over the training rows: lower it for very large tables.
 MAX_DEPTH = 30
 SEED = 17
 MIN_POSITIVES = 10
-PARALLEL_FITS = 8
+PARALLEL_FITS = 6
 
 
 def assemble(rows, label="label_bin"):
@@ -65,11 +66,17 @@ def prefix_counts(model, test, label="label_bin"):
     A forest's first n trees are a forest of n trees, so one fit serves every
     tree count: add up the trees' class probabilities and compare to n / 2.
     """
-    trees = model.trees
-    for i, tree in enumerate(trees):
-        tree.setPredictionCol("").setRawPredictionCol("").setProbabilityCol(f"p{i}")
-    scored = PipelineModel(stages=trees).transform(test.select("features", label))
-    votes = F.array(*[vector_to_array(f"p{i}")[1] for i in range(len(trees))])
+    scored = test.select("features", label)
+    # The trees' own Java objects: wrapping each in Python copies every parameter
+    # one by one, which takes longer than scoring.
+    frame, n = scored._jdf, 0
+    for n, tree in enumerate(model._java_obj.trees(), start=1):
+        tree.setPredictionCol("")
+        tree.setRawPredictionCol("")
+        tree.setProbabilityCol(f"p{n}")
+        frame = tree.transform(frame)
+    scored = DataFrame(frame, scored.sparkSession)
+    votes = F.array(*[vector_to_array(f"p{i}")[1] for i in range(1, n + 1)])
     steps = scored.select(label, F.posexplode(_running(votes)).alias("pos", "sum"))
     steps = steps.selectExpr(
         f"int({label}) AS label_bin",

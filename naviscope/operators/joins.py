@@ -12,7 +12,7 @@ def lookup(df, dimension, key, dimension_key, strict=False):
     out = df.join(dimension, df[key] == dimension[dimension_key], "left")
     if not strict:
         return out
-    missing = F.raise_error(F.concat(F.lit("unknown key: "), F.col(key).cast("string")))
+    missing = F.raise_error(F.concat_ws(" ", F.lit("unknown key:"), F.col(key).cast("string")))
     checked = F.when(dimension[dimension_key].isNull(), missing).otherwise(df[key])
     return out.withColumn(key, checked)
 

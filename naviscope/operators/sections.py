@@ -163,7 +163,7 @@ def enrich(rows, names, dimension, name_heading="Scheme Name", name_index=3, str
     fund_id = F.col("family_id")
     if strict:
         fund_id = F.coalesce(
-            fund_id, F.raise_error(F.concat(F.lit("unknown family: "), F.col("section_family")))
+            fund_id, F.raise_error(F.concat_ws(" ", F.lit("unknown family:"), "section_family"))
         )
     derived = dict(
         zip(

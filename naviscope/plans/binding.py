@@ -9,7 +9,7 @@ yields every fact of a scheme.
 from pyspark.sql import functions as F
 
 from naviscope.operators import ranking, reshape, schemes
-from naviscope.schemas import HORIZONS
+from naviscope.schemas import HORIZONS, TABLES
 from naviscope.session import materialise
 
 ROOT = "http://funds.example"
@@ -29,7 +29,7 @@ MARKS = sorted({0, *HORIZONS.values(), *(2 * n for n in HORIZONS.values())})
 
 
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def last_ship_date(lineitem):
@@ -127,20 +127,16 @@ def stored_facts(spark, sf_dir):
     return materialise(scheme_facts(table(spark, sf_dir, "lineitem")), "scheme-facts")
 
 
-def family_totals(spark, sf_dir, totals=None):
+def family_totals(part, totals):
     """(family, cents) over all schemes; the sums are exact at any size."""
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("scheme_idx"), "p_brand")
-    totals = totals or scheme_totals(table(spark, sf_dir, "lineitem"))
-    return (
-        totals.join(part, "scheme_idx")
-        .groupBy(F.col("p_brand").alias("family_name"))
-        .agg(F.sum("aum_cents").alias("family_cents"))
-    )
+    families = part.selectExpr("p_partkey AS scheme_idx", "p_brand AS family_name")
+    joined = totals.select("scheme_idx", "aum_cents").join(families, "scheme_idx")
+    return joined.groupBy("family_name").agg(F.sum("aum_cents").alias("family_cents"))
 
 
-def families(spark, sf_dir, totals=None):
+def families(part, totals):
     """Raw family rows: everything text but the number used for ranking."""
-    return family_totals(spark, sf_dir, totals).selectExpr(
+    return family_totals(part, totals).selectExpr(
         "family_name",
         f"{_family_url('family_name')} AS family_url",
         f"concat('Rs. ', {_money('family_cents')}) AS family_aum",
@@ -149,9 +145,14 @@ def families(spark, sf_dir, totals=None):
     )
 
 
-def schemes_text(spark, sf_dir, facts):
+def all_families(spark, sf_dir):
+    """`families` straight from the tables, for queries that need nothing else."""
+    totals = scheme_totals(table(spark, sf_dir, "lineitem"))
+    return families(table(spark, sf_dir, "part"), totals)
+
+
+def schemes_text(part, facts):
     """Raw scheme rows of all families, every attribute as text."""
-    part = table(spark, sf_dir, "part")
     risks = ", ".join(f"'{k}', '{v}'" for k, v in RISK_TEXTS.items())
     base = part.withColumnRenamed("p_partkey", "scheme_idx").join(facts, "scheme_idx")
     return base.selectExpr(
@@ -179,9 +180,9 @@ def schemes_text(spark, sf_dir, facts):
 
 def selected_schemes(spark, sf_dir, n_families=10):
     """Text rows of the schemes in the largest families, family columns added."""
-    facts = stored_facts(spark, sf_dir)
-    top = schemes.top_families(families(spark, sf_dir, facts), n_families).drop("num_family_aum")
-    return schemes.expand_families(top, schemes_text(spark, sf_dir, facts))
+    part, facts = table(spark, sf_dir, "part"), stored_facts(spark, sf_dir)
+    top = schemes.top_families(families(part, facts), n_families).drop("num_family_aum")
+    return schemes.expand_families(top, schemes_text(part, facts))
 
 
 def scheme_wide(spark, sf_dir, n_families=10):

@@ -66,7 +66,7 @@ def family_options(spark, sf_dir):
 
 @query
 def family_table(spark, sf_dir):
-    page = derived.family_pages(binding.families(spark, sf_dir))
+    page = derived.family_pages(binding.all_families(spark, sf_dir))
     rows = extract.family_rows(page, binding.ROOT)
     return rows.select("row_no", "family_name", "family_url", "family_aum", "family_shortcode")
 
@@ -74,7 +74,7 @@ def family_table(spark, sf_dir):
 @query
 def scheme_table(spark, sf_dir):
     facts = binding.stored_facts(spark, sf_dir)
-    listed = derived.scheme_pages(binding.schemes_text(spark, sf_dir, facts))
+    listed = derived.scheme_pages(binding.schemes_text(table(spark, sf_dir, "part"), facts))
     return extract.scheme_rows(listed, binding.ROOT).drop("page_id", "row_no")
 
 
@@ -269,7 +269,7 @@ def feed_line_numbers(spark, sf_dir):
 def feed_unmatched(spark, sf_dir):
     lines = feed.read_lines(spark, derived.write_feed(spark, sf_dir))
     known = _dimension(spark, sf_dir).join(
-        schemes.top_families(binding.families(spark, sf_dir)).select("family_name"),
+        schemes.top_families(binding.all_families(spark, sf_dir)).select("family_name"),
         F.col("family") == F.col("family_name"),
         "left_anti",
     )
@@ -291,7 +291,7 @@ def incremental_feed(spark, sf_dir):
 
 @query
 def top_families(spark, sf_dir):
-    top = schemes.top_families(binding.families(spark, sf_dir))
+    top = schemes.top_families(binding.all_families(spark, sf_dir))
     return top.select("family_name", "family_url", "family_aum", "family_shortcode", "num_family_aum")
 
 
@@ -304,7 +304,7 @@ def family_scheme_join(spark, sf_dir):
 @query
 def scheme_detail_join(spark, sf_dir):
     facts = binding.stored_facts(spark, sf_dir)
-    rows = binding.schemes_text(spark, sf_dir, facts)
+    rows = binding.schemes_text(table(spark, sf_dir, "part"), facts)
     listed = rows.select("scheme_idx", "scheme_url", "scheme_name", "latest_nav")
     details = rows.select("scheme_url", "scheme_risk_text", "scheme_option", "scheme_min_investment")
     return schemes.join_details(listed, details)
@@ -348,7 +348,7 @@ def name_join(spark, sf_dir):
         "p_brand AS fund_family",
         "concat(replace(p_name, ' ', '   '), '  - Growth') AS feed_name",
     )
-    top = schemes.top_families(binding.families(spark, sf_dir)).select("family_name")
+    top = schemes.top_families(binding.all_families(spark, sf_dir)).select("family_name")
     listed = table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS scheme_idx", "upper(p_name) AS scheme_name", "p_brand AS family_name"
     )
@@ -418,7 +418,7 @@ def label_balance(spark, sf_dir):
 @query
 def entity_counts(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    top = schemes.top_families(binding.families(spark, sf_dir)).select("family_name")
+    top = schemes.top_families(binding.all_families(spark, sf_dir)).select("family_name")
     flagged = part.join(F.broadcast(top), F.col("p_brand") == F.col("family_name"), "left")
     return flagged.agg(
         F.count(F.lit(1)).alias("schemes"),

@@ -51,4 +51,4 @@ def materialise(df, name, partition_by=()):
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

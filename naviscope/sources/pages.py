@@ -1,7 +1,8 @@
 """Tables of saved web pages."""
 
-PAGE_COLUMNS = ("page_id", "url", "html")
+from naviscope.schemas import TABLES
 
 
 def read_pages(spark, path):
-    return spark.read.parquet(path).select(*PAGE_COLUMNS)
+    """(page_id, url, html) of saved pages."""
+    return spark.read.schema(TABLES["pages"]).parquet(path)

@@ -1,4 +1,4 @@
-"""Delimited text output."""
+"""Delimited text output. An empty field stands for missing and empty text alike."""
 
 
 # Blanks inside fields are data, and a quote inside a field is doubled.
