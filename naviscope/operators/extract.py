@@ -1,157 +1,17 @@
 """Rows and fields out of saved web pages.
 
 Flat patterns are native regular expressions. Nested tables need a real HTML
-parse, done by the standard library inside `mapInArrow`, one page at a time;
+parse, done by `functions.html` inside `mapInArrow`, one page at a time;
 what it returns are plain cells, and every rule about them is a column
 expression again.
 """
 
-from html.parser import HTMLParser
-
-import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from naviscope.functions import text
+from naviscope.functions import html, text
 from naviscope.schemas import CELL, HORIZONS, MEASURES
 
-# Elements that never hold content.
-VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-# An opening tag closes these when they are still open.
-CLOSED_BY = {
-    "td": ("td", "th"),
-    "th": ("td", "th"),
-    "tr": ("td", "th", "tr"),
-    "option": ("option",),
-    "li": ("li",),
-    "p": ("p",),
-}
-SCOPES = frozenset(("table", "select", "ul", "ol", "html"))
-
-
-class Node:
-    """An element: tag, attributes and its children in page order."""
-
-    __slots__ = ("tag", "attrs", "children", "parent")
-
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.children = []
-
-    def descendants(self):
-        for child in self.children:
-            if isinstance(child, Node):
-                yield child
-                yield from child.descendants()
-
-    def only_text(self):
-        """The text when a single string is all there is inside, else None."""
-        node = self
-        while isinstance(node, Node):
-            if len(node.children) != 1:
-                return None
-            node = node.children[0]
-        return node
-
-    def matches(self, part):
-        tag, ids, classes = part
-        have = (self.attrs.get("class") or "").split()
-        return (
-            (not tag or self.tag == tag)
-            and all(self.attrs.get("id") == i for i in ids)
-            and all(c in have for c in classes)
-        )
-
-
-class PageTree(HTMLParser):
-    def __init__(self, html):
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("", {}, None)
-        self.feed(html)
-        self.close()
-
-    def handle_starttag(self, tag, attrs):
-        closes = CLOSED_BY.get(tag, ())
-        node = self.at
-        while closes and node is not self.root and node.tag not in SCOPES:
-            if node.tag in closes:
-                self.at = node.parent
-            node = node.parent
-        new = Node(tag, dict(attrs), self.at)
-        self.at.children.append(new)
-        if tag not in VOID_TAGS:
-            self.at = new
-
-    def handle_startendtag(self, tag, attrs):
-        self.at.children.append(Node(tag, dict(attrs), self.at))
-
-    def handle_endtag(self, tag):
-        node = self.at
-        while node is not self.root and node.tag != tag:
-            node = node.parent
-        if node is not self.root:
-            self.at = node.parent
-
-    def handle_data(self, data):
-        children = self.at.children
-        if children and isinstance(children[-1], str):
-            children[-1] += data
-        else:
-            children.append(data)
-
-
-def parse_selector(selector):
-    """Descendant selector such as `.a.b table tr` -> [(tag, ids, classes), ...]."""
-    parts = []
-    for word in selector.split():
-        names = word.replace("#", " #").replace(".", " .").split()
-        tag = names[0] if names[0][0] not in "#." else ""
-        parts.append(
-            (tag, [n[1:] for n in names if n[0] == "#"], [n[1:] for n in names if n[0] == "."])
-        )
-    return parts
-
-
-def select(root, parts):
-    """Nodes matching the last part whose ancestors match the others in order."""
-    for node in root.descendants():
-        if not node.matches(parts[-1]):
-            continue
-        todo, up = len(parts) - 2, node.parent
-        while todo >= 0 and up is not None:
-            if up.matches(parts[todo]):
-                todo -= 1
-            up = up.parent
-        if todo < 0:
-            yield node
-
-
-def _cell(node):
-    link = next((n for n in node.descendants() if n.tag == "a"), None)
-    return {
-        "text": node.only_text(),
-        "link_text": link.only_text() if link else None,
-        "href": link.attrs.get("href") if link else None,
-    }
-
-
-def _rows_of(root, parts, mode):
-    nodes = list(select(root, parts))
-    if mode == "nodes":
-        return [[_cell(n) for n in nodes]] if nodes else []
-    if mode == "first_table":
-        nodes = [n for t in nodes[:1] for n in t.descendants() if n.tag == "tr"]
-    if mode == "children":
-        nodes = [
-            n
-            for t in nodes[:1]
-            for body in [t, *(c for c in t.children if isinstance(c, Node) and c.tag == "tbody")]
-            for n in body.children
-            if isinstance(n, Node) and n.tag == "tr" and n.only_text() is None
-        ]
-    return [[_cell(n) for n in row.descendants() if n.tag in ("td", "th")] for row in nodes]
-
-
 def parse_pages(pages, wanted, must_contain=None):
     """One parse per page: (page_id, one `array<array<cell>>` per wanted table).
 
@@ -161,29 +21,16 @@ def parse_pages(pages, wanted, must_contain=None):
     one row whose cells are all matches. `must_contain` skips pages without that
     text before any parsing.
     """
-    plan = {name: (parse_selector(selector), mode) for name, (selector, mode) in wanted.items()}
+    plan = {name: (html.parse_selector(selector), mode) for name, (selector, mode) in wanted.items()}
     schema = T.StructType(
         [T.StructField("page_id", T.LongType())]
         + [T.StructField(name, T.ArrayType(T.ArrayType(CELL))) for name in plan]
     )
-    cells = pa.struct([(f.name, pa.string()) for f in CELL.fields])
-    columns = [("page_id", pa.int64()), *[(name, pa.list_(pa.list_(cells))) for name in plan]]
-
-    def run(batches):
-        for batch in batches:
-            out = {name: [] for name in plan}
-            for html in batch.column("html").to_pylist():
-                root = PageTree(html).root
-                for name, (parts, mode) in plan.items():
-                    out[name].append(_rows_of(root, parts, mode))
-            arrays = [batch.column("page_id"), *[pa.array(out[n], t) for n, t in columns[1:]]]
-            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(columns))
-
     kept = pages.filter(F.col("html").isNotNull())
     if must_contain:
         kept = kept.filter(F.contains(F.col("html"), F.lit(must_contain)))
     kept = kept.select(F.col("page_id").cast("long").alias("page_id"), "html")
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(html.page_parser(plan), schema)
 
 
 def table_rows(parsed, name):

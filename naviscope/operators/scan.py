@@ -4,7 +4,7 @@ A window over a key sorts all rows of that key in one task, which fails when
 one key holds a large share of the table. Here each key is cut into chunks of
 bounded size that follow the order. A first window works inside each chunk,
 one summary row per chunk is scanned per key, and the result of that scan is
-joined back on (key, chunk) - the partitioning the chunk window already made.
+joined back on (key, chunk), which is how the chunk window left the rows.
 
 `chunk` is any column that never falls as the order rises: the block of a
 file, or a position divided by a fixed width.
@@ -21,36 +21,38 @@ def position_chunk(position, rows=CHUNK_ROWS):
     return F.floor(F.col(position) / F.lit(rows)).cast("long")
 
 
-def join_chunks(df, summary, on):
-    """Join chunk summaries back, treating null keys as equal."""
-    renamed = [f"__{c}" for c in on]
-    summary = summary.select(
-        *[F.col(c).alias(r) for c, r in zip(on, renamed)],
-        *[c for c in summary.columns if c not in on],
-    )
-    condition = None
-    for c, r in zip(on, renamed):
-        term = df[c].eqNullSafe(summary[r])
-        condition = term if condition is None else condition & term
-    return df.join(summary, condition).drop(*renamed)
+def place(*names):
+    """Key columns as one struct, which is never null even where they are.
+
+    Windows, groups and the join back all use this one column, so the rows stay
+    where the first shuffle put them, and null keys match like any others.
+    """
+    return F.struct(*names).alias("__at")
+
+
+def with_place(df, *names):
+    return df.select("*", place(*names))
+
+
+def _before(keys, chunk):
+    return Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def add_row_number(df, keys, chunk, order, name="row_number", total=None):
     """1-based position within the key; with `total`, the key's row count too."""
-    on = [*keys, chunk]
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(*keys)
+    df = with_place(df, *keys, chunk)
+    counts = df.groupBy("__at").agg(F.count(F.lit(1)).alias("__n")).select("*", "__at.*")
     summary = counts.select(
-        *on,
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
-        F.sum("__n").over(everything).alias("__total"),
+        "__at",
+        F.coalesce(F.sum("__n").over(_before(keys, chunk)), F.lit(0)).alias("__before"),
+        F.sum("__n").over(Window.partitionBy(*keys)).alias("__total"),
     )
-    local = df.withColumn("__local", F.row_number().over(Window.partitionBy(*on).orderBy(*order)))
-    out = join_chunks(local, summary, on).withColumn(name, F.col("__before") + F.col("__local"))
+    inside = Window.partitionBy("__at").orderBy(*order)
+    out = df.withColumn("__local", F.row_number().over(inside)).join(summary, "__at")
+    out = out.withColumn(name, F.col("__before") + F.col("__local"))
     if total:
         out = out.withColumn(total, F.col("__total"))
-    return out.drop("__local", "__before", "__total")
+    return out.drop("__at", "__local", "__before", "__total")
 
 
 def add_ntile(df, keys, chunk, order, tiles, name="tile"):
@@ -70,18 +72,17 @@ def add_running_sum(df, keys, chunk, order, sums):
 
     `total` names a column for the key's whole sum, or is None.
     """
-    on = [*keys, chunk]
-    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(*keys)
-    inside = Window.partitionBy(*on).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    parts = df.groupBy(*on).agg(*[F.sum(v).alias(f"__{n}") for n, (v, _) in sums.items()])
-    summary = parts.select(
-        *on,
+    df = with_place(df, *keys, chunk)
+    parts = df.groupBy("__at").agg(*[F.sum(v).alias(f"__{n}") for n, (v, _) in sums.items()])
+    before, everything = _before(keys, chunk), Window.partitionBy(*keys)
+    summary = parts.select("*", "__at.*").select(
+        "__at",
         *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__before_{n}") for n in sums],
         *[F.sum(f"__{n}").over(everything).alias(t) for n, (_, t) in sums.items() if t],
     )
+    inside = Window.partitionBy("__at").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = df.select("*", *[F.sum(v).over(inside).alias(f"__in_{n}") for n, (v, _) in sums.items()])
-    out = join_chunks(local, summary, on)
+    out = local.join(summary, "__at")
     for n in sums:
         out = out.withColumn(n, F.col(f"__before_{n}") + F.col(f"__in_{n}"))
-    return out.drop(*[f"__{p}_{n}" for n in sums for p in ("before", "in")])
+    return out.drop("__at", *[f"__{p}_{n}" for n in sums for p in ("before", "in")])

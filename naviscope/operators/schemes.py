@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from naviscope.functions import scores, text
-from naviscope.operators.scan import join_chunks
+from naviscope.operators.scan import place, with_place
 from naviscope.schemas import HORIZONS, measure_columns
 
 SCORE_COLUMNS = ("m_risk", "m_rating", "m_alloc", "m_diff", "m_volat")
@@ -76,7 +76,9 @@ def add_category_benchmarks(wide, category="category", horizons=HORIZONS):
     Aggregated before the join, so a category with a third of all schemes costs
     no more than any other; the result is one row per category.
     """
-    joined = join_chunks(wide, category_benchmarks(wide, category, horizons), [category])
+    stats = category_benchmarks(wide, category, horizons)
+    stats = stats.select(place(category), *[c for c in stats.columns if c != category])
+    joined = with_place(wide, category).join(stats, "__at").drop("__at")
     return joined.selectExpr(
         "*", *[f"round(fund_ret_{h} - cat_avg_{h}, 9) AS diff_{h}" for h in horizons]
     )

@@ -11,13 +11,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from naviscope.functions import text
-from naviscope.operators.scan import join_chunks
+from naviscope.operators.scan import with_place
 from naviscope.schemas import DERIVED_HEADINGS
 
 
-def _inside_chunks(df, on, order, line, marker):
+def _inside_chunks(df, order, line, marker):
     """Per line: the family and both candidate types known inside its chunk."""
-    w = Window.partitionBy(*on).orderBy(*order)
+    w = Window.partitionBy("__at").orderBy(*order)
     sofar = w.rowsBetween(Window.unboundedPreceding, 0)
     df = df.select(
         "*",
@@ -57,12 +57,12 @@ def _resolve(odd, family_in, type_in):
 
 def _across_chunks(local, keys, chunk):
     """Per chunk: the context in force just before its first line."""
-    ends = local.groupBy(*keys, chunk).agg(
+    ends = local.groupBy("__at").agg(
         F.max("__n").alias("lines"),
         F.max("__markers").alias("markers"),
         F.max("__closed").alias("closed"),
         F.max_by(F.struct("__family", "__type_even", "__type_odd", "__first"), "__n").alias("end"),
-    ).select("*", "end.*")
+    ).select("*", "__at.*", "end.*")
     w = Window.partitionBy(*keys).orderBy(chunk)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.withColumn("seen", F.coalesce(F.sum("markers").over(before), F.lit(0)))
@@ -75,8 +75,7 @@ def _across_chunks(local, keys, chunk):
     own_type = _resolve(F.col("odd"), F.col("family_in"), F.lit(None).cast("string"))
     ends = ends.withColumn("own_type", own_type)
     return ends.select(
-        *keys,
-        chunk,
+        "__at",
         F.first("__first").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__first_line"),
         F.col("odd").alias("__odd"),
         F.col("family_in").alias("__family_in"),
@@ -93,13 +92,17 @@ def add_section_context(df, keys, chunk, order, line, marker, headings=None):
     maps the key's first line to an extra column of that name; it is worked
     out once per chunk.
     """
-    local = _inside_chunks(df, [*keys, chunk], order, line, marker)
+    # Without the bare key columns both uses of `local` need the same columns, so
+    # that Spark shuffles the lines once for both.
+    placed = with_place(df, *keys, chunk).drop(*keys, chunk)
+    local = _inside_chunks(placed, order, line, marker)
     context = _across_chunks(local, keys, chunk)
     if headings:
         context = context.withColumn("headings", headings(F.col("__first_line")))
-    joined = join_chunks(local, context.drop("__first_line"), [*keys, chunk])
+    joined = local.join(context.drop("__first_line"), "__at")
+    own = [F.col(f"__at.{c}").alias(c) if c in (*keys, chunk) else c for c in df.columns]
     return joined.select(
-        *df.columns,
+        *own,
         *(["headings"] if headings else []),
         (F.col("__lines_before") + F.col("__n") - 1).alias("line_no"),
         _resolve(F.col("__odd"), F.col("__family_in"), F.col("__type_in")).alias("section_type"),

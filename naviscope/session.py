@@ -16,6 +16,8 @@ def local_session(cores="*", shuffle_partitions=8, memory="12g", **conf):
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small shuffles still spread over the cores: parsing pages is CPU work.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
