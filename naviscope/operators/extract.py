@@ -123,7 +123,8 @@ def option_dimension(pages, select_id, label="family", value="family_id"):
 
 def last_wins(df, keys, order, values):
     """One row per key with the values of the row that comes last in `order`."""
-    return df.groupBy(*keys).agg(*[F.max_by(v, order).alias(v) for v in values])
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*values), order).alias("__last"))
+    return last.select(*keys, "__last.*")
 
 
 def _available(x):

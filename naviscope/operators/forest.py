@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from naviscope.operators.evaluate import f1_scores
-from naviscope.operators.features import FEATURES
+from naviscope.operators.features import FEATURES, duplicate_minority
 from naviscope.schemas import CHOSEN_TREES, FEATURE_NAMES, SPARSE_FEATURES
 from naviscope.session import materialise
 
@@ -119,10 +119,17 @@ def cross_validate(stored, folds=10, max_trees=40, parallelism=PARALLEL_FITS, **
     return f1_scores(counts, ["horizon", "num_trees", "fold"], weight="n")
 
 
-def fit_horizons(stored, trees=CHOSEN_TREES, parallelism=PARALLEL_FITS, **options):
-    """{horizon: model} on the training rows, with each horizon's tree count."""
+def fit_horizons(
+    stored, trees=CHOSEN_TREES, balanced=False, parallelism=PARALLEL_FITS, **options
+):
+    """{horizon: model} on the training rows, with each horizon's tree count.
+
+    `balanced` repeats the good rows until both classes weigh about the same.
+    """
     rows = stored.filter("is_train")
     horizons, _ = trainable(rows)
+    if balanced:
+        rows = duplicate_minority(rows)
 
     def one(horizon):
         return horizon, fit(rows.filter(F.col("horizon") == horizon), trees[horizon], **options)

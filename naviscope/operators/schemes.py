@@ -70,13 +70,13 @@ def category_benchmarks(wide, category="category", horizons=HORIZONS):
     return wide.groupBy(category).agg(*stats)
 
 
-def add_category_benchmarks(wide, category="category", horizons=HORIZONS):
+def add_category_benchmarks(wide, stats, category="category", horizons=HORIZONS):
     """Category columns and the difference to them on each scheme.
 
-    Aggregated before the join, so a category with a third of all schemes costs
-    no more than any other; the result is one row per category.
+    `stats` is `category_benchmarks` of the same rows. Read back from storage its
+    size is known, so that Spark broadcasts it where it is small and joins by
+    sorting, with its treatment of skewed categories, where it is not.
     """
-    stats = category_benchmarks(wide, category, horizons)
     stats = stats.select(place(category), *[c for c in stats.columns if c != category])
     joined = with_place(wide, category).join(stats, "__at").drop("__at")
     return joined.selectExpr(

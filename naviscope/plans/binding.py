@@ -188,7 +188,8 @@ def selected_schemes(spark, sf_dir, n_families=10):
 def scheme_wide(spark, sf_dir, n_families=10):
     """One row per selected scheme with its numbers and 35 performance columns."""
     numbers = schemes.add_numbers(selected_schemes(spark, sf_dir, n_families))
-    return schemes.add_category_benchmarks(numbers)
+    stats = materialise(schemes.category_benchmarks(numbers), "categories")
+    return schemes.add_category_benchmarks(numbers, stats)
 
 
 def scheme_long(spark, sf_dir, n_families=10):

@@ -18,8 +18,8 @@ from naviscope.operators import (
 from naviscope.operators.scan import position_chunk
 from naviscope.plans import binding, derived
 from naviscope.plans.binding import table
-from naviscope.schemas import HORIZONS, NUMERIC_COLUMN_ORDER, measure_columns
-from naviscope.session import new_folder
+from naviscope.schemas import HORIZONS, NUMERIC_COLUMN_ORDER, SCHEME_SCHEMA, measure_columns
+from naviscope.session import materialise, new_folder
 from naviscope.sources import feed, pages, sinks
 from naviscope.streaming import feed_stream
 
@@ -286,6 +286,14 @@ def incremental_feed(spark, sf_dir):
     return spark.read.parquet(f"{target}/rows").drop("batch", "file", "line_no")
 
 
+@query
+def schemes_delimited(spark, sf_dir):
+    rows = binding.selected_schemes(spark, sf_dir)
+    path = new_folder(spark, "schemes")
+    sinks.write_delimited(rows, path, SCHEME_SCHEMA.names)
+    return sinks.read_delimited(spark, path, SCHEME_SCHEMA)
+
+
 # --- Joins -----------------------------------------------------------------
 
 
@@ -484,12 +492,13 @@ def _scored(spark, sf_dir):
 @query
 def fold_assignment(spark, sf_dir):
     train = _scored(spark, sf_dir).filter("is_train").select("scheme_idx", "horizon", "label_bin")
-    return evaluate.add_folds(train)
+    return evaluate.add_folds(materialise(train, "scored"))
 
 
 def _fold_f1(spark, sf_dir):
-    train = _scored(spark, sf_dir).filter("is_train")
-    rows = evaluate.add_folds(train.select("scheme_idx", "horizon", "label_bin", "level"))
+    # Stored, since numbering the rows reads them twice.
+    train = _scored(spark, sf_dir).filter("is_train").select("scheme_idx", "horizon", "label_bin", "level")
+    rows = evaluate.add_folds(materialise(train, "scored"))
     counts = rows.groupBy("horizon", "fold", "label_bin", "level").agg(F.count(F.lit(1)).alias("n"))
     grid = evaluate.expand_levels(counts, GRID)
     return evaluate.f1_scores(grid, ["horizon", "num_trees", "fold"], weight="n")
@@ -547,7 +556,8 @@ def risk_measures(spark, sf_dir):
     returns = risk.period_returns(prices, ["scheme_idx"], "month", "price")
     kinds = table(spark, sf_dir, "part").selectExpr("p_partkey AS scheme_idx", "p_type AS category")
     returns = returns.join(kinds, "scheme_idx")
-    bench = risk.benchmark_returns(returns, ["category"], "month")
+    # Stored, its size decides whether it is broadcast.
+    bench = materialise(risk.benchmark_returns(returns, ["category"], "month"), "benchmark")
     measures = risk.risk_measures(returns, bench, "scheme_idx", ["category"], "month")
     return measures.select(
         "scheme_idx",
@@ -562,7 +572,8 @@ def risk_measures(spark, sf_dir):
 
 def _report(rows, wide):
     """The recommendation columns: name, seven returns, address."""
-    out = ranking.with_all_returns(rows, wide, ["scheme_name", "scheme_url"])
+    # Five rows per horizon at most, whatever the size of the tables.
+    out = ranking.with_all_returns(F.broadcast(rows), wide, ["scheme_name", "scheme_url"])
     return out.drop("scheme_idx", "fund_ret")
 
 
@@ -586,7 +597,7 @@ def horizon_ranking(spark, sf_dir):
 def _stored_features(spark, sf_dir, folds=False):
     rows = features.impute_means(_features(spark, sf_dir, "per_horizon"), train_only=True)
     if folds:
-        rows = evaluate.add_folds(rows.filter("is_train"))
+        rows = evaluate.add_folds(materialise(rows.filter("is_train"), "training"))
     return forest.assemble(rows)
 
 
@@ -616,6 +627,13 @@ def forest_accuracy(spark, sf_dir):
     return evaluate.accuracy(_predictions(spark, sf_dir).filter("NOT is_train"))
 
 
+@query
+def forest_balanced(spark, sf_dir):
+    stored = _stored_features(spark, sf_dir)
+    models = forest.fit_horizons(stored, balanced=True)
+    return evaluate.precision_recall(forest.predict(stored, models), ["horizon", "is_train"])
+
+
 @query
 def forest_recommendations(spark, sf_dir):
     wide = binding.scheme_wide(spark, sf_dir)

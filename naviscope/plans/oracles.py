@@ -320,6 +320,15 @@ sql(
     FACTS,
 )
 
+sql(
+    "schemes_delimited",
+    f"""SELECT family_name, {_family_url('family_name')} AS family_url, concat('Rs. ', {money('family_cents')}) AS family_aum,
+    replace(family_name, '#', '-') AS family_shortcode, scheme_name, scheme_url, concat('Rank ', 1 + p_size % 5) AS crisil_rating,
+    category, concat('{ROOT}/categories/', category) AS category_url, {decimal('p_retailprice', 2)} AS latest_nav,
+    coalesce({decimal('fund_ret_1y', 4)}, '--') AS "1yr_return", concat('Rs. ', {money('aum_cents')}) AS scheme_aum FROM sch""",
+    *FIRST,
+)
+
 # --- Joins ---
 
 _FAMILY = f"""family_name, {_family_url('family_name')} AS family_url, concat('Rs. ', {money('family_cents')}) AS family_aum,

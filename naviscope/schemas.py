@@ -66,7 +66,6 @@ def _strings(*names):
 
 FAMILY_COLUMNS = ("family_name", "family_url", "family_aum", "family_shortcode")
 FAMILY_SCHEMA = _strings(*FAMILY_COLUMNS)
-FAMILY_BRIEF_SCHEMA = _strings("family_name", "family_url", "family_aum")
 
 SCHEME_COLUMNS = (
     "scheme_name",

@@ -129,8 +129,20 @@ def test_prefixes_end_at_the_whole_forest(stored):
     }
 
 
+def test_balanced_training_finds_more_good_rows(stored):
+    def recall(balanced):
+        found = forest.predict(stored, forest.fit_horizons(stored, balanced=balanced, max_depth=3))
+        return evaluate.precision_recall(found.filter("is_train"), ["horizon"]).first().recall
+
+    assert recall(True) >= recall(False)
+
+
 def test_cross_validation(stored):
-    scores = forest.cross_validate(stored, folds=3, max_trees=5, max_depth=4).collect()
+    frame = forest.cross_validate(stored, folds=3, max_trees=5, max_depth=4)
+    best = evaluate.best_tree_count(frame).first()
+    assert best.horizon == "1m" and 1 <= best.num_trees <= 5
+    assert evaluate.box_plot(frame, ["horizon", "num_trees"]).count() == 5
+    scores = frame.collect()
     assert {(r.horizon, r.num_trees, r.fold) for r in scores} == {
         ("1m", n, f) for n in range(1, 6) for f in range(3)
     }

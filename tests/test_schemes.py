@@ -61,14 +61,18 @@ def wide_frame(spark):
     return df.selectExpr("scheme_idx", "category", *names.split(", "))
 
 
+def with_stats(wide):
+    return schemes.add_category_benchmarks(wide, schemes.category_benchmarks(wide))
+
+
 def test_category_benchmarks(spark):
-    found = schemes.add_category_benchmarks(wide_frame(spark)).orderBy("scheme_idx").collect()
+    found = with_stats(wide_frame(spark)).orderBy("scheme_idx").collect()
     got = [(r.cat_avg_3m, r.cat_best_3m, r.cat_worst_3m, r.diff_3m) for r in found]
     assert got == [(3, 4, 2, -1), (3, 4, 2, 1), (3, 4, 2, None), (7, 7, 7, 0), (None,) * 4]
 
 
 def test_pivot_inverts_unpivot(spark):
-    wide = schemes.add_category_benchmarks(wide_frame(spark)).drop("category")
+    wide = with_stats(wide_frame(spark)).drop("category")
     cells = reshape.performance_cells(wide, ["scheme_idx"])
     back = reshape.performance_wide(cells, ["scheme_idx"]).orderBy("scheme_idx").collect()
     known = wide.select("scheme_idx", *measure_columns()).filter("scheme_idx < 5").orderBy("scheme_idx")
@@ -79,7 +83,7 @@ def test_pivot_inverts_unpivot(spark):
 
 
 def test_by_horizon(spark):
-    long = reshape.by_horizon(schemes.add_category_benchmarks(wide_frame(spark)))
+    long = reshape.by_horizon(with_stats(wide_frame(spark)))
     assert long.count() == 5 * len(HORIZONS)
     row = long.filter("scheme_idx = 1 AND horizon = '5y'").first()
     assert (row.fund_ret, row.cat_avg, row.diff, row.fund_ret_first) == (2, 3, -1, 2)
