@@ -36,8 +36,8 @@ def _return_feature(mode, own, first):
     )
 
 
-def feature_rows(labelled, mode="per_horizon"):
-    """(scheme_idx, horizon, is_train, f0..f9, label, label_bin)."""
+def feature_rows(labelled, mode="per_horizon", keep=()):
+    """(scheme_idx, horizon, is_train, f0..f9, label, label_bin), plus `keep`."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     base = [f"coalesce(double({c}), 0D) AS f{i}" for i, c in enumerate(BASE_FEATURES)]
@@ -46,10 +46,11 @@ def feature_rows(labelled, mode="per_horizon"):
         "horizon",
         "is_train",
         *base,
-        f"{_return_feature(mode, 'fund_ret', 'fund_ret_first')} AS f8",
+        f"{_return_feature(mode, 'fund_ret', 'ret_1m')} AS f8",
         f"{_return_feature(mode, 'cat_avg', 'cat_avg_first')} AS f9",
         "label",
         "label_bin",
+        *keep,
     )
 
 

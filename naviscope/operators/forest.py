@@ -6,6 +6,7 @@ folds side by side and receives what is small by nature: one count row per
 tree count, one importance per feature.
 """
 
+import functools
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -152,18 +153,21 @@ def reported_importances(frame, left_out=SPARSE_FEATURES):
 
 
 def predict(stored, models):
-    """All rows, training rows included, with `prediction` and `probability`."""
-    out = None
-    for horizon, model in models.items():
-        part = model.transform(stored.filter(F.col("horizon") == horizon)).select(
-            "scheme_idx",
-            "horizon",
-            "is_train",
-            F.col("label_bin").cast("int").alias("label_bin"),
-            F.col("prediction").cast("int").alias("prediction"),
-            vector_to_array("probability")[1].alias("probability"),
-        )
-        out = part if out is None else out.union(part)
-    if out is None:
+    """All rows, training rows included, with `prediction` and `probability`.
+
+    The rows keep the columns they were stored with, so that nothing has to be
+    joined to them afterwards.
+    """
+    parts = [
+        model.transform(stored.filter(F.col("horizon") == horizon))
+        for horizon, model in models.items()
+    ]
+    if not parts:
         raise ValueError("no horizon has enough rows of both classes")
-    return out
+    out = functools.reduce(DataFrame.union, parts)
+    return out.select(
+        *[c for c in stored.columns if c not in ("features", "label_bin")],
+        F.col("label_bin").cast("int").alias("label_bin"),
+        F.col("prediction").cast("int").alias("prediction"),
+        vector_to_array("probability")[1].alias("probability"),
+    )

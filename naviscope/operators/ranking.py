@@ -20,10 +20,10 @@ def chosen(df, flag="prediction"):
     return df.filter(F.col(flag) == 1)
 
 
-def with_all_returns(rows, wide, attributes=(), key="scheme_idx", horizons=HORIZONS):
-    """Attributes and the seven returns of the scheme on each row of a report."""
-    returns = [F.col(f"fund_ret_{h}").alias(f"ret_{h}") for h in horizons]
-    return rows.join(wide.select(key, *attributes, *returns), key)
+def report(top, horizons=HORIZONS):
+    """The recommendation columns: name, the seven returns, address."""
+    returns = [f"ret_{h}" for h in horizons]
+    return top.select("horizon", "rank", "is_train", "scheme_name", *returns, "scheme_url")
 
 
 def horizon_order(value="fund_ret", tie="scheme_idx"):

@@ -34,9 +34,9 @@ def performance_cells(wide, keys, horizons=HORIZONS, value="value"):
 def by_horizon(wide, horizons=HORIZONS, first="1m"):
     """One row per scheme and horizon with its five measures.
 
-    The first horizon's return and category average stay on every row as
-    `fund_ret_first` and `cat_avg_first`. The rows are made in place: no
-    shuffle, and Catalyst drops the measures nobody reads.
+    All returns stay on every row as `ret_1m` .. `ret_5y`, the first horizon's
+    category average as `cat_avg_first`. The rows are made in place: no shuffle,
+    and Catalyst drops the columns nobody reads.
     """
     wide_columns = set(measure_columns(horizons))
     rest = [f"`{c}`" for c in wide.columns if c not in wide_columns]
@@ -47,7 +47,7 @@ def by_horizon(wide, horizons=HORIZONS, first="1m"):
     )
     return wide.selectExpr(
         *rest,
-        f"fund_ret_{first} AS fund_ret_first",
+        *[f"fund_ret_{h} AS ret_{h}" for h in horizons],
         f"cat_avg_{first} AS cat_avg_first",
         f"inline(array({rows}))",
     )

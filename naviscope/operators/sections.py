@@ -15,7 +15,7 @@ from naviscope.operators.scan import with_place
 from naviscope.schemas import DERIVED_HEADINGS
 
 
-def _inside_chunks(df, order, line, marker):
+def _inside_chunks(df, order, line, marker, headings):
     """Per line: the family and both candidate types known inside its chunk."""
     w = Window.partitionBy("__at").orderBy(*order)
     sofar = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -23,7 +23,7 @@ def _inside_chunks(df, order, line, marker):
         "*",
         F.row_number().over(w).alias("__n"),
         F.lag(line).over(w).alias("__previous"),
-        F.first(line).over(sofar).alias("__first"),
+        *([F.first(line).over(sofar).alias("__first")] if headings else []),
         F.sum(F.col(marker).cast("int")).over(sofar).alias("__markers"),
     )
     df = df.withColumn(
@@ -55,13 +55,14 @@ def _resolve(odd, family_in, type_in):
     )
 
 
-def _across_chunks(local, keys, chunk):
+def _across_chunks(local, keys, chunk, headings):
     """Per chunk: the context in force just before its first line."""
+    kept = ["__family", "__type_even", "__type_odd", *(["__first"] if headings else [])]
     ends = local.groupBy("__at").agg(
         F.max("__n").alias("lines"),
         F.max("__markers").alias("markers"),
         F.max("__closed").alias("closed"),
-        F.max_by(F.struct("__family", "__type_even", "__type_odd", "__first"), "__n").alias("end"),
+        F.max_by(F.struct(*kept), "__n").alias("end"),
     ).select("*", "__at.*", "end.*")
     w = Window.partitionBy(*keys).orderBy(chunk)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -74,9 +75,13 @@ def _across_chunks(local, keys, chunk):
     ends = ends.withColumn("family_in", F.last("__family", ignorenulls=True).over(before))
     own_type = _resolve(F.col("odd"), F.col("family_in"), F.lit(None).cast("string"))
     ends = ends.withColumn("own_type", own_type)
+    first = []
+    if headings:
+        line = F.first("__first").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        first = [headings(line).alias("headings")]
     return ends.select(
         "__at",
-        F.first("__first").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__first_line"),
+        *first,
         F.col("odd").alias("__odd"),
         F.col("family_in").alias("__family_in"),
         F.last("own_type", ignorenulls=True).over(before).alias("__type_in"),
@@ -87,7 +92,7 @@ def _across_chunks(local, keys, chunk):
 def add_section_context(df, keys, chunk, order, line, marker, headings=None):
     """Add `section_type`, `section_family` and `line_no` (from 0) to every line.
 
-    `marker` is a boolean column; `chunk` bounds the rows one task sorts. Both
+    `marker` is a boolean column, `line` is read where it is true; `chunk` bounds the rows one task sorts. Both
     context columns are null before the first header of their kind. `headings`
     maps the key's first line to an extra column of that name; it is worked
     out once per chunk.
@@ -95,11 +100,8 @@ def add_section_context(df, keys, chunk, order, line, marker, headings=None):
     # Without the bare key columns both uses of `local` need the same columns, so
     # that Spark shuffles the lines once for both.
     placed = with_place(df, *keys, chunk).drop(*keys, chunk)
-    local = _inside_chunks(placed, order, line, marker)
-    context = _across_chunks(local, keys, chunk)
-    if headings:
-        context = context.withColumn("headings", headings(F.col("__first_line")))
-    joined = local.join(context.drop("__first_line"), "__at")
+    local = _inside_chunks(placed, order, line, marker, headings)
+    joined = local.join(_across_chunks(local, keys, chunk, headings), "__at")
     own = [F.col(f"__at.{c}").alias(c) if c in (*keys, chunk) else c for c in df.columns]
     return joined.select(
         *own,

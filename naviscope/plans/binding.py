@@ -9,7 +9,7 @@ yields every fact of a scheme.
 from pyspark.sql import functions as F
 
 from naviscope.operators import ranking, reshape, schemes
-from naviscope.schemas import HORIZONS, TABLES
+from naviscope.schemas import FAMILY_COLUMNS, HORIZONS, TABLES
 from naviscope.session import materialise
 
 ROOT = "http://funds.example"
@@ -151,15 +151,16 @@ def all_families(spark, sf_dir):
     return families(table(spark, sf_dir, "part"), totals)
 
 
-def schemes_text(part, facts):
-    """Raw scheme rows of all families, every attribute as text."""
+def schemes_text(part, facts, also=()):
+    """Raw scheme rows, every attribute as text; `also` names more columns of `part`."""
     risks = ", ".join(f"'{k}', '{v}'" for k, v in RISK_TEXTS.items())
     base = part.withColumnRenamed("p_partkey", "scheme_idx").join(facts, "scheme_idx")
     return base.selectExpr(
+        *also,
         "scheme_idx",
         "concat_ws(' ', p_name, scheme_idx) AS scheme_name",
         f"concat('{ROOT}/schemes/', scheme_idx) AS scheme_url",
-        f"{_family_url('p_brand')} AS family_url",
+        *([] if "family_url" in also else [f"{_family_url('p_brand')} AS family_url"]),
         "concat('Rank ', 1 + p_size % 5) AS crisil_rating",
         "concat_ws('-', p_type, p_size) AS category",
         f"concat('{ROOT}/categories/', p_type, '-', p_size) AS category_url",
@@ -179,10 +180,16 @@ def schemes_text(part, facts):
 
 
 def selected_schemes(spark, sf_dir, n_families=10):
-    """Text rows of the schemes in the largest families, family columns added."""
+    """Text rows of the schemes in the largest families, family columns added.
+
+    The families are stored once they are known; the join with them comes first,
+    so that only their schemes go on.
+    """
     part, facts = table(spark, sf_dir, "part"), stored_facts(spark, sf_dir)
     top = schemes.top_families(families(part, facts), n_families).drop("num_family_aum")
-    return schemes.expand_families(top, schemes_text(part, facts))
+    part = part.withColumn("family_name", F.col("p_brand"))
+    mine = schemes.expand_families(materialise(top, "families"), part, "family_name")
+    return schemes_text(mine, facts, also=FAMILY_COLUMNS)
 
 
 def scheme_wide(spark, sf_dir, n_families=10):

@@ -27,6 +27,7 @@ QUERIES = {}
 
 # Steps of the stand-in grid: a row counts as good at step n from score 0.40 + n / 100 on.
 GRID = 40
+REPORTED = ("scheme_name", "scheme_url", "fund_ret", *[f"ret_{h}" for h in HORIZONS])
 PASSED_THROUGH = ("scheme_plan", "scheme_option", "scheme_fund_type", "scheme_benchmark", "category", "category_url")
 
 
@@ -209,6 +210,8 @@ def marker_lines(spark, sf_dir):
 @query
 def section_carry_lines(spark, sf_dir):
     lines = _document_lines(spark, sf_dir).withColumn("is_marker", text.is_marker("line", ","))
+    # Only marker text is asked for, so only marker text is shuffled.
+    lines = lines.withColumn("line", F.when(F.col("is_marker"), F.col("line")))
     lines = lines.withColumn("chunk", position_chunk("pos"))
     out = sections.add_section_context(lines, ["doc_id"], "chunk", ["pos"], "line", "is_marker")
     return out.select("doc_id", "pos", "line_no", "section_type", "section_family")
@@ -219,7 +222,7 @@ def section_carry_events(spark, sf_dir):
     events = table(spark, sf_dir, "events").selectExpr(
         "user_id",
         "event_id",
-        "concat(event_type, '#', event_id) AS line",
+        "if(event_type IN ('signup', 'error'), concat(event_type, '#', event_id), NULL) AS line",
         "event_type IN ('signup', 'error') AS is_marker",
     )
     # A user may own any share of the events; a chunk of ids is what a task sorts.
@@ -444,8 +447,8 @@ def train_test_split(spark, sf_dir):
 # --- Features and evaluation ----------------------------------------------
 
 
-def _features(spark, sf_dir, mode):
-    return features.feature_rows(binding.labelled(spark, sf_dir), mode)
+def _features(spark, sf_dir, mode, keep=()):
+    return features.feature_rows(binding.labelled(spark, sf_dir), mode, keep)
 
 
 @query
@@ -570,19 +573,10 @@ def risk_measures(spark, sf_dir):
 # --- Rankings --------------------------------------------------------------
 
 
-def _report(rows, wide):
-    """The recommendation columns: name, seven returns, address."""
-    # Five rows per horizon at most, whatever the size of the tables.
-    out = ranking.with_all_returns(F.broadcast(rows), wide, ["scheme_name", "scheme_url"])
-    return out.drop("scheme_idx", "fund_ret")
-
-
 @query
 def top5_per_horizon(spark, sf_dir):
-    wide = binding.scheme_wide(spark, sf_dir)
-    good = ranking.chosen(binding.label_rows(spark, sf_dir, wide), "label_bin")
-    top = ranking.top_per_horizon(good.select("scheme_idx", "horizon", "is_train", "fund_ret"))
-    return _report(top, wide)
+    good = ranking.chosen(binding.labelled(spark, sf_dir), "label_bin")
+    return ranking.report(ranking.top_per_horizon(good))
 
 
 @query
@@ -594,8 +588,8 @@ def horizon_ranking(spark, sf_dir):
 # --- Forests ---------------------------------------------------------------
 
 
-def _stored_features(spark, sf_dir, folds=False):
-    rows = features.impute_means(_features(spark, sf_dir, "per_horizon"), train_only=True)
+def _stored_features(spark, sf_dir, folds=False, keep=()):
+    rows = features.impute_means(_features(spark, sf_dir, "per_horizon", keep), train_only=True)
     if folds:
         rows = evaluate.add_folds(materialise(rows.filter("is_train"), "training"))
     return forest.assemble(rows)
@@ -619,7 +613,8 @@ def _predictions(spark, sf_dir):
 
 @query
 def forest_predictions(spark, sf_dir):
-    return _predictions(spark, sf_dir)
+    found = _predictions(spark, sf_dir)
+    return found.select("scheme_idx", "horizon", "is_train", "label_bin", "prediction", "probability")
 
 
 @query
@@ -636,8 +631,6 @@ def forest_balanced(spark, sf_dir):
 
 @query
 def forest_recommendations(spark, sf_dir):
-    wide = binding.scheme_wide(spark, sf_dir)
-    returns = reshape.by_horizon(wide).select("scheme_idx", "horizon", "fund_ret")
-    good = ranking.chosen(_predictions(spark, sf_dir)).select("scheme_idx", "horizon", "is_train")
-    top = ranking.top_per_horizon(good.join(returns, ["scheme_idx", "horizon"]))
-    return _report(top, wide)
+    stored = _stored_features(spark, sf_dir, keep=REPORTED)
+    found = forest.predict(stored, forest.fit_horizons(stored))
+    return ranking.report(ranking.top_per_horizon(ranking.chosen(found)))

@@ -11,7 +11,7 @@ from naviscope.schemas import FEATURE_NAMES
 def labelled(spark, rows):
     names = ["num_crisil_rating", "num_family_aum", "num_scheme_aum", "num_latest_nav",
              "num_min_investment", "num_last_dividend", "num_bonus"]
-    schema = "scheme_idx long, horizon string, is_train boolean, fund_ret double, fund_ret_first double, cat_avg double, cat_avg_first double, label double, label_bin int"
+    schema = "scheme_idx long, horizon string, is_train boolean, fund_ret double, ret_1m double, cat_avg double, cat_avg_first double, label double, label_bin int"
     df = spark.createDataFrame(rows, schema)
     nothing = [F.lit(None).cast("double").alias(n) for n in names]
     return df.select("*", F.lit(3).alias("num_scheme_risk"), *nothing)

@@ -86,7 +86,7 @@ def test_by_horizon(spark):
     long = reshape.by_horizon(with_stats(wide_frame(spark)))
     assert long.count() == 5 * len(HORIZONS)
     row = long.filter("scheme_idx = 1 AND horizon = '5y'").first()
-    assert (row.fund_ret, row.cat_avg, row.diff, row.fund_ret_first) == (2, 3, -1, 2)
+    assert (row.fund_ret, row.cat_avg, row.diff, row.ret_1m) == (2, 3, -1, 2)
 
 
 def test_numbers_of_raw_text(spark):
