@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from naviscope.functions import html, text
 from naviscope.schemas import CELL, HORIZONS, MEASURES
 
+
 def parse_pages(pages, wanted, must_contain=None):
     """One parse per page: (page_id, one `array<array<cell>>` per wanted table).
 
@@ -68,7 +69,12 @@ def page_title(pages):
     return pages.select("page_id", F.nullif(title, F.lit("")).alias("title"))
 
 
-def family_rows(pages, root, table="table.tblfund1", keep=10):
+# Where a family list and a family page keep their rows.
+FAMILY_TABLE = "table.tblfund1"
+SCHEME_ROWS = ".FL.MT10.boxBg table tr"
+
+
+def family_rows(pages, root, table=FAMILY_TABLE, keep=10):
     """Families of the first matching table: name and link, assets, short code."""
     parsed = parse_pages(pages, {"families": (table, "first_table")}, "tblfund1")
     rows = first_rows(table_rows(parsed, "families"), keep)
@@ -83,7 +89,7 @@ def family_rows(pages, root, table="table.tblfund1", keep=10):
     )
 
 
-def scheme_rows(pages, root, rows_selector=".FL.MT10.boxBg table tr"):
+def scheme_rows(pages, root, rows_selector=SCHEME_ROWS):
     """Schemes of a family page; absent category, return or assets are null."""
     parsed = parse_pages(pages, {"schemes": (rows_selector, "rows")}, "boxBg")
     rows = inner_rows(table_rows(parsed, "schemes"))

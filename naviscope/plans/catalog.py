@@ -80,7 +80,9 @@ def scheme_table(spark, sf_dir):
 
 
 def _details(spark, sf_dir):
-    return extract.parse_details(derived.detail_pages(binding.scheme_wide(spark, sf_dir)))
+    # Parsing is CPU work: even shares of the rows, before they are rendered.
+    wide = binding.scheme_wide(spark, sf_dir).hint("rebalance")
+    return extract.parse_details(derived.detail_pages(wide))
 
 
 @query
@@ -554,7 +556,7 @@ def risk_measures(spark, sf_dir):
     prices = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_partkey").alias("scheme_idx"), F.date_trunc("month", "l_shipdate").alias("month"))
-        .agg((F.sum(binding.cents("l_extendedprice")) / F.sum(F.col("l_quantity").cast("long"))).alias("price"))
+        .agg(F.expr("try_divide(sum(bigint(rint(l_extendedprice * 100))), sum(bigint(l_quantity))) AS price"))
     )
     returns = risk.period_returns(prices, ["scheme_idx"], "month", "price")
     kinds = table(spark, sf_dir, "part").selectExpr("p_partkey AS scheme_idx", "p_type AS category")
