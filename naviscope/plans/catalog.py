@@ -536,7 +536,9 @@ def precision_recall(spark, sf_dir):
 
 @query
 def roc_points(spark, sf_dir):
-    return evaluate.roc_points(_scored(spark, sf_dir))
+    # Stored, since running sums read the rows twice.
+    rows = _scored(spark, sf_dir).select("horizon", "score", "label_bin")
+    return evaluate.roc_points(materialise(rows, "scored"))
 
 
 @query
