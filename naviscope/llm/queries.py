@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from naviscope.llm import bpe, chat, token_file
+from naviscope.llm import bpe, chat, licenses, quality, token_file, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -34,3 +34,18 @@ def op3_chat_format(spark, sf_dir):
 @query
 def op5_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query
+def op1_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_url_filter(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"))
