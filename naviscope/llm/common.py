@@ -18,12 +18,23 @@ def columns(df, **types):
     return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in types.items()])
 
 
-def checked_join(big, keys, on, how):
-    """`big` joined to `keys`, broadcast only if `keys` (stored, key columns) is small by count."""
-    small = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+def checked_join(big, keys, on, how, rows=BROADCAST_ROWS):
+    """`big` joined to `keys` (stored, narrow), broadcast only if a count finds at most `rows` rows."""
+    small = keys.limit(rows + 1).count() <= rows
     return big.join(F.broadcast(keys) if small else keys, on, how)
 
 
+def without(documents, keys, fingerprint):
+    """`documents` but for the rows whose doc_id and fingerprint are in `keys` (stored, distinct).
+
+    `keys` has columns doc_id and fingerprint; `fingerprint` computes the latter from a row.
+    """
+    keys = keys.select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_key"))
+    marked = documents.withColumn("_print", fingerprint)
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_print").eqNullSafe(F.col("_key"))
+    return checked_join(marked, keys, on, "left_anti").drop("_print")
+
+
 def process_cache(name, make):
     """`make()` once per Python worker process; a reused worker keeps it from task to task."""
     import types

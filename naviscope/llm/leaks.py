@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import chunks, columns, process_cache
+from naviscope.llm.common import chunks, columns, process_cache, without
+from naviscope.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -235,3 +236,9 @@ def search(documents, benchmark):
 
         result = result.unionByName(rows.mapInArrow(run, FOUND))
     return result
+
+
+def clean_documents(documents, benchmark):
+    """`documents` without those that hold a passage; all columns stay."""
+    found = materialise(search(documents, benchmark).select("doc_id", "fingerprint").distinct(), "leaks")
+    return without(documents, found, F.xxhash64(F.col("text").cast("string")))

@@ -11,7 +11,7 @@ Groups of under SUPPORT rows take the merged sketch of their language, or of all
 
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import checked_join
+from naviscope.llm.common import checked_join, without
 from naviscope.session import materialise
 
 MIN_WORDS = 10
@@ -125,3 +125,11 @@ def judge(documents, key=("doc_id",)):
         inside &= F.coalesce(F.col(m).between(F.col(f"low_{m}") - more, F.col(f"high_{m}") + more), F.lit(True))
     names = [c for c in rows.columns if c not in ("lang", "source", "n_lines", *MEASURES)]
     return checked_join(rows, renamed, on, "left").select(*names, inside.alias("kept"))
+
+
+def kept_documents(documents):
+    """`documents` without the rows that the rules reject; all columns stay."""
+    fingerprint = F.xxhash64(*[F.col(c).cast("string") for c in ("text", "lang", "source")])
+    verdicts = judge(documents.withColumn("fingerprint", fingerprint), key=("doc_id", "fingerprint"))
+    rejected = materialise(verdicts.where("NOT kept").select("doc_id", "fingerprint").distinct(), "rejected")
+    return without(documents, rejected, fingerprint)

@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from naviscope.llm import bpe, chat, licenses, quality, token_file, urls
+from naviscope.llm import bpe, chat, leaks, licenses, main_text, near, pii, quality, token_file, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -49,3 +49,24 @@ def op4_url_filter(spark, sf_dir):
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_decontamination(spark, sf_dir):
+    found = leaks.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("fingerprint")
+
+
+@query
+def op7_jaccard_join(spark, sf_dir):
+    return near.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "copy_id")
+
+
+@query
+def op8_pii(spark, sf_dir):
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_main_text(spark, sf_dir):
+    return main_text.extract(table(spark, sf_dir, "pages"))
