@@ -165,4 +165,4 @@ def redacted(documents):
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
     rows = documents.mapInArrow(run, schema)
-    return rows.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in schema.names else rows
+    return rows.withColumn("n_chars", F.coalesce(F.length("text").cast(schema["n_chars"].dataType), F.col("n_chars"))) if "n_chars" in schema.names else rows
