@@ -9,6 +9,10 @@ from naviscope.schemas import MISSING_TOKENS, RISK_CODES
 NUMERIC_NOISE = r"(?i)(Rs[ ]*\.)|[^\d|.|-]|(Rank[ ]*)"
 
 
+# Unicode white space, with the four separators that Java's class leaves out.
+WHITE = r"[\s\x1c-\x1f]"
+
+
 def _col(x):
     return x if isinstance(x, Column) else F.col(x)
 
@@ -53,12 +57,12 @@ def zero_fill(x) -> Column:
 
 def strip(x) -> Column:
     """Trim any Unicode whitespace, line ends included."""
-    return F.regexp_replace(_col(x), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(_col(x), rf"(?U)^{WHITE}+|{WHITE}+$", "")
 
 
 def collapse_spaces(x) -> Column:
     """Runs of whitespace to one blank, ends trimmed."""
-    return F.trim(F.regexp_replace(_col(x), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(_col(x), rf"(?U){WHITE}+", " "))
 
 
 def short_name(x) -> Column:
@@ -90,7 +94,7 @@ def absolute_url(root, x) -> Column:
 
 
 def is_blank(x) -> Column:
-    return ~_col(x).rlike(r"(?U)\S")
+    return ~_col(x).rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def is_marker(x, delimiter=";") -> Column:

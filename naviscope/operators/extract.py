@@ -57,7 +57,7 @@ def cell(i, field="text"):
 
 def anchors(pages, root):
     """(page_id, pos, href, url): every anchor with its absolute address."""
-    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)">'), F.lit(1))
+    hrefs = F.regexp_extract_all("html", F.lit(r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(["'])(.*?)\1"""), F.lit(2))
     return pages.select("page_id", F.posexplode(hrefs).alias("pos", "href")).withColumn(
         "url", text.absolute_url(root, "href")
     )
@@ -65,7 +65,7 @@ def anchors(pages, root):
 
 def page_title(pages):
     """(page_id, title): the first title, empty as missing, blanks kept."""
-    title = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
+    title = F.regexp_extract("html", r"(?is)<title(?:\s[^>]*)?>(.*?)</title>", 1)
     return pages.select("page_id", F.nullif(title, F.lit("")).alias("title"))
 
 

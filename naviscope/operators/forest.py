@@ -16,44 +16,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from naviscope.operators.evaluate import f1_scores
-from naviscope.operators.features import FEATURES, duplicate_minority
+from naviscope.operators.features import FEATURES
 from naviscope.schemas import CHOSEN_TREES, FEATURE_NAMES, SPARSE_FEATURES
 from naviscope.session import materialise
 
-# The learner's deepest setting comes closest to growing trees until leaves are pure.
-# Each level is a pass over the training rows: lower it for very large tables.
+# The learner's deepest setting comes closest to growing trees until leaves are pure. A leaf
+# holds at least this share of the rows, which bounds a tree's leaves whatever their number.
 MAX_DEPTH = 30
+LEAF_SHARE = 0.002
 SEED = 17
-MIN_POSITIVES = 10
 PARALLEL_FITS = 6
 
 
 def assemble(rows, label="label_bin"):
     """Feature vector and numeric label, written once, one folder per horizon."""
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
-    vectors = vectors.withColumn(label, F.col(label).cast("double")).drop(*FEATURES)
+    # Both classes are declared: a horizon may have rows of one only.
+    classes = {"ml_attr": {"type": "nominal", "name": label, "vals": ["0", "1"]}}
+    vectors = vectors.withColumn(label, F.col(label).cast("double").alias(label, metadata=classes)).drop(*FEATURES)
     return materialise(vectors, "features", ["horizon"])
 
 
-def trainable(stored, label="label_bin", least=MIN_POSITIVES):
-    """(horizons fit to train on, horizons skipped for want of either class)."""
-    counts = stored.groupBy("horizon").agg(
-        F.expr(f"sum(CASE WHEN is_train THEN {label} ELSE 0D END)").alias("good"),
-        F.expr(f"sum(CASE WHEN is_train THEN 1 - {label} ELSE 0D END)").alias("bad"),
-    )
-    rows = counts.collect()  # one row per horizon
-    good = sorted(r.horizon for r in rows if min(r.good, r.bad) >= least)
-    return good, sorted(r.horizon for r in rows if r.horizon not in good)
+def class_counts(rows, label="label_bin"):
+    """{horizon: (good, bad)} of rows to train on: one row per horizon reaches the driver."""
+    counts = rows.groupBy("horizon").agg(F.sum(label).alias("good"), F.sum(1 - F.col(label)).alias("bad"))
+    return {r.horizon: (r.good, r.bad) for r in counts.collect()}
 
 
-def fit(train, num_trees, label="label_bin", max_depth=MAX_DEPTH, seed=SEED):
-    return RandomForestClassifier(
+def fit(train, num_trees, label="label_bin", max_depth=MAX_DEPTH, leaf_share=LEAF_SHARE, weight=None, seed=SEED):
+    learner = RandomForestClassifier(
         featuresCol="features",
         labelCol=label,
         numTrees=num_trees,
         maxDepth=max_depth,
+        minWeightFractionPerNode=leaf_share,
         seed=seed,
-    ).fit(train)
+    )
+    return (learner.setWeightCol(weight) if weight else learner).fit(train)
 
 
 def _side_by_side(task, items, parallelism):
@@ -99,11 +98,13 @@ def cross_validate(stored, folds=10, max_trees=40, parallelism=PARALLEL_FITS, **
     """(horizon, num_trees, fold, f1) for 1..max_trees trees.
 
     `stored` comes from `assemble` and carries `fold`; only training rows count.
-    One forest per horizon and fold, scored at every prefix of its trees.
+    One forest per horizon and fold, scored at every prefix of its trees. A fold that
+    holds all rows of its horizon leaves none to train on and has no score.
     """
     spark = stored.sparkSession
     rows = stored.filter("is_train")
-    horizons, _ = trainable(rows)
+    sizes = {(r.horizon, r.fold): r["count"] for r in rows.groupBy("horizon", "fold").count().collect()}
+    total = {h: sum(n for (g, _), n in sizes.items() if g == h) for h, _ in sizes}
 
     def one(job):
         horizon, fold = job
@@ -113,7 +114,7 @@ def cross_validate(stored, folds=10, max_trees=40, parallelism=PARALLEL_FITS, **
         # Four counts per tree count.
         return [(horizon, r.num_trees, fold, r.prediction, r.label_bin, r.n) for r in counts.collect()]
 
-    jobs = [(h, f) for h in horizons for f in range(folds)]
+    jobs = [(h, f) for h in sorted(total) for f in range(folds) if sizes.get((h, f), 0) < total[h]]
     found = [row for part in _side_by_side(one, jobs, parallelism) for row in part]
     schema = "horizon string, num_trees int, fold int, prediction int, label_bin int, n long"
     counts = spark.createDataFrame(found, schema)
@@ -125,17 +126,21 @@ def fit_horizons(
 ):
     """{horizon: model} on the training rows, with each horizon's tree count.
 
-    `balanced` repeats the good rows until both classes weigh about the same.
+    `balanced` weighs the good rows so that both classes weigh the same. Every horizon
+    with a training row has its forest, one class or two.
     """
     rows = stored.filter("is_train")
-    horizons, _ = trainable(rows)
-    if balanced:
-        rows = duplicate_minority(rows)
+    counts = class_counts(rows)
 
     def one(horizon):
-        return horizon, fit(rows.filter(F.col("horizon") == horizon), trees[horizon], **options)
+        mine, (good, bad) = rows.filter(F.col("horizon") == horizon), counts[horizon]
+        if not balanced:
+            return horizon, fit(mine, trees[horizon], **options)
+        ratio = bad / good if good and bad else 1.0
+        mine = mine.withColumn("weight", F.when(F.col("label_bin") == 1, ratio).otherwise(1.0))
+        return horizon, fit(mine, trees[horizon], weight="weight", **options)
 
-    return dict(_side_by_side(one, horizons, parallelism))
+    return dict(_side_by_side(one, sorted(counts), parallelism))
 
 
 def importances(spark, models):
@@ -156,18 +161,15 @@ def predict(stored, models):
     """All rows, training rows included, with `prediction` and `probability`.
 
     The rows keep the columns they were stored with, so that nothing has to be
-    joined to them afterwards.
+    joined to them afterwards. A horizon without a model has null predictions.
     """
-    parts = [
-        model.transform(stored.filter(F.col("horizon") == horizon))
-        for horizon, model in models.items()
-    ]
-    if not parts:
-        raise ValueError("no horizon has enough rows of both classes")
-    out = functools.reduce(DataFrame.union, parts)
-    return out.select(
-        *[c for c in stored.columns if c not in ("features", "label_bin")],
-        F.col("label_bin").cast("int").alias("label_bin"),
-        F.col("prediction").cast("int").alias("prediction"),
-        vector_to_array("probability")[1].alias("probability"),
-    )
+    kept = [c for c in stored.columns if c not in ("features", "label_bin")]
+
+    def scored(rows, prediction, probability):
+        return rows.select(*kept, F.col("label_bin").cast("int").alias("label_bin"), prediction.cast("int").alias("prediction"), probability.cast("double").alias("probability"))
+
+    parts = [scored(stored.filter(~F.col("horizon").isin(*models)), F.lit(None), F.lit(None))]
+    for horizon, model in models.items():
+        rows = model.transform(stored.filter(F.col("horizon") == horizon))
+        parts.append(scored(rows, F.col("prediction"), vector_to_array("probability")[1]))
+    return functools.reduce(DataFrame.union, parts)

@@ -24,14 +24,24 @@ def unmatched(df, dimension, key, dimension_key):
 def name_matches(left, right, left_keys, right_keys, right_id):
     """Each left row with its counterpart on normalised key columns.
 
-    Several right rows may share a key. They are reduced first to the smallest
-    id and their number, so a common name cannot multiply the result.
+    Several right rows may share a key: then the id is null, `n_candidates` says
+    how many there are, and `ambiguous_names` lists them. They are counted before
+    the join, so a common name cannot multiply the result.
     """
     keys = [f"__k{i}" for i in range(len(left_keys))]
+    only = F.when(F.count(F.lit(1)) == 1, F.min(right_id))
     candidates = (
         right.select(right_id, *[k.alias(n) for k, n in zip(right_keys, keys)])
         .groupBy(*keys)
-        .agg(F.min(right_id).alias(right_id), F.count(F.lit(1)).alias("n_candidates"))
+        .agg(only.alias(right_id), F.count(F.lit(1)).alias("n_candidates"))
     )
     keyed = left.select("*", *[k.alias(n) for k, n in zip(left_keys, keys)])
     return keyed.join(candidates, keys, "left").drop(*keys)
+
+
+def ambiguous_names(right, right_keys, right_id):
+    """(keys, id) of every row whose key columns (name -> expression) others share."""
+    rows = right.select(*[k.alias(n) for n, k in right_keys.items()], right_id)
+    names = list(right_keys)
+    shared = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
+    return rows.join(shared, names)

@@ -11,24 +11,23 @@ def performance_wide(long, keys, horizons=HORIZONS, value="value", order=None):
     The columns are fixed, so no job has to look for them. Of a repeated cell
     the last in `order` wins, or the largest value where no order is given.
     """
-    pick = F.max_by(value, order) if order else F.max(value)
     cell = F.concat_ws("_", "measure", "horizon")
-    return (
-        long.withColumn("__cell", cell)
-        .groupBy(*keys)
-        .pivot("__cell", measure_columns(horizons))
-        .agg(pick)
-    )
+
+    def pick(name):
+        mine = F.when(cell == name, F.col(value))
+        return F.max_by(mine, F.when(cell == name, F.col(order))) if order else F.max(mine)
+
+    return long.groupBy(*keys).agg(*[pick(c).alias(c) for c in measure_columns(horizons)])
 
 
 def performance_cells(wide, keys, horizons=HORIZONS, value="value"):
-    """The inverse: (keys, measure, horizon, value), missing cells left out."""
+    """The inverse: (keys, measure, horizon, value); unknown cells are null, so no key is lost."""
     cells = ", ".join(
         f"struct('{m}' AS measure, '{h}' AS horizon, {m}_{h} AS {value})"
         for m in MEASURES.values()
         for h in horizons
     )
-    return wide.selectExpr(*keys, f"inline(array({cells}))").filter(F.col(value).isNotNull())
+    return wide.selectExpr(*keys, f"inline(array({cells}))")
 
 
 def by_horizon(wide, horizons=HORIZONS, first="1m"):

@@ -21,8 +21,8 @@ def benchmark_returns(returns, by, period):
     return returns.groupBy(*by, period).agg((F.sum("ret").cast("double") / F.count("ret")).alias("bench"))
 
 
-def risk_measures(returns, benchmark, key, by, period, risk_free=0.0, min_periods=6):
-    """One row per key with at least `min_periods`; a division by zero gives null."""
+def risk_measures(returns, benchmark, key, by, period, risk_free=0.0):
+    """One row per key, however short its series; what a series does not define is null."""
     r = f"(ret - {risk_free}D)"
     joined = returns.join(benchmark, [*by, period])
     joined = joined.withColumn("exact", F.col("ret")).withColumn("ret", F.col("ret").cast("double"))
@@ -37,7 +37,7 @@ def risk_measures(returns, benchmark, key, by, period, risk_free=0.0, min_period
         F.expr("try_divide(avg(CASE WHEN bench > 0 THEN ret END), avg(CASE WHEN bench > 0 THEN bench END))").alias("up_capture"),
         F.expr("try_divide(avg(CASE WHEN bench < 0 THEN ret END), avg(CASE WHEN bench < 0 THEN bench END))").alias("down_capture"),
     )
-    return stats.filter(F.col("n_periods") >= min_periods).selectExpr(
+    return stats.selectExpr(
         key,
         "n_periods",
         "mean_excess",

@@ -146,10 +146,10 @@ def split_rows(sectioned, delimiter=";"):
 
 
 def zip_headings(rows, names):
-    """One string column per heading in `names`, null where a file lacks it."""
+    """One string column per heading in `names`, null where a file lacks it; the last of equal headings counts."""
     def value(name):
-        at = F.array_position(F.col("headings"), F.lit(name)).cast("int")
-        return F.when(at > 0, F.get(F.col("fields"), at - 1)).alias(name)
+        at = F.array_position(F.reverse("headings"), F.lit(name)).cast("int")
+        return F.when(at > 0, F.get(F.col("fields"), F.size("headings") - at)).alias(name)
 
     rest = [c for c in rows.columns if c not in ("fields", "headings")]
     return rows.select(*rest, *[value(n) for n in names])

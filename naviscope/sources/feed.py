@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 from naviscope.functions import text
 from naviscope.operators import sections
 
-MAX_HEADERS = 1000
-
 
 def _raw(reader, path):
     return reader.option("lineSep", "\n").text(path).select(
@@ -44,12 +42,10 @@ def headings_of(lines, delimiter=";"):
 
 
 def heading_names(lines):
-    """Every heading name of any file; only the distinct headers reach the driver."""
-    distinct = headings_of(lines).select("headings").distinct().orderBy("headings")
-    lists = [r.headings for r in distinct.limit(MAX_HEADERS + 1).collect()]
-    if len(lists) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers; pass the headings instead")
-    return list(dict.fromkeys(name for names in lists for name in names))
+    """Every heading name of any file, by its first place; one row per column reaches the driver."""
+    names = headings_of(lines).select(F.posexplode("headings").alias("at", "name"))
+    first = names.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name")
+    return [r.name for r in first.collect()]
 
 
 def enriched_feed(lines, dimension, names=None, strict=False):

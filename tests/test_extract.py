@@ -77,3 +77,10 @@ def test_flat_patterns(spark):
     assert [tuple(r) for r in extract.page_title(pages).orderBy("page_id").collect()] == [(0, " T "), (1, None)]
     found = [tuple(r) for r in extract.anchors(pages, ROOT).orderBy("pos").collect()]
     assert found == [(0, 0, "/x", "http://h/x"), (0, 1, "/y", "http://h/y")]
+
+
+def test_anchors_and_titles_of_any_spelling(spark):
+    html = "<TITLE lang=en>T\nx</TITLE><a class=\"k\" href=\"/x\">1</a><A href='/y' id=q>2</A><a data-href=\"/no\">3</a><a\nhref = \"/z\">4</a>"
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r.href for r in extract.anchors(pages, "").orderBy("pos").collect()] == ["/x", "/y", "/z"]
+    assert extract.page_title(pages).first().title == "T\nx"

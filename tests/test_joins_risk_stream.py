@@ -26,7 +26,10 @@ def test_name_matches_do_not_multiply(spark):
     right = spark.createDataFrame([(j, "X") for j in range(50)], "id int, n string")
     found = joins.name_matches(left, right, [F.col("n")], [F.lower("n")], "id").collect()
     assert len(found) == 30
-    assert {(r.n, r.id, r.n_candidates) for r in found} == {("x", 0, 50), ("y", None, None)}
+    assert {(r.n, r.id, r.n_candidates) for r in found} == {("x", None, 50), ("y", None, None)}
+    assert sorted(r.id for r in joins.ambiguous_names(right, {"n": F.lower("n")}, "id").collect()) == list(range(50))
+    one = joins.name_matches(left, right.limit(1), [F.col("n")], [F.lower("n")], "id").filter("n = 'x'").first()
+    assert one.id is not None and one.n_candidates == 1
 
 
 def test_risk_measures(spark):
@@ -47,7 +50,8 @@ def test_risk_measures(spark):
     assert row.r_squared == pytest.approx(statistics.correlation(bench, ret) ** 2)
     assert row.treynor == pytest.approx(mean / slope)
     assert row.up_capture == pytest.approx(8.5 / 6) and row.down_capture == pytest.approx(1.0)
-    assert risk.risk_measures(series, market, "k", ["c"], "month", min_periods=7).count() == 0
+    short = risk.risk_measures(series.filter("month = 0"), market, "k", ["c"], "month").first()
+    assert (short.n_periods, short.mean_excess, short.std_dev, short.sharpe) == (1, 1.0, None, None)
 
 
 def test_period_returns_and_benchmark(spark):

@@ -100,17 +100,20 @@ def stored(spark):
 
 
 def test_forest(spark, stored):
-    assert forest.trainable(stored) == (["1m"], ["5y"])
     models = forest.fit_horizons(stored, max_depth=5)
-    shares = forest.importances(spark, models)
+    assert sorted(models) == ["1m", "5y"] and models["5y"].numClasses == 2
+    shares = forest.importances(spark, models).filter("horizon = '1m'")
     assert sum(r.importance for r in shares.collect()) == pytest.approx(1)
     assert [r.feature for r in shares.collect()] == list(FEATURE_NAMES)
     assert forest.reported_importances(shares).count() == 8
+    without = forest.predict(stored, {"1m": models["1m"]}).filter("horizon = '5y'").first()
+    assert (without.prediction, without.probability) == (None, None)
     found = forest.predict(stored, models)
     again = forest.predict(stored, forest.fit_horizons(stored, max_depth=5))
     assert sorted(found.collect()) == sorted(again.collect())
-    assert found.count() == 400
-    score = evaluate.accuracy(found.filter("NOT is_train")).first()
+    assert found.count() == 401
+    assert found.filter("horizon = '5y'").first().prediction == 0
+    score = evaluate.accuracy(found.filter("NOT is_train AND horizon = '1m'")).first()
     assert score.n_rows == 100 and score.majority_share < score.accuracy <= 1
 
 
@@ -129,10 +132,21 @@ def test_prefixes_end_at_the_whole_forest(stored):
     }
 
 
+def test_trees_do_not_grow_with_the_rows(spark):
+    rng = random.Random(4)
+
+    def nodes(n):
+        rows = [(i, "1m", True, rng.randint(0, 1), *[rng.random() for _ in features.FEATURES]) for i in range(n)]
+        schema = "scheme_idx long, horizon string, is_train boolean, label_bin int, " + ", ".join(f"{f} double" for f in features.FEATURES)
+        return forest.fit(forest.assemble(spark.createDataFrame(rows, schema)), 3, leaf_share=0.02).totalNumNodes
+
+    assert nodes(10_000) < 1.5 * nodes(1_000)
+
+
 def test_balanced_training_finds_more_good_rows(stored):
     def recall(balanced):
         found = forest.predict(stored, forest.fit_horizons(stored, balanced=balanced, max_depth=3))
-        return evaluate.precision_recall(found.filter("is_train"), ["horizon"]).first().recall
+        return evaluate.precision_recall(found.filter("is_train AND horizon = '1m'"), ["horizon"]).first().recall
 
     assert recall(True) >= recall(False)
 

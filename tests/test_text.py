@@ -97,3 +97,9 @@ def test_fields_and_codes(spark):
 def test_rounding_is_away_from_zero(spark):
     df = spark.createDataFrame([(v,) for v in (0.5, 1.5, 2.5, -0.5)], "x double")
     assert [r[0] for r in df.select(scores.half_up(F.col("x"))).collect()] == [1.0, 2.0, 3.0, -1.0]
+
+
+def test_every_unicode_blank_counts(spark):
+    assert apply(spark, ["a\x1c\x1db", "\x1fx\x1e"], text.collapse_spaces("x")) == ["a b", "x"]
+    assert apply(spark, ["\x1c a\x1f"], text.strip("x")) == ["a"]
+    assert apply(spark, ["\x1f", " ", "a"], text.is_blank("x")) == [True, True, False]
