@@ -11,13 +11,13 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import chunks, columns, process_cache
+from naviscope.llm.common import chunks, columns, process_cache, tidy
 from naviscope.llm.pretokens import encode_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Pairs of tokens whose compatibility a worker remembers.
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_PAIRS = 100_000
 
 
 def byte_letters():
@@ -161,7 +161,7 @@ def worker(vocabulary, per_chunk):
 
     def run(batches):
         codec = process_cache(f"codec_{hash(vocabulary.value)}", lambda: Codec(vocabulary.value))
-        for batch in batches:
+        for batch in tidy(batches):
             yield from per_chunk(codec, batch)
 
     return run

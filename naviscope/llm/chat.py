@@ -17,7 +17,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import functions as F
 
 from naviscope.llm.bpe import read_vocabulary
-from naviscope.llm.common import CHUNK_CHARS, columns, process_cache
+from naviscope.llm.common import columns, process_cache, tidy
 from naviscope.session import new_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -92,7 +92,7 @@ def formatter(vocabulary, limit):
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], ["conv_id", "part", "seq", "formatted", "token_ids", "spans", "masked"])
 
         conv, turns, size = None, [], 0
-        for batch in batches:
+        for batch in tidy(batches):
             for key, role, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if turns and (key != conv or size >= limit):
                     yield segment(conv, turns)
@@ -106,7 +106,7 @@ def formatter(vocabulary, limit):
     return run
 
 
-def write_formatted(conversations, vocabulary_path, path, limit=CHUNK_CHARS // 4):
+def write_formatted(conversations, vocabulary_path, path, limit=250_000):
     """Write every conversation, formatted, encoded and masked, as segments.
 
     Rows are dealt out by ranges of (conv_id, turn), so a conversation with a third of all
@@ -146,7 +146,7 @@ def digests(spark, path):
         def table():
             return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if n.endswith("256") else pa.int64()) for n, c in zip(names, zip(*rows))], names)
 
-        for batch in batches:
+        for batch in tidy(batches):
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in ("conv_id", "formatted", "spans", "masked")}
                 if state is None or row["conv_id"] != key:

@@ -1,7 +1,9 @@
 """Small helpers of the text operators."""
 
+import ctypes
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # A side of a join goes to every executor only below so many rows of a few bytes each.
 BROADCAST_ROWS = 1_000_000
 # Characters that a worker turns into arrays at a time (a longer text makes a chunk of its own).
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 400_000
 
 
 def columns(df, **types):
@@ -45,6 +47,20 @@ def process_cache(name, make):
     return getattr(module, name)
 
 
+def tidy(batches, rows=1000):
+    """The rows of Arrow batches in slices; after each batch, unused memory goes back to the system.
+
+    Workers outlive their tasks, so what an allocator keeps would add up over a job's stages.
+    """
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: None)
+    for batch in batches:
+        for start in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(start, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+        trim(0)
+
+
 def chunks(batch, key, text, limit=CHUNK_CHARS):
     """(keys, texts) of bounded size from an Arrow batch; a null text is empty."""
     keys, texts, total = [], [], 0

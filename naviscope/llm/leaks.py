@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import chunks, columns, process_cache, without
+from naviscope.llm.common import chunks, columns, process_cache, tidy, without
 from naviscope.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -220,7 +220,7 @@ def search(documents, benchmark):
             table = process_cache("fold_table", fold_table)
             passages = Passages(held.value, table)
             names = [f.split()[0] for f in FOUND.split(", ")]
-            for batch in batches:
+            for batch in tidy(batches):
                 done = 0
                 for keys, texts in chunks(batch, 0, 1, 500_000):
                     best = {}

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import checked_join
+from naviscope.llm.common import checked_join, tidy
 from naviscope.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -138,7 +138,7 @@ class Page(HTMLParser):
 
 
 def subtree_hashes(batches):
-    for batch in batches:
+    for batch in tidy(batches):
         found = [Page(h.as_py() or "").hashes() for h in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["host", "hashes"])
 
@@ -166,7 +166,7 @@ def extract(pages):
     names = ["page_id", "url", "text", "n_chars"]
 
     def run(batches):
-        for batch in batches:
+        for batch in tidy(batches):
             values = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             texts = [Page(h or "").main_text(frozenset(t or ())) for h, t in values]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import checked_join, chunks, process_cache
+from naviscope.llm.common import checked_join, chunks, process_cache, tidy
 from naviscope.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -61,7 +61,7 @@ def shingles(texts):
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(np.concatenate(([True], blank)).view(np.int8)))
     first, last = edge[::2], edge[1::2]
-    up, down = process_cache("powers", lambda: powers(1 << 22)) if len(data) < 1 << 22 else powers(len(data) + 1)
+    up, down = process_cache("powers", lambda: powers(1 << 20)) if len(data) < 1 << 20 else powers(len(data) + 1)
     total = np.zeros(len(data) + 1, U)
     np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=total[1:])
     word = mix((total[last] - total[first]) * down[first] + (last - first).astype(U))
@@ -103,7 +103,7 @@ def signatures(hashes, first):
 
 def sign(batches):
     names = [f.split()[0] for f in SIGNED.split(", ")]
-    for batch in batches:
+    for batch in tidy(batches):
         done = 0
         for keys, texts in chunks(batch, 0, 1, 500_000):
             hashes, ends = shingles(texts)
@@ -210,7 +210,7 @@ def verify(batches):
         nodes = [r[1] for r in rows]
         return pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(linked @ copies, pa.int64()), pa.array([nodes[k] for k in root], pa.binary())], names)
 
-    for batch in batches:
+    for batch in tidy(batches):
         rest = list(zip(*(batch.column(c).to_pylist() for c in ("label", "i", "j", "block", "node", "n_copies"))))
         done = 0
         for _, texts in chunks(batch, 0, batch.schema.get_field_index("text"), 500_000):

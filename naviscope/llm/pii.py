@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import chunks, columns, process_cache
+from naviscope.llm.common import chunks, columns, process_cache, tidy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -143,7 +143,7 @@ def scan(documents):
 
     def run(batches):
         automaton = process_cache("pii_anchors", anchors)
-        for batch in batches:
+        for batch in tidy(batches):
             for keys, texts in chunks(batch, 0, 1):
                 found = [find(t, automaton) for t in texts]
                 counts = [pa.array([len(f.get(k, ())) for f in found], pa.int64()) for k in BASE]
@@ -160,7 +160,7 @@ def redacted(documents):
 
     def run(batches):
         automaton = process_cache("pii_anchors", anchors)
-        for batch in batches:
+        for batch in tidy(batches):
             texts = [t and redact(t, find(t, automaton)) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 

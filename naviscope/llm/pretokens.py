@@ -14,7 +14,7 @@ OTHER, LETTER, NUMBER, SPACE, END = 0, 1, 2, 3, 9
 # The characters of Unicode's White_Space.
 WHITE = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 # Pre-tokens a worker remembers; past that it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 100_000
 
 
 def character_kinds():
@@ -62,11 +62,12 @@ def split_pieces(segments, kinds):
     return pieces, list(zip([0, *(stop[:-1] + 1).tolist()], stop.tolist()))
 
 
-def encode_texts(texts, known, encode_new, special):
+def encode_texts(texts, known, encode_new, special, remembered=None):
     """Ids of each text as little-endian unsigned 32-bit bytes.
 
     `known` maps pre-tokens to such bytes; `encode_new` makes them for a list of
-    unknown ones. `special` is (marker, its id): the marker splits a text first.
+    unknown ones; past `remembered` of them it is emptied. `special` is (marker, its id):
+    the marker splits a text first.
     """
     marker, marker_bytes = special[0], int(special[1]).to_bytes(4, "little")
     segments, per_text = [], []
@@ -74,7 +75,7 @@ def encode_texts(texts, known, encode_new, special):
         parts = t.split(marker) if marker in t else (t,)
         segments += parts
         per_text.append(len(parts))
-    if len(known) > REMEMBERED:
+    if len(known) > (remembered or REMEMBERED):
         known.clear()
     pieces, bounds = split_pieces(segments, process_cache("character_kinds", character_kinds))
     values = list(map(known.get, pieces))

@@ -22,7 +22,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import functions as F
 
 from naviscope.llm.bpe import read_vocabulary
-from naviscope.llm.common import chunks, columns, process_cache
+from naviscope.llm.common import chunks, columns, process_cache, tidy
 from naviscope.llm.pretokens import encode_texts
 from naviscope.session import new_folder
 
@@ -32,6 +32,8 @@ BLOCK = 512
 # A segment is closed once it holds so many ids (documents stay whole).
 SEGMENT_TOKENS = 1 << 18
 END_OF_DOCUMENT = 0
+# Pre-tokens a worker remembers (about 250 bytes each).
+REMEMBERED = 1_000_000
 SEGMENTS = "shard int, seq int, offset long, doc_ids array<long>, doc_tokens array<int>, payload binary"
 
 
@@ -119,9 +121,9 @@ def segment_writer(vocabulary, segment_tokens):
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], list(row))
 
         filled = 0
-        for batch in batches:
+        for batch in tidy(batches):
             for keys, texts in chunks(batch, 0, 1):
-                for key, ids in zip(keys, encode_texts(texts, known, encode_new, special)):
+                for key, ids in zip(keys, encode_texts(texts, known, encode_new, special, REMEMBERED)):
                     docs.append(key)
                     held.append(ids + end)
                     sizes.append(len(ids) // 4 + 1)
@@ -165,7 +167,7 @@ def document_digests(segments):
     """Per document, decoded from the codes: doc_id, start, n_tokens, ids_crc32."""
 
     def run(batches):
-        for batch in batches:
+        for batch in tidy(batches):
             for row in batch.to_pylist():
                 data = Codes(row["payload"]).all().astype("<u4").tobytes()
                 sizes = row["doc_tokens"]
