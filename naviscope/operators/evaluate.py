@@ -72,28 +72,21 @@ def expand_levels(counts, levels, level="level", prediction="prediction", out="n
 def box_plot(scores, by, value="f1"):
     """Quartiles, whiskers within 1.5 box heights, and outliers per group.
 
-    For groups of bounded size such as the folds of a grid point.
+    `scores` is read twice. Exact quartiles hold the distinct values of a group, not its rows.
     """
-    q = scores.groupBy(*by).agg(
-        F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("q"),
-        F.collect_list(value).alias("v"),
-    )
-    q = q.selectExpr(
-        *by,
-        "q[0] AS q1",
-        "q[1] AS median",
-        "q[2] AS q3",
-        "filter(v, x -> x >= q[0] - 1.5 * (q[2] - q[0]) AND x <= q[2] + 1.5 * (q[2] - q[0])) AS near",
-        "size(v) AS n",
-    )
-    return q.selectExpr(
-        *by,
-        "q1",
-        "median",
-        "q3",
-        "array_min(near) AS whisker_low",
-        "array_max(near) AS whisker_high",
-        "n - size(near) AS outliers",
+    q = scores.groupBy(*by).agg(F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("__q"))
+    q = q.select(*[F.col(c).alias(f"__{c}") for c in by], "__q")
+    on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    q1, median, q3 = (F.col("__q")[i] for i in range(3))
+    reach = 1.5 * (q3 - q1)
+    near = F.col(value).between(q1 - reach, q3 + reach)
+    return scores.join(q, on).groupBy(*by).agg(
+        F.first(q1).alias("q1"),
+        F.first(median).alias("median"),
+        F.first(q3).alias("q3"),
+        F.min(F.when(near, F.col(value))).alias("whisker_low"),
+        F.max(F.when(near, F.col(value))).alias("whisker_high"),
+        F.count_if(~near).cast("int").alias("outliers"),
     )
 
 

@@ -20,6 +20,9 @@ BASE_FEATURES = (
 
 MODES = ("per_horizon", "reference")
 
+# Copies of one row that a task makes at a time.
+COPIES = 10_000
+
 
 def _return_feature(mode, own, first):
     """A return feature: the horizon's own value, or the first horizon's gated by it.
@@ -94,7 +97,8 @@ def balance(rows, label="label_bin"):
 def duplicate_minority(rows, label="label_bin"):
     """Good rows repeated until they are about as many as the bad ones.
 
-    The factor is the rounded ratio of bad to good per horizon, at least 1.
+    The factor is the rounded ratio of bad to good per horizon, at least 1. Copies
+    are made in runs of COPIES that are dealt out first: no task makes all of a row's.
     """
     b = balance(rows, label)
     factor = F.greatest(
@@ -102,11 +106,14 @@ def duplicate_minority(rows, label="label_bin"):
     )
     factors = b.select("horizon", F.coalesce(factor, F.lit(1)).cast("int").alias("__times"))
     times = F.when(F.col(label) == 1, F.col("__times")).otherwise(1)
-    return (
+    runs = (
         rows.join(F.broadcast(factors), "horizon")  # one row per horizon
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), times)))
-        .drop("__times")
+        .withColumn("__times", times)
+        .withColumn("__first", F.explode(F.sequence(F.lit(1), F.col("__times"), F.lit(COPIES))))
+        .repartition(*rows.columns, "__first")
     )
+    last = F.least(F.col("__times"), F.col("__first") + (COPIES - 1))
+    return runs.withColumn("copy", F.explode(F.sequence(F.col("__first"), last))).drop("__times", "__first")
 
 
 def thin_majority(rows, share, key="scheme_idx", label="label_bin"):

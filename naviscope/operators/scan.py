@@ -21,6 +21,19 @@ def position_chunk(position, rows=CHUNK_ROWS):
     return F.floor(F.col(position) / F.lit(rows)).cast("long")
 
 
+def add_chunk(df, keys, position, name="chunk", rows=CHUNK_ROWS):
+    """`df` with a chunk per row: one in keys of at most `rows` rows, `position_chunk` in larger ones.
+
+    Keys with few rows spread over a wide range of positions so have one summary row, not
+    one per position. There are at most count / `rows` larger keys, which bounds the broadcast.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > rows)
+    large = counts.select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("__large"))
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    chunk = F.when(F.col("__large"), position_chunk(position, rows)).otherwise(F.lit(0))
+    return df.join(F.broadcast(large), on, "left").select(*df.columns, chunk.cast("long").alias(name))
+
+
 def place(*names):
     """Key columns as one struct, which is never null even where they are.
 

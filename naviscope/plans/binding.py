@@ -60,8 +60,8 @@ def scheme_totals(lineitem):
 def scheme_facts(lineitem, as_of=None):
     """Assets, smallest order, last dividend and the seven returns per scheme.
 
-    Summed per scheme and month segment first: a scheme with very many rows
-    leaves each task as a dozen rows, and the rows that travel stay narrow.
+    One sum per month segment: a scheme leaves each task as one row, however
+    many rows it has, and is shuffled once.
     """
     as_of = as_of or last_ship_date(lineitem)
     rows = lineitem.select(
@@ -72,24 +72,17 @@ def scheme_facts(lineitem, as_of=None):
         # Latest date first, then the highest rate, packed so that a plain max finds it.
         F.expr("unix_date(date(l_shipdate)) * 1000L + bigint(rint(l_tax * 100))").alias("dated_tax"),
     )
-    by_segment = rows.groupBy("scheme_idx", "seg").agg(
-        F.sum("cents").alias("c"),
-        F.sum("qty").alias("q"),
+    sums = rows.groupBy("scheme_idx").agg(
+        F.sum("cents").alias("aum_cents"),
         F.min("qty").alias("min_qty"),
-        F.max("dated_tax").alias("dated_tax"),
-    )
-    sums = by_segment.groupBy("scheme_idx").agg(
-        F.sum("c").alias("aum_cents"),
-        F.min("min_qty").alias("min_qty"),
         (F.max("dated_tax") % 1000).alias("tax_cents"),
-        # At most one entry per segment.
-        F.expr("map_from_entries(collect_list(struct(seg, struct(c, q))))").alias("m"),
+        *[F.sum(F.when(F.col("seg") == i, F.col(x))).alias(f"{x}_{i}") for i in range(len(MARKS) - 1) for x in ("cents", "qty")],
     )
 
     def vwap(low, high):
         """Price per unit over (as_of - high months, as_of - low months]."""
         inside = [i for i, m in enumerate(MARKS[1:]) if MARKS[i] >= low and m <= high]
-        c, q = (" + ".join(f"coalesce(m[{i}].{x}, 0)" for i in inside) for x in "cq")
+        c, q = (" + ".join(f"coalesce({x}_{i}, 0)" for i in inside) for x in ("cents", "qty"))
         return f"try_divide(({c}) / 100.0D, {q})"
 
     def fund_return(months):

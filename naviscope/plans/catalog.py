@@ -15,10 +15,10 @@ from naviscope.operators import (
     schemes,
     sections,
 )
-from naviscope.operators.scan import position_chunk
+from naviscope.operators.scan import add_chunk, position_chunk
 from naviscope.plans import binding, derived
 from naviscope.plans.binding import table
-from naviscope.schemas import HORIZONS, NUMERIC_COLUMN_ORDER, SCHEME_SCHEMA, measure_columns
+from naviscope.schemas import CHOSEN_TREES, HORIZONS, NUMERIC_COLUMN_ORDER, SCHEME_SCHEMA, measure_columns
 from naviscope.session import materialise, new_folder
 from naviscope.sources import feed, pages, sinks
 from naviscope.streaming import feed_stream
@@ -111,11 +111,15 @@ def performance_columns(spark, sf_dir):
 
 @query
 def missing_tokens(spark, sf_dir):
-    cells = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey",
-        "array('NA', ' N.A. ', '--', '-', 'None', '', o_orderpriority)[int(o_orderkey % 7)] AS cell",
-    )
-    return cells.select("o_orderkey", text.null_missing("cell").alias("cell"))
+    # Every text as it is (variant 0), and next to it a token or a plain value (variant 1).
+    cells = None
+    for name, key, cell in (("orders", "o_orderkey", "o_orderpriority"), ("events", "event_id", "props")):
+        other = f"array('NA', ' N.A. ', '--', '-', 'None', '', 'value')[int({key} % 7)]"
+        rows = table(spark, sf_dir, name).selectExpr(
+            f"'{name}' AS source", f"{key} AS id", f"posexplode(array({cell}, {other})) AS (variant, cell)"
+        )
+        cells = rows if cells is None else cells.union(rows)
+    return cells.select("source", "id", "variant", text.null_missing("cell").alias("cell"))
 
 
 @query
@@ -228,7 +232,7 @@ def section_carry_events(spark, sf_dir):
         "event_type IN ('signup', 'error') AS is_marker",
     )
     # A user may own any share of the events; a chunk of ids is what a task sorts.
-    events = events.withColumn("chunk", position_chunk("event_id"))
+    events = add_chunk(events, ["user_id"], "event_id")
     out = sections.add_section_context(events, ["user_id"], "chunk", ["event_id"], "line", "is_marker")
     return out.select("user_id", "event_id", "line_no", "section_type", "section_family")
 
@@ -281,6 +285,17 @@ def feed_unmatched(spark, sf_dir):
     return sections.unmatched_families(sections.with_context(lines), known)
 
 
+@query
+def feed_rejects(spark, sf_dir):
+    """Document lines whose number of comma-separated fields is not that of the document's first line."""
+    lines = table(spark, sf_dir, "documents").selectExpr("doc_id AS file", r"posexplode(split(text, '\n')) AS (pos, line)")
+    lines = lines.withColumn("block", position_chunk("pos"))
+    _, rejects = sections.split_rows(sections.with_context(lines, ","), ",")
+    return rejects.select(
+        F.col("file").alias("doc_id"), "line_no", F.size("fields").alias("n_fields"), F.size("headings").alias("n_headings")
+    )
+
+
 @query
 def incremental_feed(spark, sf_dir):
     target, checkpoint = new_folder(spark, "ingested"), new_folder(spark, "ingest-state")
@@ -479,7 +494,8 @@ def imputed_means(spark, sf_dir):
 
 @query
 def imputed_rows(spark, sf_dir):
-    rows = features.impute_means(_features(spark, sf_dir, "reference"))
+    # Stored, since the means read the rows too.
+    rows = features.impute_means(materialise(_features(spark, sf_dir, "reference"), "feature-rows"))
     return rows.select("scheme_idx", "horizon", F.round("f8", 9).alias("f8"), F.round("f9", 9).alias("f9"))
 
 
@@ -524,7 +540,7 @@ def fold_f1(spark, sf_dir):
 
 @query
 def score_boxplot(spark, sf_dir):
-    return evaluate.box_plot(_fold_f1(spark, sf_dir), ["horizon", "num_trees"])
+    return evaluate.box_plot(materialise(_fold_f1(spark, sf_dir), "scores"), ["horizon", "num_trees"])
 
 
 @query
@@ -601,8 +617,9 @@ def horizon_ranking(spark, sf_dir):
 # --- Forests ---------------------------------------------------------------
 
 
-def _stored_features(spark, sf_dir, folds=False, keep=()):
-    rows = features.impute_means(_features(spark, sf_dir, "per_horizon", keep), train_only=True)
+def _stored_features(spark, sf_dir, folds=False, keep=(), mode="per_horizon"):
+    rows = materialise(_features(spark, sf_dir, mode, keep), "feature-rows")
+    rows = features.impute_means(rows, train_only=mode == "per_horizon")
     if folds:
         rows = evaluate.add_folds(materialise(rows.filter("is_train"), "training"))
     return forest.assemble(rows)
@@ -662,6 +679,35 @@ def forest_accuracy(spark, sf_dir):
     return evaluate.accuracy(_predictions(spark, sf_dir).filter("NOT is_train"))
 
 
+@query
+def forest_reference(spark, sf_dir):
+    """Accuracy on the features and means of the `reference` mode."""
+    stored = _stored_features(spark, sf_dir, mode="reference")
+    return evaluate.accuracy(forest.predict(stored, forest.fit_horizons(stored)).filter("NOT is_train"))
+
+
+@query
+def forest_roc(spark, sf_dir):
+    # Rounded, so that the points of a horizon stay few; stored, since running sums read the rows twice.
+    found = _predictions(spark, sf_dir).select("horizon", F.round("probability", 6).alias("score"), "label_bin")
+    return evaluate.roc_points(materialise(found, "scored"))
+
+
+@query
+def tuned_forest(spark, sf_dir):
+    """Forests whose tree counts come from the cross-validation of the same rows."""
+    stored = _stored_features(spark, sf_dir, folds=True)
+    scores = materialise(forest.cross_validate(stored), "scores")
+    best = {r.horizon: r.num_trees for r in evaluate.best_tree_count(scores).collect()}
+    # A horizon with too few rows to hold a fold out keeps its fixed count.
+    models = forest.fit_horizons(stored, trees={**CHOSEN_TREES, **best})
+    chosen = spark.createDataFrame([(h, m.getNumTrees) for h, m in models.items()], "horizon string, num_trees int")
+    boxes = evaluate.box_plot(scores, ["horizon", "num_trees"])
+    found = evaluate.accuracy(forest.predict(stored, models)).join(chosen, "horizon").join(boxes, ["horizon", "num_trees"], "left")
+    inside = F.col("accuracy").between(0, 1) & F.col("whisker_low").between(0, F.col("whisker_high")) & (F.col("whisker_high") <= 1)
+    return found.select("horizon", "n_rows", F.col("num_trees").between(1, 40).alias("trees_in_grid"), inside.alias("scores_in_range"))
+
+
 @query
 def forest_balanced(spark, sf_dir):
     stored = _stored_features(spark, sf_dir)

@@ -9,6 +9,7 @@ from naviscope.schemas import (
     FEATURE_NAMES,
     HORIZONS,
     MEASURES,
+    MISSING_TOKENS,
     NUMERIC_COLUMN_ORDER,
     RISK_CODES,
     TRAIN_RATIO,
@@ -209,9 +210,13 @@ sql("performance_columns", f"SELECT scheme_idx, {_PIVOT} FROM wide", *FIRST, WID
 
 # --- Scalar functions ---
 
+_OTHERS = "['NA', ' N.A. ', '--', '-', 'None', '', 'value']"
 sql(
     "missing_tokens",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 6 THEN o_orderpriority END AS cell FROM orders""",
+    f"""SELECT source, id, variant, CASE WHEN {strip('cell')} NOT IN {MISSING_TOKENS} THEN cell END AS cell FROM (
+    SELECT 'orders' AS source, o_orderkey AS id, unnest([0, 1])::INT AS variant,
+    unnest([o_orderpriority, ({_OTHERS})[o_orderkey % 7 + 1]]) AS cell FROM orders
+    UNION ALL SELECT 'events', event_id, unnest([0, 1])::INT, unnest([props, ({_OTHERS})[event_id % 7 + 1]]) FROM events)""",
 )
 _CODES = case("upper(risk_text)", RISK_CODES, 0)
 sql(
@@ -314,6 +319,15 @@ sql(
     sum(CASE WHEN new_type = 1 THEN (data_no - 1) + (data_no - 2) WHEN new_family = 1 THEN data_no - 1 ELSE 0 END)::BIGINT FROM placed""",
     _FEED_FILES,
 )
+sql(
+    "feed_rejects",
+    """SELECT doc_id, line_no::BIGINT AS line_no, len(string_split(line, ','))::INT AS n_fields,
+    len(string_split(head, ','))::INT AS n_headings FROM (
+    SELECT doc_id, line, row_number() OVER w - 1 AS line_no, first_value(line) OVER w AS head FROM lines
+    WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
+    WHERE line_no > 0 AND instr(line, ',') > 0 AND len(string_split(line, ',')) <> len(string_split(head, ','))""",
+    _LINES,
+)
 sql(
     "feed_unmatched",
     "SELECT p_brand AS family, count(*) AS n_rows FROM part JOIN top ON p_brand = family_name GROUP BY p_brand",
@@ -569,6 +583,11 @@ sql(
     FROM lab WHERE is_train GROUP BY horizon""",
     *ALL,
 )
+sql(
+    "tuned_forest",
+    "SELECT horizon, count(*) AS n_rows, true AS trees_in_grid, true AS scores_in_range FROM lab WHERE is_train GROUP BY horizon",
+    *ALL,
+)
 
 # --- Rankings ---
 

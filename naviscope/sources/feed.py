@@ -50,6 +50,10 @@ def heading_names(lines):
 
 def enriched_feed(lines, dimension, names=None, strict=False):
     """(enriched rows, rejects) of feed lines; `names` spares the header job."""
-    names = names or heading_names(lines)
-    rows, rejects = sections.split_rows(sections.with_context(lines))
+    return enriched(sections.with_context(lines), dimension, names or heading_names(lines), strict)
+
+
+def enriched(sectioned, dimension, names, strict=False):
+    """`enriched_feed` of lines that have their context."""
+    rows, rejects = sections.split_rows(sectioned)
     return sections.enrich(rows, names, dimension, strict=strict), rejects

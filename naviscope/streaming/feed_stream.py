@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from naviscope.operators import sections
+from naviscope.session import materialise
 from naviscope.sources import feed
 
 
@@ -16,7 +18,9 @@ def start_ingest(spark, source, target, checkpoint, dimension, names, files_per_
     lines = feed.stream_lines(spark, source, **options)
 
     def write(batch, batch_id):
-        good, rejects = feed.enriched_feed(feed.add_position(batch), dimension, names)
+        # Stored: good and rejected rows both start from it, and the files are read once.
+        sectioned = materialise(sections.with_context(feed.add_position(batch)), "sectioned")
+        good, rejects = feed.enriched(sectioned, dimension, names)
         plain = [F.col(f"`{c}`").alias(c.replace(" ", "_").lower()) for c in good.columns]
         good.select(*plain).write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
         rejects.select("file", "line_no", "line").write.mode("overwrite").parquet(
