@@ -695,15 +695,16 @@ def forest_roc(spark, sf_dir):
 
 @query
 def tuned_forest(spark, sf_dir):
-    """Forests whose tree counts come from the cross-validation of the same rows."""
-    stored = _stored_features(spark, sf_dir, folds=True)
-    scores = materialise(forest.cross_validate(stored), "scores")
+    """Forests whose tree counts come from a cross-validation of the training rows, on the other rows."""
+    scores = materialise(cv_scores(spark, sf_dir), "scores")
+    stored = _stored_features(spark, sf_dir)
     best = {r.horizon: r.num_trees for r in evaluate.best_tree_count(scores).collect()}
     # A horizon with too few rows to hold a fold out keeps its fixed count.
     models = forest.fit_horizons(stored, trees={**CHOSEN_TREES, **best})
     chosen = spark.createDataFrame([(h, m.getNumTrees) for h, m in models.items()], "horizon string, num_trees int")
     boxes = evaluate.box_plot(scores, ["horizon", "num_trees"])
-    found = evaluate.accuracy(forest.predict(stored, models)).join(chosen, "horizon").join(boxes, ["horizon", "num_trees"], "left")
+    found = evaluate.accuracy(forest.predict(stored, models).filter("NOT is_train"))
+    found = found.join(chosen, "horizon").join(boxes, ["horizon", "num_trees"], "left")
     inside = F.col("accuracy").between(0, 1) & F.col("whisker_low").between(0, F.col("whisker_high")) & (F.col("whisker_high") <= 1)
     return found.select("horizon", "n_rows", F.col("num_trees").between(1, 40).alias("trees_in_grid"), inside.alias("scores_in_range"))
 

@@ -585,7 +585,7 @@ sql(
 )
 sql(
     "tuned_forest",
-    "SELECT horizon, count(*) AS n_rows, true AS trees_in_grid, true AS scores_in_range FROM lab WHERE is_train GROUP BY horizon",
+    "SELECT horizon, count(*) AS n_rows, true AS trees_in_grid, true AS scores_in_range FROM lab WHERE NOT is_train GROUP BY horizon",
     *ALL,
 )
 

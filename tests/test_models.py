@@ -46,11 +46,14 @@ def test_imputation_equals_the_library(spark):
     assert found == pytest.approx(wanted)
 
 
-def test_balance_duplicates_and_thinning(spark):
+def test_balance_duplicates_and_thinning(spark, monkeypatch):
     rows = [(i, h, int(i % 10 == 0)) for h in ("1m", "3m") for i in range(1000)] + [(1, "5y", 0)]
     df = spark.createDataFrame(rows, "scheme_idx long, horizon string, label_bin int")
     even = {r.horizon: (r.good, r.total) for r in features.balance(features.duplicate_minority(df)).collect()}
     assert even == {"1m": (900, 1800), "3m": (900, 1800), "5y": (0, 1)}
+    monkeypatch.setattr(features, "COPIES", 4)
+    copies = features.duplicate_minority(df).filter("horizon = '1m' AND scheme_idx = 10").collect()
+    assert sorted(r["copy"] for r in copies) == list(range(1, 10))
     thin = {r.horizon: (r.good, r.total) for r in features.balance(features.thin_majority(df, 0.25)).collect()}
     assert thin["1m"][0] == 100 and 250 < thin["1m"][1] < 400
 
@@ -69,6 +72,8 @@ def test_box_plot_and_best(spark):
     df = spark.createDataFrame(rows, "horizon string, num_trees int, f1 double")
     box = evaluate.box_plot(df, ["num_trees"]).filter("num_trees = 2").first()
     assert tuple(box)[1:] == (2.0, 3.0, 4.0, 1.0, 4.0, 1)
+    nameless = evaluate.box_plot(df.withColumn("horizon", F.lit(None).cast("string")), ["horizon"]).first()
+    assert (nameless.horizon, nameless.whisker_low) == (None, 1.0)
     best = evaluate.best_tree_count(df).first()
     assert (best.num_trees, best.mean_f1) == (2, 22.0)
 

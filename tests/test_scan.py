@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from naviscope.operators.scan import add_ntile, add_row_number, add_running_sum, position_chunk
+from naviscope.operators.scan import add_chunk, add_ntile, add_row_number, add_running_sum, position_chunk
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,18 @@ def rows(spark):
     return data, df.withColumn("chunk", position_chunk("i", 64))
 
 
+def test_chunks_of_small_keys(spark):
+    # One key holds half of the rows; 500 others have two rows each, far apart, and one is null.
+    data = [("hot", i) for i in range(0, 2000, 2)] + [(str(i % 500) if i % 500 else None, 2 * i + 1) for i in range(1000)]
+    df = spark.createDataFrame(data, "k string, i long")
+    out = add_chunk(df, ["k"], "i", rows=100)
+    assert out.count() == len(data) and out.columns == ["k", "i", "chunk"]
+    assert out.select("k", "chunk").distinct().count() == 20 + 500
+    assert max(r["count"] for r in out.groupBy("k", "chunk").count().collect()) <= 100
+    found = {r.i: r.n for r in add_row_number(out, ["k"], "chunk", ["i"], "n").collect()}
+    assert all(found[i] == i // 2 + 1 for i in range(0, 2000, 2))
+
+
 def test_row_number(rows):
     data, df = rows
     found = {r.i: (r.n, r.t) for r in add_row_number(df, ["k"], "chunk", ["i"], "n", "t").collect()}

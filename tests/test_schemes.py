@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from naviscope.operators import ranking, reshape, schemes
+from naviscope.plans import binding
 from naviscope.schemas import HORIZONS, measure_columns
 
 LONG = (
@@ -117,6 +118,13 @@ def test_rankings(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_facts_take_one_scan_and_one_shuffle(spark, sf_dir):
+    lineitem = binding.table(spark, sf_dir, "lineitem")
+    facts = binding.scheme_facts(lineitem, binding.last_ship_date(lineitem))
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("Exchange hashpartitioning"), plan.count("FileScan")) == (1, 1)
+
+
 def test_train_split(spark):
     df = spark.range(1296).withColumnRenamed("id", "scheme_idx")
     flagged = ranking.add_train_flag(df, df)
