@@ -129,29 +129,30 @@ def prefix_depth(recall=RECALL, trees=TREES, depth=DEPTH, similarity=THRESHOLD[0
     return depth
 
 
+def is_star_forest(links):
+    """Does every node link to one root at most, and no root to another?"""
+    ends = links.select(F.col("a").alias("x"), F.lit(1).alias("up")).unionByName(links.select(F.col("b").alias("x"), F.lit(0).alias("up")))
+    counted = ends.groupBy("x").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n"))
+    return counted.where("up > 0 AND n > 1").isEmpty()
+
+
 def components(links):
     """(node, root) of every linked node that is not the least of its component, its root.
 
-    `links` has columns a, b. Alternating large-star and small-star rounds; each round is
-    written, and ends when it changes nothing.
+    `links` has columns a, b. Alternating large-star and small-star rounds, each written, until
+    only stars are left. The least neighbours are written too: a join of two stored tables is
+    one that AQE can broadcast, or split where a root holds a large share of the links.
     """
-    spark = links.sparkSession
     links = materialise(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    digest = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    before = digest(links)
-    while before[0]:
+    while not is_star_forest(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = materialise(large.where("a <> b").distinct(), "links")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a")
         small = small.select("a", F.col("m").alias("b")).unionByName(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
         links = materialise(small.where("a <> b").distinct(), "links")
-        now = digest(links)
-        if now == before:
-            break
-        before = now
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

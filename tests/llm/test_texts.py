@@ -70,6 +70,28 @@ def test_one_row_of_each_class_stays(copies, awkward, documents):
         assert kept.columns == df.columns and kept.count() == len(groups)
 
 
+def test_components(spark):
+    rng = random.Random(5)
+    chain = [(i, i + 1) for i in range(40)]
+    hub = [(100, i) for i in range(101, 400)]
+    loose = [(rng.randint(500, 900), rng.randint(500, 900)) for _ in range(250)]
+    for links in (chain, hub, loose, [*chain, *hub, (39, 399), *loose], [(7, 7)]):
+        root = {}
+
+        def top(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        for a, b in links:
+            a, b = sorted((top(a), top(b)))
+            root[b] = a
+        wanted = {(x, top(x)) for pair in links for x in pair if top(x) != x}
+        found = near.components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert len(found) == len(wanted) and {tuple(r) for r in found} == wanted
+    assert near.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_prefix_depth():
     assert near.prefix_depth() == 6 and near.prefix_depth(recall=0.5) == near.DEPTH and near.prefix_depth(recall=1) == 1
 
