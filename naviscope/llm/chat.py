@@ -10,6 +10,8 @@ import hashlib
 import os
 import re
 import sys
+from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +20,13 @@ from pyspark.sql import functions as F
 
 from naviscope.llm.bpe import read_vocabulary
 from naviscope.llm.common import columns, process_cache, tidy
+from naviscope.llm.pretokens import encode_texts
 from naviscope.session import new_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TURN, SAYS, DONE = "<|turn|>", "<|says|>", "<|done|>"
+MARKS = re.compile(r"(<\|(?:turn|says|done)\|>)")
 TAUGHT = "assistant"
 SEGMENTS = "conv_id long, part int, seq int, formatted string, token_ids array<int>, spans array<int>, masked array<int>"
 
@@ -71,37 +75,85 @@ def chat_tokenizer(vocabulary):
     return tokenizer
 
 
+class OffsetEncoder:
+    """Ids and offsets of formatted texts, as the tokenizer with the marks gives them.
+
+    Marks part the text first, so each pre-token between them is encoded once per worker and
+    remembered with its offsets, counted back from the pre-token's end.
+    """
+
+    def __init__(self, vocabulary):
+        self.tokenizer, self.known = chat_tokenizer(vocabulary), {}
+        self.mark = {m: pack("<4i", self.tokenizer.token_to_id(m), -len(m), 0, len(m)) for m in (TURN, SAYS, DONE)}
+        # Escaped texts hold no `<|`, hence no special token of the file.
+        self.special = (TURN, self.tokenizer.token_to_id(TURN))
+
+    def encode_new(self, pieces):
+        """Per token: id, start and end less the piece's length, and that length at the first token."""
+        out = []
+        for piece, found in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False)):
+            n = len(piece)
+            flat = [x for i, (start, end) in zip(found.ids, found.offsets) for x in (i, start - n, end - n, 0)]
+            flat[3] = n
+            out.append(pack(f"<{len(flat)}i", *flat))
+        return out
+
+    def encode(self, formatted):
+        """(ids, starts, ends) of a formatted text."""
+        parts = MARKS.split(formatted)
+        rows = encode_texts(parts[::2], self.known, self.encode_new, self.special)
+        joined = b"".join(chain.from_iterable(zip(rows, map(self.mark.get, parts[1::2])))) + rows[-1]
+        table = np.frombuffer(joined, "<i4").reshape(-1, 4)
+        read = np.cumsum(table[:, 3], dtype=np.int32)
+        return table[:, 0], read + table[:, 1], read + table[:, 2]
+
+
+def lists(arrays):
+    """A column of integer lists from one array per row."""
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).astype(np.int32)))
+
+
 def formatter(vocabulary, limit):
     """mapInArrow over rows sorted by conversation and turn: a segment per run of turns.
 
     A conversation that goes over several partitions, or past `limit` characters, makes
     several segments; as marks split the text anyway, the tokens are those of the whole.
+    Segments leave the task in batches of about `limit` characters.
     """
+    names = [f.split()[0] for f in SEGMENTS.split(", ")]
 
     def run(batches):
-        tokenizer = process_cache(f"chat_{hash(vocabulary.value)}", lambda: chat_tokenizer(vocabulary.value))
+        encoder = process_cache(f"chat_{hash(vocabulary.value)}", lambda: OffsetEncoder(vocabulary.value))
         part, seq = TaskContext.get().partitionId(), 0
 
         def segment(conv, turns):
             formatted, spans, taught = render(turns)
-            found = tokenizer.encode(formatted, add_special_tokens=False)
-            at = np.array(found.offsets, np.int64).reshape(-1, 2)
-            ranges = mask([s for s, t in zip(spans, taught) if t], at[:, 0], at[:, 1])
-            values = [conv, part, seq, formatted, found.ids, np.ravel(at).tolist(), np.ravel(ranges).tolist()]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), *[pa.list_(pa.int32())] * 3]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], ["conv_id", "part", "seq", "formatted", "token_ids", "spans", "masked"])
-
-        conv, turns, size = None, [], 0
+            ids, starts, ends = encoder.encode(formatted)
+            ranges = mask([s for s, t in zip(spans, taught) if t], starts, ends)
+            return conv, part, seq, formatted, ids, np.stack((starts, ends), 1).ravel(), ranges.ravel()
+
+        def table(segments):
+            convs, parts, seqs, formatted, *numbers = zip(*segments)
+            return pa.RecordBatch.from_arrays([pa.array(convs, pa.int64()), pa.array(parts, pa.int32()), pa.array(seqs, pa.int32()), pa.array(formatted, pa.string()), *map(lists, numbers)], names)
+
+        conv, turns, size, done, held = None, [], 0, [], 0
         for batch in tidy(batches):
             for key, role, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if turns and (key != conv or size >= limit):
-                    yield segment(conv, turns)
+                    done.append(segment(conv, turns))
+                    held += size
                     turns, size, seq = [], 0, seq + 1
+                    if held >= limit:
+                        yield table(done)
+                        done, held = [], 0
                 conv = key
                 turns.append((role or "", text or ""))
                 size += len(turns[-1][0]) + len(turns[-1][1])
         if turns:
-            yield segment(conv, turns)
+            done.append(segment(conv, turns))
+        if done:
+            yield table(done)
 
     return run
 
@@ -148,7 +200,8 @@ def digests(spark, path):
 
         for batch in tidy(batches):
             for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i].as_py() for n in ("conv_id", "formatted", "spans", "masked")}
+                row = {n: batch.column(n)[i].as_py() for n in ("conv_id", "formatted")}
+                row |= {n: batch.column(n)[i].values.to_numpy() for n in ("spans", "masked")}
                 if state is None or row["conv_id"] != key:
                     if state:
                         rows.append(closed())
@@ -162,7 +215,7 @@ def digests(spark, path):
                     state[3].update(text.encode())
                 state[4] += len(row["formatted"])
                 state[5] += len(row["spans"]) // 2
-                state[6] += sum(row["masked"][1::2]) - sum(row["masked"][::2])
+                state[6] += int(row["masked"][1::2].sum() - row["masked"][::2].sum())
             if rows:
                 yield table()
                 rows.clear()

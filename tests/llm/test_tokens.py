@@ -117,6 +117,20 @@ def test_segments_have_the_tokens_of_the_whole(vocabulary):
     assert sum(parts, []) == tokenizer.encode(chat.render(turns)[0]).ids
 
 
+def test_remembered_offsets_are_the_library_s(vocabulary, monkeypatch):
+    text = bpe.read_vocabulary(vocabulary)
+    encoder, tokenizer = chat.OffsetEncoder(text), chat.chat_tokenizer(text)
+    monkeypatch.setattr(pretokens, "REMEMBERED", 500)
+    given = odd_texts()
+    for k in range(0, len(given), 40):
+        turns = [("user" if i % 2 else "assistant", t) for i, t in enumerate(given[k : k + 40])]
+        formatted = chat.render(turns)[0]
+        ids, starts, ends = encoder.encode(formatted)
+        wanted = tokenizer.encode(formatted, add_special_tokens=False)
+        assert ids.tolist() == wanted.ids
+        assert list(zip(starts.tolist(), ends.tolist())) == wanted.offsets
+
+
 def test_escape_is_reversible():
     rng = random.Random(1)
     for _ in range(2000):
