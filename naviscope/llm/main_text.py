@@ -1,8 +1,10 @@
 """Main text of web pages, with site templates removed.
 
-Every block element outside an article is a subtree; its hash covers its tag, its texts and the
-subtrees below. Spark counts on how many pages of a host each hash occurs; subtrees on many of
-them are the site's template and go. So do elements that name themselves as something else than
+Every block element is a subtree; its hash covers its tag, its texts and the subtrees below.
+Spark counts beside how many different contents (the main region without the subtree) each hash
+occurs on a host: copies of one page count once. Subtrees with MIN_PAGES of them are the site's
+template and go, however large the host is. Within articles this holds for subtrees of at least
+MIN_CHARS characters that are no heading, list item or part of a table. So do elements that name themselves as something else than
 the article (menus, footers, adverts, comments, ...). The main text is what is left of the
 page's articles, or, on a page without one, of its main element, or of the whole body.
 """
@@ -21,11 +23,12 @@ from naviscope.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A subtree is template if it is on so many pages of the host and on this share of them.
+# A subtree is template if it stands beside so many different contents of the host.
 MIN_PAGES = 4
-MIN_SHARE = 0.2
-# Hosts (each with at most 5 times a page's subtrees) up to which templates are broadcast.
-BROADCAST_HOSTS = 50_000
+# Within articles, shorter subtrees recur by chance.
+MIN_CHARS = 12
+# Pages (each with its own few template hashes) up to which these are broadcast.
+BROADCAST_PAGES = 100_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
@@ -38,9 +41,15 @@ NAMES = frozenset(
 OUTSIDE = frozenset("header masthead topbar".split())
 # Elements that end an open element of the first kind.
 ENDS = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
+# Within articles, these recur as parts of different wholes.
+PARTS = frozenset("h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption article".split())
 HOLDERS = frozenset("ul ol dl table tbody thead body html article main div section".split())
 
 
+def digest_of(text):
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
 def names_of(attributes):
     words = f"{attributes.get('class') or ''} {attributes.get('id') or ''}"
     return {w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", words)}
@@ -52,6 +61,8 @@ class Page(HTMLParser):
     def __init__(self, html):
         super().__init__(convert_charrefs=True)
         self.blocks, self.parent, self.digest = [], [-1], [0]
+        # Per element: its first block, the one after its last, and whether it can be template.
+        self.first, self.last, self.candidate = [0], [0], [False]
         self.stack = [("", False, 0, 0, [])]
         self.pieces = []
         self.feed(html)
@@ -70,11 +81,14 @@ class Page(HTMLParser):
 
     def pop(self):
         tag, _, level, element, parts = self.stack.pop()
-        if level < 2 and element != self.stack[-1][3]:
-            whole = "\x1f".join([tag, *parts]).encode()
-            self.digest[element] = int.from_bytes(blake2b(whole, digest_size=8).digest(), "big", signed=True) if parts else 0
+        if element != self.stack[-1][3]:
+            self.last[element] = len(self.blocks)
             if parts:
+                self.digest[element] = digest_of("\x1f".join([tag, *parts]))
                 self.stack[-1][4].append(f"\x1e{self.digest[element]}")
+                inside = level == 2 and self.stack[-1][2] == 2
+                chars = sum(len(b[0]) for b in self.blocks[self.first[element] :]) if inside else 0
+                self.candidate[element] = level < 2 or (inside and tag not in PARTS and chars >= MIN_CHARS)
 
     def handle_starttag(self, tag, attrs):
         inline = tag in INLINE
@@ -107,6 +121,9 @@ class Page(HTMLParser):
             element, parts = len(self.parent), []
             self.parent.append(self.stack[-1][3])
             self.digest.append(0)
+            self.first.append(len(self.blocks))
+            self.last.append(len(self.blocks))
+            self.candidate.append(False)
         self.stack.append((tag, dropped, level, element, parts))
 
     def handle_endtag(self, tag):
@@ -124,32 +141,46 @@ class Page(HTMLParser):
         self.pieces.append(data)
 
     def hashes(self):
-        """Distinct hashes of the subtrees outside articles."""
-        return sorted({d for d in self.digest if d})
+        """hash -> digest of the rest of the main region, for every subtree that can be template."""
+        best = max((level for _, dropped, level, _ in self.blocks if not dropped), default=0)
+        sums = [0]
+        for text, dropped, level, _ in self.blocks:
+            sums.append(sums[-1] + (digest_of(text) if level == best and not dropped else 0))
+        found = {}
+        for d, first, last, candidate in zip(self.digest, self.first, self.last, self.candidate):
+            if candidate:
+                rest = sums[-1] - (sums[last] - sums[first])
+                found.setdefault(d, (rest + 2**63) % 2**64 - 2**63)
+        return found
 
     def main_text(self, template):
         """The main text without subtrees whose hash is in `template`."""
         gone = [False]
-        for parent, digest in zip(self.parent[1:], self.digest[1:]):
-            gone.append(gone[parent] or (digest != 0 and digest in template))
+        for parent, digest, candidate in zip(self.parent[1:], self.digest[1:], self.candidate[1:]):
+            gone.append(gone[parent] or (candidate and digest in template))
         left = [(level, text) for text, dropped, level, element in self.blocks if not dropped and not gone[element]]
         best = max((level for level, _ in left), default=0)
         return "\n".join(text for level, text in left if level == best)
 
 
 def subtree_hashes(batches):
+    names = ["host", "page", "hashes", "rests"]
     for batch in tidy(batches):
-        found = [Page(h.as_py() or "").hashes() for h in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["host", "hashes"])
+        found = [Page(h.as_py() or "").hashes() for h in batch.column(2)]
+        lists = [pa.array([list(f) for f in found], pa.list_(pa.int64())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names)
 
 
 def templates(pages):
-    """(host, hash) of the subtrees that make up a host's template, stored."""
-    found = materialise(pages.select("host", "html").mapInArrow(subtree_hashes, "host string, hashes array<long>"), "subtrees")
-    hosts = found.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counted = found.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    many = counted.where(F.col("n") >= MIN_PAGES).join(hosts, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
-    return materialise(many.groupBy("host").agg(F.collect_list("hash").alias("template")), "templates")
+    """(host, page, template): the hashes of a page that are template on its host, stored; pages without are left out."""
+    parsed = pages.select("host", "page", "html").mapInArrow(subtree_hashes, "host string, page binary, hashes array<long>, rests array<long>")
+    found = materialise(parsed, "subtrees")
+    each = found.select("host", F.explode(F.arrays_zip("hashes", "rests")).alias("x")).select("host", F.col("x.hashes").alias("hash"), F.col("x.rests").alias("rest"))
+    counted = each.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    many = materialise(counted.where(F.col("n") >= MIN_PAGES).select(F.col("host").alias("_host"), F.col("hash").alias("_hash")), "template-hashes")
+    held = found.select("host", "page", F.explode("hashes").alias("hash"))
+    held = checked_join(held, many, (F.col("host") == F.col("_host")) & (F.col("hash") == F.col("_hash")), "inner")
+    return materialise(held.groupBy("host", "page").agg(F.collect_set("hash").alias("template")), "templates")
 
 
 def extract(pages):
@@ -162,7 +193,9 @@ def extract(pages):
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", "://([^/?#]*)", 1), F.lit("")))
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host)
-    template = templates(rows).withColumnRenamed("host", "_host")
+    # Rows of equal host and html share their template; the key stands for the html.
+    rows = rows.withColumn("page", F.unhex(F.md5(F.coalesce("html", F.lit("")))))
+    template = templates(rows).withColumnsRenamed({"host": "_host", "page": "_page"})
     names = ["page_id", "url", "text", "n_chars"]
 
     def run(batches):
@@ -171,5 +204,5 @@ def extract(pages):
             texts = [Page(h or "").main_text(frozenset(t or ())) for h, t in values]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names)
 
-    joined = checked_join(rows, template, F.col("host") == F.col("_host"), "left", BROADCAST_HOSTS)
+    joined = checked_join(rows, template, (F.col("host") == F.col("_host")) & (F.col("page") == F.col("_page")), "left", BROADCAST_PAGES)
     return joined.select("page_id", "url", "html", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")

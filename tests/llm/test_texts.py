@@ -206,6 +206,22 @@ def test_templates_go_and_articles_stay(spark):
     assert main_text.extract(df).count() == len(rows) and main_text.extract(df.limit(0)).count() == 0
 
 
+def test_templates_within_articles_and_on_part_of_a_host(spark):
+    box = "<div class=x1><p>Jane Doe</p><p>writes about rivers.</p></div>"
+    notice = "<p>This text was first printed elsewhere.</p>"
+    rows = [(i, "http://a.example/x", f"<body><article><h1>Rivers and lakes</h1>{notice}<p>story {i}</p>{box}</article></body>") for i in range(5)]
+    # A menu on 10 of 100 pages without an article.
+    rows += [(100 + i, "http://b.example/x", f"<body>{'<div><p>Section menu</p></div>' if i < 10 else ''}<p>other {i}</p></body>") for i in range(100)]
+    # Copies of one page are no evidence of a template.
+    rows += [(300 + i, "http://c.example/x", "<body><article><p>A page that is stored often.</p><p>It has two parts.</p></article></body>") for i in range(6)]
+    # What recurs beside the article in its wrapper doesn't take the article away.
+    rows += [(400 + i, "http://d.example/x", f"<body><div><p>Hello</p><article><p>tale {i}</p></article></div></body>") for i in range(6)]
+    found = {r["page_id"]: r["text"] for r in main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    wanted = {i: f"Rivers and lakes\nstory {i}" for i in range(5)} | {100 + i: f"other {i}" for i in range(100)}
+    wanted |= {300 + i: "A page that is stored often.\nIt has two parts." for i in range(6)} | {400 + i: f"tale {i}" for i in range(6)}
+    assert found == wanted
+
+
 def test_given_pages(spark, sf_dir):
     import html
 
