@@ -1,12 +1,12 @@
 """URL filters, in DataFrame functions only: rules, then a character language-model ratio.
 
 URLs that a rule allows or blocks are the training text of two models: variable-order Markov
-models up to MEMORY characters of context, smoothed by Witten-Bell interpolation with the next
-shorter context. A URL without a rule is blocked if its mean log-likelihood difference, accepted
+models of whole URLs, character by character as they are, with as much context as training has
+seen, up to MEMORY characters, smoothed by Witten-Bell interpolation with the next shorter one. A URL without a rule is blocked if its mean log-likelihood difference, accepted
 minus rejected, lies below a threshold, calibrated on the scores of the rules' own URLs.
 
-Characters are folded to an alphabet of 33, so a model has at most 33 ** 4 entries (1.2 million,
-under 80 MB) whatever the input: that bound is what allows it to be broadcast.
+A model has an entry for each distinct piece of MEMORY + 1 characters, so it grows with the
+input; URLs are joined to it.
 """
 
 import string
@@ -24,8 +24,10 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-MEMORY = 3
-ALPHABET = string.ascii_lowercase + "0.-/_^$"
+MEMORY = 7
+# Code points that a character may be; START and END frame a URL.
+ALPHABET = 0x110000
+START, END = "\x02", "\x03"
 # Scores are counted in bins of this width, between plus and minus SCORE_LIMIT, for calibration.
 SCORE_STEP = 0.01
 SCORE_LIMIT = 20
@@ -51,20 +53,19 @@ def rule_of(host, path, rules=RULES):
     return rule, verdict
 
 
-def folded(host, path):
-    """The text the models see: padded, digits as 0, characters outside the alphabet as _."""
-    text = F.regexp_replace(F.regexp_replace(lower(F.concat(host, path)), "[0-9]", "0"), "[^a-z0./-]", "_")
-    return F.concat(F.lit("^" * MEMORY), text, F.lit("$"))
+def framed(url):
+    """The text the models see: the whole URL, none for null, with START before and END after it."""
+    return F.concat(F.lit(START * MEMORY), F.coalesce(url, F.lit("")), F.lit(END))
 
 
 def grams(rows, *keep):
-    """A row per character of `folded`, with its context: MEMORY + 1 characters."""
-    places = F.sequence(F.lit(1), F.length("folded") - MEMORY)
-    return rows.select(*keep, F.explode(F.transform(places, lambda i: F.substring(F.col("folded"), i, F.lit(MEMORY + 1)))).alias("gram"))
+    """A row per character of `framed`, with its context: MEMORY + 1 characters."""
+    places = F.sequence(F.lit(1), F.length("framed") - MEMORY)
+    return rows.select(*keep, F.explode(F.transform(places, lambda i: F.substring(F.col("framed"), i, F.lit(MEMORY + 1)))).alias("gram"))
 
 
 def model(rows):
-    """gram -> log-likelihood difference, for every gram of any URL; at most 33 ** 4 rows."""
+    """gram -> log-likelihood difference, for every gram of any URL."""
     trained = {c: F.sum((F.col("verdict") == c).cast("long")) for c in ("allow", "block")}
     counted = grams(rows, "verdict").groupBy("gram").agg(*[F.coalesce(n, F.lit(0)).alias(f"n_{c}") for c, n in trained.items()])
     full = materialise(counted, "url-grams")
@@ -75,7 +76,7 @@ def model(rows):
         order = order.withColumn("context", F.substring("gram", 1, size - 1))
         order = order.select("*", *[F.sum(f"n_{c}").over(context).alias(f"all_{c}") for c in trained], *[F.sum((F.col(f"n_{c}") > 0).cast("long")).over(context).alias(f"kinds_{c}") for c in trained])
         if lower_order is None:
-            order = order.select("*", *[F.lit(1 / len(ALPHABET)).alias(f"shorter_{c}") for c in trained])
+            order = order.select("*", *[F.lit(1 / ALPHABET).alias(f"shorter_{c}") for c in trained])
         else:
             order = order.withColumn("suffix", F.substring("gram", 2, size - 1)).join(lower_order, "suffix")
         p = [F.when(F.col(f"all_{c}") > 0, (F.col(f"n_{c}") + F.col(f"kinds_{c}") * F.col(f"shorter_{c}")) / (F.col(f"all_{c}") + F.col(f"kinds_{c}"))).otherwise(F.col(f"shorter_{c}")).alias(f"shorter_{c}") for c in trained]
@@ -95,28 +96,29 @@ def threshold(scored):
     if not all(total.values()):
         return 0.0
     best, below = (1.0, abs(rows[0]["bin"]), rows[0]["bin"]), {"allow": 0, "block": 0}
-    for r in rows:
+    for r, after in zip(rows, [*rows[1:], None]):
         below = {c: below[c] + r[c] for c in below}
         errors = below["allow"] / total["allow"] + 1 - below["block"] / total["block"]
-        best = min(best, (errors, abs(r["bin"] + 1), r["bin"] + 1))
+        # All cuts up to the next score are equal.
+        cut = min(max(0, r["bin"] + 1), after["bin"] if after else r["bin"] + 1)
+        best = min(best, (errors, abs(cut), cut))
     return best[2] * SCORE_STEP
 
 
 def judge(pages, rules=RULES):
     """Verdict on every url: page_id, host, path, rule, verdict and, where a score decided, score.
 
-    One row per input row; a null url, or one without `://`, has empty host and path and is
-    scored as such; repeated rows are judged alike; an empty table gives no row; other
+    One row per input row; a null url, or one without `://`, has empty host and path, and the
+    models score what it holds; repeated rows are judged alike; an empty table gives no row; other
     columns are ignored. A score equal to the threshold is accepted.
     """
     host, path = host_and_path(F.col("url"))
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string")).select("page_id", host.alias("host"), path.alias("path"))
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string")).select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), verdict.alias("verdict"), folded(F.col("host"), F.col("path")).alias("folded"))
+    rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), framed(F.col("url")).alias("framed"))
     rows = materialise(rows.withColumn("uid", F.monotonically_increasing_id()), "urls")
-    likely = grams(rows, "uid", "verdict").join(F.broadcast(model(rows)), "gram")
-    scores = likely.groupBy("uid").agg(F.avg("llr").alias("score"), F.first("verdict").alias("verdict"))
-    scores = materialise(scores, "url-scores")
-    limit = threshold(scores)
+    scores = grams(rows, "uid").join(model(rows), "gram").groupBy("uid").agg(F.avg("llr").alias("score"))
+    scored = materialise(rows.drop("framed").join(scores, "uid"), "url-scores")
+    limit = threshold(scored)
     decided = F.coalesce("verdict", F.when(F.col("score") < limit, "block").otherwise("allow"))
-    return rows.drop("folded").join(scores.drop("verdict"), "uid").select("page_id", "host", "path", "rule", decided.alias("verdict"), F.round("score", 6).alias("score"))
+    return scored.select("page_id", "host", "path", "rule", decided.alias("verdict"), F.round("score", 6).alias("score"))

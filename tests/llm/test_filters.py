@@ -124,3 +124,18 @@ def test_url_model_learns_what_rules_say(spark):
     found = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).where("rule IS NULL").collect()
     assert len(found) > 100
     assert sum((r["verdict"] == "block") == bool(r["page_id"] % 2) for r in found) / len(found) > 0.95
+
+
+def test_url_model_sees_whole_urls(spark):
+    """Only a query, letters outside ASCII, the digits or a text without `://` tell these apart."""
+    pairs = (("http://{h}/p?ref=spam{i}", "http://{h}/p?id=story{i}"), ("http://{h}/казино", "http://{h}/погода"), ("http://{h}/777777", "http://{h}/123123"), ("spam-pills-{i}", "good-story-{i}"))
+    for bad, good in pairs:
+        rows = []
+        for i in range(80):
+            text, kind = (bad, "bad") if i % 2 else (good, "fine")
+            host = f"{kind}{i}.org" if i < 40 else "new.net"
+            url = text.format(h=host, i=i)
+            rows.append((i, url if "://" in url or i >= 40 else f"http://{host}/{url}"))
+        rules = [("block" if i % 2 else "allow", f"{'bad' if i % 2 else 'fine'}{i}.org", "/") for i in range(40)]
+        found = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).where("rule IS NULL").collect()
+        assert len(found) == 40 and all((r["verdict"] == "block") == bool(r["page_id"] % 2) for r in found)
