@@ -5,6 +5,10 @@ distinct words. Words are ordered by how often they occur in all texts, rarest f
 template with n words and `need` required, one of the first n - need + 1 must be in the block
 (prefix filter), the block must have `need` words (length filter), and from the first shared
 word on, both must have `need` words left (positional filter); the rest is counted exactly.
+
+Notices may also be wrapped over lines: for these, every run of a template's length and a
+quarter more words is a block, whatever lines it spans, and every template found is returned
+unless a closer one covers at least half of the same place.
 """
 
 import math
@@ -92,6 +96,51 @@ def find_templates(blocks, ranked, templates):
     return F.flatten(closest), first_words
 
 
+def find_notices(words, ranked, templates):
+    """Array of (label, score, start, stop): templates in runs of words, but for those with a closer match there."""
+    rank = {w: i for i, w in enumerate(ranked)}
+    shapes, prefixes = [], set()
+    for label, text in templates:
+        distinct = sorted(set(text.split()), key=rank.get)
+        need = needed(len(distinct))
+        prefix = distinct[: len(distinct) - need + 1]
+        prefixes.update(prefix)
+        width = math.ceil(1.25 * len(text.split()))
+        shapes.append(F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, distinct)).alias("words"), F.array(*map(F.lit, prefix)).alias("prefix"), F.lit(need).alias("need"), F.lit(width).alias("width")))
+    shapes = F.array(*shapes)
+    anchors = F.filter(F.transform(words, lambda x, i: F.when(x.isin(sorted(prefixes)), i)), lambda x: x.isNotNull())
+
+    def run(t, start):
+        own = F.transform(F.slice(words, start + 1, t["width"]), lambda x, j: F.when(F.array_contains(t["words"], x), start + j))
+        places = F.filter(own, lambda x: x.isNotNull())
+        n = F.size(F.array_intersect(F.slice(words, start + 1, t["width"]), t["words"]))
+        first, last = F.array_min(places), F.array_max(places)
+        return F.struct(n.alias("n"), (first - last).alias("short"), first.alias("first"), last.alias("last"))
+
+    def near(t, p):
+        start = F.greatest(p - t["width"] + 1, F.lit(0))
+        around = F.slice(words, start + 1, p - start + t["width"])
+        return F.array_contains(t["prefix"], F.get(words, p)) & (F.size(F.array_intersect(around, t["words"])) >= t["need"])
+
+    def best(t, p):
+        runs = F.transform(F.sequence(F.greatest(p - t["width"] + 1, F.lit(0)), p), lambda s: run(t, s))
+        top = F.array_max(runs)
+        score = F.when(top["n"] >= t["need"], top["n"] / F.size(t["words"]))
+        return F.struct(t["label"].alias("label"), score.alias("score"), top["first"].alias("first"), top["last"].alias("last"))
+
+    found = F.flatten(F.transform(anchors, lambda p: F.transform(F.filter(shapes, lambda t: near(t, p)), lambda t: best(t, p))))
+    return F.array_distinct(F.filter(found, lambda m: m["score"].isNotNull()))
+
+
+def closest_notices(found):
+    """`found` without what a closer match covers by half or more."""
+    def covers(a, m):
+        shared = F.least(a["last"], m["last"]) - F.greatest(a["first"], m["first"]) + 1
+        return (a["score"] > m["score"]) & (2 * shared >= m["last"] - m["first"] + 1)
+
+    return F.filter(found, lambda m: ~F.exists(found, lambda a: covers(a, m)))
+
+
 def phrase_places(words, phrase):
     """Places in an array of words where those of a phrase stand consecutively."""
     first, *rest = phrase.split()
@@ -111,7 +160,8 @@ def scan(documents, templates=TEMPLATES):
     One row per input row: doc_id (may be null), n_words, places of the base phrases
     (n_base, first_word, last_word), base_labels, labels (those of found templates too),
     score (1 for a phrase, else the largest containment, else 0) and n_blocks, the
-    blocks' closest templates. Null and empty texts have no words; repeated rows are repeated; an
+    blocks' closest templates. These take a line as a block; notice_labels, notice_score and
+    n_notices are of notices that may span lines. Null and empty texts have no words; repeated rows are repeated; an
     empty table gives no row; other columns are ignored.
     """
     documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -126,11 +176,13 @@ def scan(documents, templates=TEMPLATES):
         "doc_id",
         F.size("_words").cast("long").alias("n_words"),
         F.when(F.exists(words, lambda x: x.isin(starts)), F.array(*places)).otherwise(none).alias("_places"),
+        find_notices(words, ranked, templates).alias("_near"),
         F.when(F.exists(words, lambda x: x.isin(first_words)), found).alias("_found"),
     )
     named = F.array(*map(F.lit, labels))
     base = F.filter(F.transform("_places", lambda p, i: F.when(F.size(p) > 0, F.get(named, i))), lambda x: x.isNotNull())
     rows = rows.withColumn("_all", F.flatten("_places")).withColumn("_base", base).withColumn("_found", F.coalesce("_found", F.array().cast("array<struct<label:string,score:double>>")))
+    rows = rows.withColumn("_notices", closest_notices(F.col("_near")))
     joined = lambda x: F.array_join(F.sort_array(F.array_distinct(x)), ",")
     return rows.select(
         "doc_id",
@@ -142,4 +194,7 @@ def scan(documents, templates=TEMPLATES):
         joined(F.concat("_base", F.transform("_found", lambda m: m["label"]))).alias("labels"),
         F.when(F.size("_all") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("_found", lambda m: m["score"])), F.lit(0.0))).alias("score"),
         F.size("_found").cast("long").alias("n_blocks"),
+        joined(F.transform("_notices", lambda m: m["label"])).alias("notice_labels"),
+        F.coalesce(F.array_max(F.transform("_notices", lambda m: m["score"])), F.lit(0.0)).alias("notice_score"),
+        F.size("_notices").cast("long").alias("n_notices"),
     )

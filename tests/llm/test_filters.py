@@ -41,6 +41,15 @@ def test_licenses(spark, documents, awkward, no_documents):
     assert any(r[6] == "mpl" for r in found) and licenses.scan(no_documents).count() == 0
 
 
+def test_wrapped_and_neighbouring_notices(spark):
+    by_label = {label: text for label, text in licenses.TEMPLATES}
+    rows = [(i, "some prose before it\n" + by_label[x].replace(" of ", "\n * of ").replace(" and ", "\n * and ").replace(" to ", "\n# to ") + "\nand after") for i, x in enumerate(("mit", "bsd", "isc", "gpl", "mpl"))]
+    rows += [(10, by_label["gpl"] + " or else " + by_label["bsd"].replace("binary", "other")), (11, "Licensed under CC BY-NC 4.0"), (12, "nothing here"), (13, None)]
+    found = {r["doc_id"]: (r["notice_labels"], r["notice_score"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[i] for i in range(5)] == [(x, 1.0) for x in ("mit", "bsd", "isc", "gpl", "mpl")]
+    assert found[10] == ("bsd,gpl", 1.0) and found[11] == ("cc-by-nc", 1.0) and found[12] == found[13] == ("", 0.0)
+
+
 def counts_of(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
