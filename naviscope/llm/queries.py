@@ -2,9 +2,10 @@
 
 import public_tokenizers
 
-from naviscope.llm import bpe, chat, collocations, leaks, licenses, main_text, near, pii, quality, secrets, token_file, urls
+from naviscope.llm import alignment, bpe, chat, collocations, leaks, licenses, main_text, near, pii, quality, secrets, token_file, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 QUERIES = {}
 ORACLES = {}
 
@@ -114,3 +115,8 @@ ranked as (
 select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
 from ranked where rank <= 2000
 """
+
+
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"), VOCABULARY, PIECES)

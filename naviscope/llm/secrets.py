@@ -68,7 +68,7 @@ def literal(text):
 def trigram_query(pattern):
     """What a text must hold to match: a trigram, ("and", ...), ("or", ...), or None for anything."""
     heads, clauses = _walk(re._parser.parse(pattern), {""})
-    return all_of([*clauses, any_of(map(literal, heads))])
+    return all_of([*clauses, any_of(map(literal, sorted(heads)))])
 
 
 def _walk(items, heads):
