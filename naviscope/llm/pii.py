@@ -55,6 +55,12 @@ def luhn(digits):
     return total % 10 == 0
 
 
+def at_most_255(digits):
+    """Of a run of digits of any length."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or 0) <= 255
+
+
 def iban_valid(text):
     text = text.replace(" ", "")
     return 15 <= len(text) <= 34 and int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
@@ -77,7 +83,7 @@ def find(text, automaton):
                 parts, start = chain[0].split("."), at
                 for k in range(0, len(parts) - 3, 4):
                     stop = start + sum(map(len, parts[k : k + 4])) + 3
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts[k : k + 4]):
+                    if all(at_most_255(p) for p in parts[k : k + 4]):
                         add("ip", start, stop)
                     start = stop + 1
             if at >= done["card"]:
