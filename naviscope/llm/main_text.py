@@ -3,10 +3,12 @@
 Every block element is a subtree; its hash covers its tag, its texts and the subtrees below.
 Spark counts beside how many different contents (the main region without the subtree) each hash
 occurs on a host: copies of one page count once. Subtrees with MIN_PAGES of them are the site's
-template and go, however large the host is. Within articles this holds for subtrees of at least
-MIN_CHARS characters that are no heading, list item or part of a table. So do elements that name themselves as something else than
-the article (menus, footers, adverts, comments, ...). The main text is what is left of the
-page's articles, or, on a page without one, of its main element, or of the whole body.
+template and go, however large the host is. Within articles a subtree must also stand in half of the
+host's different articles, have at least MIN_CHARS characters and be no heading, list item or part
+of a table: what a few articles share is their own text. So do elements that name themselves as
+something else than the article (menus, footers, adverts, comments, ...). The main text is what is
+left of the page's articles, or, on a page without one, of its main element, or of the whole body.
+Each page is parsed once; its blocks and subtree hashes are stored.
 """
 
 import re
@@ -27,8 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_PAGES = 4
 # Within articles, shorter subtrees recur by chance.
 MIN_CHARS = 12
-# Pages (each with its own few template hashes) up to which these are broadcast.
-BROADCAST_PAGES = 100_000
+# Hashes (with the keys of the pages that hold them) up to which templates are broadcast.
+BROADCAST_HASHES = 1_000_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
@@ -56,20 +58,28 @@ def names_of(attributes):
 
 
 class Page(HTMLParser):
-    """Blocks of text of a page: (text, dropped, level, element), and its subtrees' hashes."""
+    """Blocks of text of a page: (text, dropped, level, element), and its subtrees' hashes.
+
+    Each tag costs the same however many are open: the places of open elements are kept by tag.
+    """
 
     def __init__(self, html):
         super().__init__(convert_charrefs=True)
-        self.blocks, self.parent, self.digest = [], [-1], [0]
+        self.blocks, self.chars, self.parent, self.digest = [], [0], [-1], [0]
         # Per element: its first block, the one after its last, and whether it can be template.
-        self.first, self.last, self.candidate = [0], [0], [False]
+        self.first, self.last, self.candidate, self.in_article = [0], [0], [False], [False]
         self.stack = [("", False, 0, 0, [])]
+        # Places in the stack of open elements: by tag, of all blocks, and of those that hold lists and the like.
+        self.open, self.open_blocks, self.open_holders = {}, [0], [0]
         self.pieces = []
         self.feed(html)
         self.close()
         self.flush()
-        while len(self.stack) > 1:
-            self.pop()
+        self.pop_to(1)
+
+    def parse_marked_section(self, i, report=1):
+        # Outside of embedded XML a browser takes `<![...>` for a comment.
+        return self.parse_bogus_comment(i)
 
     def flush(self):
         text = " ".join("".join(self.pieces).split())
@@ -77,17 +87,30 @@ class Page(HTMLParser):
         if text:
             _, dropped, level, element, parts = self.stack[-1]
             self.blocks.append((text, dropped, level, element))
+            self.chars.append(self.chars[-1] + len(text))
             parts.append(text)
 
+    def pop_to(self, size):
+        while len(self.stack) > size:
+            self.pop()
+
     def pop(self):
         tag, _, level, element, parts = self.stack.pop()
+        at = len(self.stack)
+        self.open[tag].pop()
+        if self.open_blocks[-1] == at:
+            self.open_blocks.pop()
+        if self.open_holders[-1] == at:
+            self.open_holders.pop()
         if element != self.stack[-1][3]:
             self.last[element] = len(self.blocks)
             if parts:
-                self.digest[element] = digest_of("\x1f".join([tag, *parts]))
-                self.stack[-1][4].append(f"\x1e{self.digest[element]}")
                 inside = level == 2 and self.stack[-1][2] == 2
-                chars = sum(len(b[0]) for b in self.blocks[self.first[element] :]) if inside else 0
+                # What stands in articles is counted apart from what stands elsewhere.
+                self.digest[element] = digest_of("\x1f".join(["\x1d" * inside + tag, *parts]))
+                self.stack[-1][4].append(f"\x1e{self.digest[element]}")
+                chars = self.chars[-1] - self.chars[self.first[element]]
+                self.in_article[element] = inside
                 self.candidate[element] = level < 2 or (inside and tag not in PARTS and chars >= MIN_CHARS)
 
     def handle_starttag(self, tag, attrs):
@@ -95,14 +118,12 @@ class Page(HTMLParser):
         if not inline:
             self.flush()
         ended = ENDS.get(tag)
-        for k in range(len(self.stack) - 1, 0, -1):
-            open_tag = self.stack[k][0]
-            if (open_tag == "p" and not inline) or (ended and open_tag in ended):
-                while len(self.stack) > k:
-                    self.pop()
-                break
-            if open_tag in HOLDERS or (open_tag not in INLINE and not ended):
-                break
+        if ended:
+            last = max(self.open[t][-1] if self.open.get(t) else 0 for t in (*ended, "p"))
+            if last > self.open_holders[-1]:
+                self.pop_to(last)
+        elif not inline and self.stack[self.open_blocks[-1]][0] == "p":
+            self.pop_to(self.open_blocks[-1])
         if tag == "br":
             self.pieces.append(" ")
         if tag in VOID:
@@ -117,68 +138,92 @@ class Page(HTMLParser):
         if not dropped and tag not in ("html", "body"):
             words = names_of(attributes) if attributes and not inline else set()
             dropped = tag in DROPPED or role in ROLES or bool(words & NAMES) or (level < 2 and (tag == "header" or bool(words & OUTSIDE)))
+        at = len(self.stack)
+        self.open.setdefault(tag, []).append(at)
         if not inline:
+            self.open_blocks.append(at)
+            if tag in HOLDERS:
+                self.open_holders.append(at)
             element, parts = len(self.parent), []
             self.parent.append(self.stack[-1][3])
             self.digest.append(0)
             self.first.append(len(self.blocks))
             self.last.append(len(self.blocks))
             self.candidate.append(False)
+            self.in_article.append(False)
         self.stack.append((tag, dropped, level, element, parts))
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        inline = tag in INLINE
+        if not inline:
             self.flush()
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k][0] == tag:
-                while len(self.stack) > k:
-                    self.pop()
-                return
-            if tag in INLINE and self.stack[k][0] not in INLINE:
-                return
+        if self.open.get(tag) and (not inline or self.open[tag][-1] > self.open_blocks[-1]):
+            self.pop_to(self.open[tag][-1])
 
     def handle_data(self, data):
         self.pieces.append(data)
 
-    def hashes(self):
-        """hash -> digest of the rest of the main region, for every subtree that can be template."""
+    def contents(self):
+        """(hashes, rests, inside, whole): of each different subtree that can be template its hash, the digest of
+        the main region without it, and whether it stands in an article; and the digest of the main region."""
         best = max((level for _, dropped, level, _ in self.blocks if not dropped), default=0)
         sums = [0]
         for text, dropped, level, _ in self.blocks:
             sums.append(sums[-1] + (digest_of(text) if level == best and not dropped else 0))
         found = {}
-        for d, first, last, candidate in zip(self.digest, self.first, self.last, self.candidate):
-            if candidate:
-                rest = sums[-1] - (sums[last] - sums[first])
-                found.setdefault(d, (rest + 2**63) % 2**64 - 2**63)
-        return found
+        for element, d in enumerate(self.digest):
+            if self.candidate[element]:
+                rest = sums[-1] - (sums[self.last[element]] - sums[self.first[element]])
+                found.setdefault(d, (rest, self.in_article[element]))
+        signed = lambda x: (x + 2**63) % 2**64 - 2**63
+        return list(found), [signed(r) for r, _ in found.values()], [i for _, i in found.values()], signed(sums[-1])
 
-    def main_text(self, template):
-        """The main text without subtrees whose hash is in `template`."""
-        gone = [False]
+    def outline(self):
+        """(texts, levels, owners, parents, digests): the blocks that aren't dropped, each with the place of the next
+        subtree around it that can be template (-1: none); of these subtrees the one around them and the hash."""
+        place, parents, digests = [-1], [], []
         for parent, digest, candidate in zip(self.parent[1:], self.digest[1:], self.candidate[1:]):
-            gone.append(gone[parent] or (candidate and digest in template))
-        left = [(level, text) for text, dropped, level, element in self.blocks if not dropped and not gone[element]]
-        best = max((level for level, _ in left), default=0)
-        return "\n".join(text for level, text in left if level == best)
+            place.append(len(digests) if candidate else place[parent])
+            if candidate:
+                parents.append(place[parent])
+                digests.append(digest)
+        kept = [b for b in self.blocks if not b[1]]
+        return [b[0] for b in kept], [b[2] for b in kept], [place[b[3]] for b in kept], parents, digests
+
+
+def main_text(texts, levels, owners, parents, digests, template):
+    """The blocks of the highest level left once the subtrees whose hash is in `template` are gone."""
+    gone = []
+    for parent, digest in zip(parents, digests):
+        gone.append((parent >= 0 and gone[parent]) or digest in template)
+    left = [(level, text) for text, level, owner in zip(texts, levels, owners) if owner < 0 or not gone[owner]]
+    best = max((level for level, _ in left), default=0)
+    return "\n".join(text for level, text in left if level == best)
+
+
+PARSED = "page_id long, url string, host string, page binary, hashes array<long>, rests array<long>, inside array<boolean>, whole long, texts array<string>, levels array<byte>, owners array<int>, parents array<int>, digests array<long>"
 
 
-def subtree_hashes(batches):
-    names = ["host", "page", "hashes", "rests"]
+def parse_pages(batches):
+    kinds = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int8()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    names = [f.split(" ")[0] for f in PARSED.split(", ")]
     for batch in tidy(batches):
-        found = [Page(h.as_py() or "").hashes() for h in batch.column(2)]
-        lists = [pa.array([list(f) for f in found], pa.list_(pa.int64())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names)
+        rows = []
+        for html in batch.column(4):
+            page = Page(html.as_py() or "")
+            rows.append((*page.contents(), *page.outline()))
+        values = zip(*rows) if rows else [[]] * len(kinds)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], *[pa.array(v, k) for v, k in zip(values, kinds)]], names)
 
 
-def templates(pages):
+def templates(parsed):
     """(host, page, template): the hashes of a page that are template on its host, stored; pages without are left out."""
-    parsed = pages.select("host", "page", "html").mapInArrow(subtree_hashes, "host string, page binary, hashes array<long>, rests array<long>")
-    found = materialise(parsed, "subtrees")
-    each = found.select("host", F.explode(F.arrays_zip("hashes", "rests")).alias("x")).select("host", F.col("x.hashes").alias("hash"), F.col("x.rests").alias("rest"))
-    counted = each.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    many = materialise(counted.where(F.col("n") >= MIN_PAGES).select(F.col("host").alias("_host"), F.col("hash").alias("_hash")), "template-hashes")
-    held = found.select("host", "page", F.explode("hashes").alias("hash"))
+    wholes = parsed.select("host", "whole").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_contents"))
+    each = parsed.select("host", F.explode(F.arrays_zip("hashes", "rests", "inside")).alias("x")).select("host", "x.*")
+    counted = each.distinct().groupBy("host", "hashes").agg(F.count(F.lit(1)).alias("n"), F.bool_or("inside").alias("inside"))
+    often = counted.where(F.col("n") >= MIN_PAGES).join(wholes, "host").where(~F.col("inside") | (2 * F.col("n") >= F.col("n_contents")))
+    many = materialise(often.select(F.col("host").alias("_host"), F.col("hashes").alias("_hash")), "template-hashes")
+    held = parsed.select("host", "page", F.explode("hashes").alias("hash"))
     held = checked_join(held, many, (F.col("host") == F.col("_host")) & (F.col("hash") == F.col("_hash")), "inner")
     return materialise(held.groupBy("host", "page").agg(F.collect_set("hash").alias("template")), "templates")
 
@@ -188,21 +233,24 @@ def extract(pages):
 
     One row per input row. A null or empty page has an empty text; a null url, or one without
     `://`, has the empty host; repeated rows are repeated; an empty table gives no row; other
-    columns are ignored. Tags in disorder are closed as browsers do; what follows an element
-    that is never closed counts as inside it.
+    columns are ignored; the time for a long page grows as its length. Tags in disorder are closed as
+    browsers do; what follows an element that is never closed counts as inside it.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", "://([^/?#]*)", 1), F.lit("")))
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host)
     # Rows of equal host and html share their template; the key stands for the html.
-    rows = rows.withColumn("page", F.unhex(F.md5(F.coalesce("html", F.lit("")))))
-    template = templates(rows).withColumnsRenamed({"host": "_host", "page": "_page"})
+    key = F.unhex(F.md5(F.coalesce(F.col("html").cast("string"), F.lit(""))))
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), host.alias("host"), key.alias("page"), F.col("html").cast("string"))
+    parsed = materialise(rows.mapInArrow(parse_pages, PARSED), "parsed-pages")
+    template = templates(parsed).withColumnsRenamed({"host": "_host", "page": "_page"})
+    size = template.agg(F.sum(F.size("template") + 8)).first()[0] or 0
     names = ["page_id", "url", "text", "n_chars"]
 
     def run(batches):
         for batch in tidy(batches):
-            values = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            texts = [Page(h or "").main_text(frozenset(t or ())) for h, t in values]
+            values = zip(*[c.to_pylist() for c in batch.columns[2:]])
+            texts = [main_text(*v[:-1], frozenset(v[-1] or ())) for v in values]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names)
 
-    joined = checked_join(rows, template, (F.col("host") == F.col("_host")) & (F.col("page") == F.col("_page")), "left", BROADCAST_PAGES)
-    return joined.select("page_id", "url", "html", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    on = (F.col("host") == F.col("_host")) & (F.col("page") == F.col("_page"))
+    joined = parsed.join(F.broadcast(template) if size <= BROADCAST_HASHES else template, on, "left")
+    return joined.select("page_id", "url", "texts", "levels", "owners", "parents", "digests", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
