@@ -21,7 +21,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import functions as F
 
 from naviscope.llm.bpe import byte_letters, read_vocabulary
-from naviscope.llm.common import chunks, columns, process_cache, tidy
+from naviscope.llm.common import arrow_records, chunks, columns, process_cache, tidy
 from naviscope.llm.pretokens import character_kinds, split_pieces
 from naviscope.session import materialise
 
@@ -29,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Characters of a chunk (a longer text makes a chunk of its own).
 CHUNK_CHARS = 1_000_000
+# Texts that are handed to a worker at a time.
+BATCH_TEXTS = 1000
 # Words, or pre-tokens, a worker remembers.
 REMEMBERED = 200_000
 # A group of more links than this is spread by its distinct ids, not by its tokens.
@@ -281,7 +283,8 @@ def align(documents, vocabulary_path, model_path):
     doesn't give back, have zeros and an empty groups_sha256; repeated rows count each time; an
     empty table gives no row; other columns are ignored; a very long text is a chunk of its own.
     """
-    chunked = materialise(aligned_chunks(documents, vocabulary_path, model_path), "aligned")
+    with arrow_records(documents.sparkSession, BATCH_TEXTS):
+        chunked = materialise(aligned_chunks(documents, vocabulary_path, model_path), "aligned")
     counts = materialise(pair_counts(chunked), "pairs")
     held = chunked.select("chunk", F.explode("pairs").alias("pair"))
     found = held.join(counts, "pair").select(F.col("chunk").alias("of"), "pair", "n", "best")

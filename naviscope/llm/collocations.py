@@ -22,7 +22,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import columns, tidy
+from naviscope.llm.common import arrow_records, columns, tidy
 from naviscope.operators.scan import add_row_number
 from naviscope.session import materialise
 
@@ -33,6 +33,8 @@ LONGEST = 5
 TOP = 2000
 # A row of words is closed once it holds so many (documents stay whole).
 ROW_WORDS = 1 << 18
+# Texts, and rows of words, that are handed to a worker at a time.
+BATCH_TEXTS, BATCH_ROWS = 1000, 16
 # Entries of a slice before merging, about.
 SLICE_ENTRIES = 1 << 20
 # Keys of one level (8 bytes each) up to which they are broadcast; beyond, they are joined.
@@ -302,7 +304,9 @@ def phrases(documents, least=LEAST, longest=LONGEST):
     (no longer candidate of the same count holds it); and the words of each lang: lang, n.
     """
     rows = columns(documents, lang="string", text="string").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    rows = materialise(rows.mapInArrow(word_rows, "row long, lang string, words array<string>, counts array<long>, sequence binary"), "word-rows")
+    spark = documents.sparkSession
+    with arrow_records(spark, BATCH_TEXTS):
+        rows = materialise(rows.mapInArrow(word_rows, "row long, lang string, words array<string>, counts array<long>, sequence binary"), "word-rows")
     each = rows.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x"))
     counted = materialise(each.groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("f")), "words")
     totals = materialise(counted.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
@@ -314,12 +318,14 @@ def phrases(documents, least=LEAST, longest=LONGEST):
     rows = materialise(id_rows(rows, words), "id-rows")
     levels = []
     for k in range(2, longest + 1):
-        found = materialise(merged(count_pairs(rows, slice_bits), slice_bits, least), f"pairs-{k}")
+        with arrow_records(spark, BATCH_ROWS):
+            found = materialise(merged(count_pairs(rows, slice_bits), slice_bits, least), f"pairs-{k}")
         level = materialise(numbered(found, ["left", "right"]), f"pair-ids-{k}")
         below = materialise(described(level, below), f"phrases-{k}")
         levels.append(below)
         if k < longest:
-            rows = materialise(next_rows(rows, level), f"id-rows-{k}")
+            with arrow_records(spark, BATCH_ROWS):
+                rows = materialise(next_rows(rows, level), f"id-rows-{k}")
     out = []
     for level, above in zip(levels, [*levels[1:], None]):
         if above is None:

@@ -1,5 +1,6 @@
 """Small helpers of the text operators."""
 
+import contextlib
 import ctypes
 import sys
 
@@ -61,6 +62,18 @@ def tidy(batches, rows=1000):
         trim(0)
 
 
+@contextlib.contextmanager
+def arrow_records(spark, records):
+    """Jobs started within hand at most so many rows at a time to Python: for tables of large rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(records))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def chunks(batch, key, text, limit=CHUNK_CHARS):
     """(keys, texts) of bounded size from an Arrow batch; a null text is empty."""
     keys, texts, total = [], [], 0
