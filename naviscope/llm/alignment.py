@@ -11,9 +11,9 @@ and a cogroup on the chunk, so that nothing is broadcast but the vocabularies.
 """
 
 import hashlib
-import os
 import re
 import sys
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from naviscope.llm.bpe import byte_letters, read_vocabulary
 from naviscope.llm.common import arrow_records, chunks, columns, process_cache, tidy
-from naviscope.llm.pretokens import character_kinds, split_pieces
 from naviscope.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,79 +30,85 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHUNK_CHARS = 1_000_000
 # Texts that are handed to a worker at a time.
 BATCH_TEXTS = 1000
-# Words, or pre-tokens, a worker remembers.
-REMEMBERED = 200_000
+# Words a worker remembers.
+REMEMBERED = 300_000
 # A group of more links than this is spread by its distinct ids, not by its tokens.
 LARGE_GROUP = 1 << 16
+# Fixed value: how byte-level vocabularies cut texts before merging.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The model reads this mark as a space.
 WORD = re.compile("[ ▁]+[^ ▁]*")
 FIELDS = "chunk long, doc_ids array<long>, sizes array<long>, digests array<string>, bounds binary, places binary, times binary, pairs array<long>, documents array<long>"
 
 
 class ByteLevel:
-    """Ids of space + text by a byte-level vocabulary of the tokenizers library; special strings are plain text."""
+    """Ids of space + text by a byte-level vocabulary of the tokenizers library; special strings are plain text.
+
+    The ids follow the order of the merges, so that merging by least id is merging by rank.
+    """
 
     def __init__(self, vocabulary):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
+        tokenizer = Tokenizer.from_str(vocabulary)
         bytes_of = {letter: b for b, letter in byte_letters().items()}
-        added = self.tokenizer.get_added_tokens_decoder()
-        vocab = self.tokenizer.get_vocab()
+        added, vocab = tokenizer.get_added_tokens_decoder(), tokenizer.get_vocab()
         self.bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.bytes[i] = token.encode() if i in added else bytes(bytes_of[c] for c in token)
-        self.known = {}
+        ranks = {b: i for i, b in enumerate(self.bytes) if i not in added}
+        self.model = tiktoken.Encoding("ranks", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts):
-        pieces, bounds = split_pieces([f" {t}" for t in texts], process_cache("character_kinds", character_kinds))
-        return _remembered(self.known, pieces, bounds, lambda new: [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)])
+        """(ids of all texts, where each text's begin, the texts that tokens' bytes don't give back: none here)."""
+        each = [self.model.encode_to_numpy(f" {t}", disallowed_special=()) for t in texts]
+        begin = np.concatenate(([0], np.cumsum([len(e) for e in each]))).astype(np.int64)
+        return np.concatenate([np.empty(0, np.int64), *each]).astype(np.int64), begin, []
 
 
 class Pieces:
     """Ids of a text by a sentencepiece model that puts a space before it.
 
     No piece holds a space after another character, so that words, each with the spaces before it,
-    are encoded on their own and remembered; for other models whole texts are encoded.
+    are encoded on their own and remembered by a worker; for other models whole texts are.
     """
 
     def __init__(self, model):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
+        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+        self.length = np.array([len(b) for b in self.bytes], np.int64)
+        self.by_word = not any("▁" in p.lstrip("▁") for p in names)
         self.space = self.model.piece_to_id("▁")
         self.known = {}
 
     def encode(self, texts):
-        if not self.by_word:
-            return [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
-        words, bounds = [], []
+        words, bounds = [], [0]
         for t in texts:
-            start = len(words)
-            words += WORD.findall(f" {t}")
-            bounds.append((start, len(words)))
-        return _remembered(self.known, words, bounds, self._new)
-
-    def _new(self, words):
+            words += WORD.findall(f" {t}") if self.by_word else [f" {t}"]
+            bounds.append(len(words))
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = list(set(words).difference(self.known))
         # The model adds the first space itself, except to nothing.
-        return [ids if len(w) > 1 else [self.space] for w, ids in zip(words, self.model.encode([w[1:] for w in words], num_threads=1))]
-
-
-def _remembered(known, pieces, bounds, encode_new):
-    """The ids of each text, from those of its pieces."""
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = list({p for p in pieces if p not in known})
-    known.update((p, np.array(ids, "<u4").tobytes()) for p, ids in zip(new, encode_new(new)))
-    encoded = list(map(known.__getitem__, pieces))
-    return [np.frombuffer(b"".join(encoded[i:j]), "<u4").astype(np.int64) for i, j in bounds]
+        found = [ids if len(w) > 1 else [self.space] for w, ids in zip(new, self.model.encode([w[1:] for w in new], num_threads=1))]
+        flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        edges = [0, *accumulate(4 * len(f) for f in found)]
+        self.known.update(zip(new, [flat[i:j] for i, j in zip(edges, edges[1:])]))
+        encoded = list(map(self.known.__getitem__, words))
+        sizes = np.concatenate(([0], np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4)))
+        ids, begin = np.frombuffer(b"".join(encoded), "<u4").astype(np.int64), sizes[bounds]
+        # Ids of other bytes than the text's are rare; those of another length are found at once.
+        total = np.concatenate(([0], np.cumsum(self.length[ids])))[begin]
+        altered = []
+        for k, t in enumerate(texts):
+            whole = f" {t}".encode()
+            if total[k + 1] - total[k] != len(whole) or b"".join(map(self.bytes.__getitem__, ids[begin[k] : begin[k + 1]].tolist())) != whole:
+                altered.append(k)
+        return ids, begin, altered
 
 
 def gallop(sought, sought_from, sorted_ends, sorted_from):
@@ -195,20 +200,22 @@ class Aligner:
         self.size_a, self.size_b = size_a, len(self.b.bytes)
 
     def tokens(self, texts):
-        """(ids of a, ids of b) of each text; none where the bytes of either aren't space + text."""
+        """(ids, begins) of a and of b for all texts; none where the bytes of either aren't space + text."""
+        sides = [side.encode(texts) for side in (self.a, self.b)]
+        none = sorted({k for *_, altered in sides for k in altered} | {k for k, t in enumerate(texts) if not t})
         out = []
-        nothing = np.empty(0, np.int64)
-        for text, a, b in zip(texts, self.a.encode(texts), self.b.encode(texts)):
-            whole = b" " + text.encode()
-            same = bool(text) and all(b"".join(map(side.bytes.__getitem__, ids.tolist())) == whole for side, ids in ((self.a, a), (self.b, b)))
-            out.append((a, b) if same else (nothing, nothing))
+        for ids, begin, _ in sides:
+            count = np.diff(begin)
+            if none:
+                kept = np.ones(len(texts), bool)
+                kept[none] = False
+                ids, count = ids[np.repeat(kept, count)], count * kept
+            out.append((ids, np.concatenate(([0], np.cumsum(count)))))
         return out
 
     def align(self, texts):
         """(sizes: n_a, n_b, n_groups, n_links per text; digests; documents, pairs and times of links, summed)."""
-        tokens = self.tokens(texts)
-        a, b = (np.concatenate([t[k] for t in tokens]) for k in (0, 1))
-        from_a, from_b = (np.concatenate(([0], np.cumsum([len(t[k]) for t in tokens]))).astype(np.int64) for k in (0, 1))
+        (a, from_a), (b, from_b) = self.tokens(texts)
         at_a, at_b = common_ends(np.cumsum(self.length_a[a]), from_a, np.cumsum(self.length_b[b]), from_b)
         # Documents with tokens end together, so groups follow each other without a gap.
         end_a, end_b = at_a + 1, at_b + 1

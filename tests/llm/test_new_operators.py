@@ -263,4 +263,6 @@ def test_words_give_the_ids_of_whole_texts(documents):
         pieces = alignment.Pieces(f.read())
     texts = [*odd_texts(), *[r["text"] or "" for r in documents.select("text").collect()]]
     wanted = pieces.model.encode(texts)
-    assert pieces.by_word and [x.tolist() if t else [] for t, x in zip(texts, pieces.encode(texts))] == wanted
+    ids, begin, altered = pieces.encode(texts)
+    assert pieces.by_word and [ids[i:j].tolist() if t else [] for t, i, j in zip(texts, begin, begin[1:])] == wanted
+    assert {k for k, t in enumerate(texts) if "▁" in t} == set(altered)
