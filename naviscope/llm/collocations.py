@@ -34,7 +34,9 @@ TOP = 2000
 # A row of words is closed once it holds so many (documents stay whole).
 ROW_WORDS = 1 << 18
 # Texts, and rows of words, that are handed to a worker at a time.
-BATCH_TEXTS, BATCH_ROWS = 1000, 16
+BATCH_TEXTS, BATCH_ROWS = 1000, 2
+# Entries that a task counts before it hands on filters.
+TASK_ENTRIES = 1 << 21
 # Entries of a slice before merging, about.
 SLICE_ENTRIES = 1 << 20
 # Keys of one level (8 bytes each) up to which they are broadcast; beyond, they are joined.
@@ -202,22 +204,37 @@ def pair_keys(ids):
 
 
 def count_pairs(rows, slice_bits):
-    """(slice, filter): the quotient filters of each row's pairs, cut by the upper bits of the permuted keys."""
+    """(slice, filter): the quotient filters of a task's pairs, cut by the upper bits of the permuted keys."""
+
+    def filters(keys, counts):
+        slices = (keys >> U64(64 - slice_bits)).astype(np.int64) if slice_bits else np.zeros(len(keys), np.int64)
+        cuts = np.flatnonzero(np.diff(slices)) + 1
+        edges = [0, *cuts.tolist(), len(keys)]
+        parts = [(int(slices[i]), QuotientFilter.of(keys[i:j], counts[i:j], slice_bits).to_bytes()) for i, j in zip(edges, edges[1:])]
+        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], ["slice", "filter"])
 
     def run(batches):
+        held, size = [], 0
         for batch in tidy(batches, 1):
             for ids in batch.column(0):
                 keys = np.sort(permuted(pair_keys(ids.as_py())[1]))
-                keys, counts = summed(keys, np.ones(len(keys), np.int64))
-                slices = (keys >> U64(64 - slice_bits)).astype(np.int64) if slice_bits else np.zeros(len(keys), np.int64)
-                cuts = np.flatnonzero(np.diff(slices)) + 1
-                edges = [0, *cuts.tolist(), len(keys)] if len(keys) else [0]
-                parts = [(int(slices[i]), QuotientFilter.of(keys[i:j], counts[i:j], slice_bits).to_bytes()) for i, j in zip(edges, edges[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], ["slice", "filter"])
+                held.append(summed(keys, np.ones(len(keys), np.int64)))
+                size += len(held[-1][0])
+                if size >= TASK_ENTRIES:
+                    held = [_together(held)]
+                    if len(held[0][0]) >= TASK_ENTRIES // 2:
+                        yield filters(*held.pop())
+                    size = sum(len(k) for k, _ in held)
+        if size:
+            yield filters(*_together(held))
 
     return rows.select("ids").mapInArrow(run, "slice int, filter binary")
 
 
+def _together(parts):
+    return summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+
+
 def merged(filters, slice_bits, least):
     """(part, left, right, f): the keys whose merged count is `least` or more, taken apart."""
 
@@ -230,7 +247,7 @@ def merged(filters, slice_bits, least):
                 waiting.append(QuotientFilter.from_bytes(data.as_py()).entries())
                 size += len(waiting[-1][0])
             if data is None or size >= SLICE_ENTRIES:
-                keys, counts = summed(np.concatenate([keys, *[k for k, _ in waiting]]), np.concatenate([counts, *[c for _, c in waiting]]))
+                keys, counts = _together([(keys, counts), *waiting])
                 waiting, size = [], 0
         kept = counts >= least
         whole = keys[kept] | U64(number << (64 - slice_bits)) if slice_bits else keys[kept]
