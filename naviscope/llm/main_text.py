@@ -8,7 +8,7 @@ host's different articles, have at least MIN_CHARS characters and be no heading,
 of a table: what a few articles share is their own text. So do elements that name themselves as
 something else than the article (menus, footers, adverts, comments, ...). The main text is what is
 left of the page's articles, or, on a page without one, of its main element, or of the whole body.
-Each page is parsed once; its blocks and subtree hashes are stored.
+Pages are parsed once to count and once to extract, so that no text is stored or shuffled between.
 """
 
 import re
@@ -16,11 +16,12 @@ import sys
 from hashlib import blake2b
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import checked_join, tidy
+from naviscope.llm.common import tidy
 from naviscope.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,8 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_PAGES = 4
 # Within articles, shorter subtrees recur by chance.
 MIN_CHARS = 12
-# Hashes (with the keys of the pages that hold them) up to which templates are broadcast.
-BROADCAST_HASHES = 1_000_000
+# Hashes (8 bytes each) up to which templates are broadcast; beyond, they are joined to the pages.
+BROADCAST_HASHES = 4_000_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
@@ -163,69 +164,74 @@ class Page(HTMLParser):
     def handle_data(self, data):
         self.pieces.append(data)
 
-    def contents(self):
-        """(hashes, rests, inside, whole): of each different subtree that can be template its hash, the digest of
-        the main region without it, and whether it stands in an article; and the digest of the main region."""
-        best = max((level for _, dropped, level, _ in self.blocks if not dropped), default=0)
+    def best_level(self):
+        return max((level for _, dropped, level, _ in self.blocks if not dropped), default=0)
+
+    def hashes(self, host):
+        """Rows (hash, rest, inside) of the page: for each different subtree that can be template its hash on this
+        host, the digest of the main region without it, and whether it stands in an article. First comes a row
+        of the host's own hash, with the digest of the whole main region."""
+        best, salt = self.best_level(), digest_of(host)
         sums = [0]
         for text, dropped, level, _ in self.blocks:
             sums.append(sums[-1] + (digest_of(text) if level == best and not dropped else 0))
-        found = {}
+        found = {salt: (signed(sums[-1]), False)}
         for element, d in enumerate(self.digest):
             if self.candidate[element]:
                 rest = sums[-1] - (sums[self.last[element]] - sums[self.first[element]])
-                found.setdefault(d, (rest, self.in_article[element]))
-        signed = lambda x: (x + 2**63) % 2**64 - 2**63
-        return list(found), [signed(r) for r, _ in found.values()], [i for _, i in found.values()], signed(sums[-1])
-
-    def outline(self):
-        """(texts, levels, owners, parents, digests): the blocks that aren't dropped, each with the place of the next
-        subtree around it that can be template (-1: none); of these subtrees the one around them and the hash."""
-        place, parents, digests = [-1], [], []
-        for parent, digest, candidate in zip(self.parent[1:], self.digest[1:], self.candidate[1:]):
-            place.append(len(digests) if candidate else place[parent])
-            if candidate:
-                parents.append(place[parent])
-                digests.append(digest)
-        kept = [b for b in self.blocks if not b[1]]
-        return [b[0] for b in kept], [b[2] for b in kept], [place[b[3]] for b in kept], parents, digests
-
+                found.setdefault(d ^ salt, (signed(rest), self.in_article[element]))
+        return [(h, *x) for h, x in found.items()]
 
-def main_text(texts, levels, owners, parents, digests, template):
-    """The blocks of the highest level left once the subtrees whose hash is in `template` are gone."""
-    gone = []
-    for parent, digest in zip(parents, digests):
-        gone.append((parent >= 0 and gone[parent]) or digest in template)
-    left = [(level, text) for text, level, owner in zip(texts, levels, owners) if owner < 0 or not gone[owner]]
-    best = max((level for level, _ in left), default=0)
-    return "\n".join(text for level, text in left if level == best)
+    def main_text(self, is_template):
+        """The blocks of the highest level left without the subtrees whose digest `is_template`."""
+        gone = [False]
+        for parent, digest, candidate in zip(self.parent[1:], self.digest[1:], self.candidate[1:]):
+            gone.append(gone[parent] or (candidate and is_template(digest)))
+        left = [(level, text) for text, dropped, level, element in self.blocks if not dropped and not gone[element]]
+        best = max((level for level, _ in left), default=0)
+        return "\n".join(text for level, text in left if level == best)
 
 
-PARSED = "page_id long, url string, host string, page binary, hashes array<long>, rests array<long>, inside array<boolean>, whole long, texts array<string>, levels array<byte>, owners array<int>, parents array<int>, digests array<long>"
+def signed(x):
+    return (x + 2**63) % 2**64 - 2**63
 
 
-def parse_pages(batches):
-    kinds = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int8()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-    names = [f.split(" ")[0] for f in PARSED.split(", ")]
+def page_rows(batches):
+    """(host, hash, rest, inside) of all subtrees of all pages, hosts by their hash."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
     for batch in tidy(batches):
         rows = []
-        for html in batch.column(4):
-            page = Page(html.as_py() or "")
-            rows.append((*page.contents(), *page.outline()))
-        values = zip(*rows) if rows else [[]] * len(kinds)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], *[pa.array(v, k) for v, k in zip(values, kinds)]], names)
+        for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
+            salt = digest_of(host)
+            rows += [(salt, *r) for r in Page(html.as_py() or "").hashes(host)]
+        values = zip(*rows) if rows else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], ["host", "hash", "rest", "inside"])
+
 
+def templates(pages):
+    """(hash): the subtrees, each hashed with its host, that are template there; stored."""
+    rows = pages.select("host", "html").mapInArrow(page_rows, "host long, hash long, rest long, inside boolean")
+    counted = rows.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"), F.bool_or("inside").alias("inside"))
+    counted = materialise(counted.where((F.col("n") >= MIN_PAGES) | (F.col("host") == F.col("hash"))), "subtree-counts")
+    wholes = counted.where("host = hash").select("host", F.col("n").alias("n_contents"))
+    often = counted.where((F.col("n") >= MIN_PAGES) & (F.col("host") != F.col("hash"))).join(wholes, "host")
+    return materialise(often.where(~F.col("inside") | (2 * F.col("n") >= F.col("n_contents"))).select("hash"), "templates")
+
+
+def page_templates(pages, template):
+    """(_host, _page, template): the hashes of a page that are template on its host, stored; pages without are left out."""
+
+    def held(batches):
+        kinds = [pa.string(), pa.binary(), pa.int64()]
+        for batch in tidy(batches):
+            rows = []
+            for host, page, html in zip(*[c.to_pylist() for c in batch.columns]):
+                rows += [(host, page, h) for h, _, _ in Page(html or "").hashes(host)]
+            values = zip(*rows) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], ["_host", "_page", "hash"])
 
-def templates(parsed):
-    """(host, page, template): the hashes of a page that are template on its host, stored; pages without are left out."""
-    wholes = parsed.select("host", "whole").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_contents"))
-    each = parsed.select("host", F.explode(F.arrays_zip("hashes", "rests", "inside")).alias("x")).select("host", "x.*")
-    counted = each.distinct().groupBy("host", "hashes").agg(F.count(F.lit(1)).alias("n"), F.bool_or("inside").alias("inside"))
-    often = counted.where(F.col("n") >= MIN_PAGES).join(wholes, "host").where(~F.col("inside") | (2 * F.col("n") >= F.col("n_contents")))
-    many = materialise(often.select(F.col("host").alias("_host"), F.col("hashes").alias("_hash")), "template-hashes")
-    held = parsed.select("host", "page", F.explode("hashes").alias("hash"))
-    held = checked_join(held, many, (F.col("host") == F.col("_host")) & (F.col("hash") == F.col("_hash")), "inner")
-    return materialise(held.groupBy("host", "page").agg(F.collect_set("hash").alias("template")), "templates")
+    rows = pages.select("host", "page", "html").mapInArrow(held, "_host string, _page binary, hash long").distinct()
+    return materialise(rows.join(template, "hash").groupBy("_host", "_page").agg(F.collect_set("hash").alias("template")), "page-templates")
 
 
 def extract(pages):
@@ -240,17 +246,30 @@ def extract(pages):
     # Rows of equal host and html share their template; the key stands for the html.
     key = F.unhex(F.md5(F.coalesce(F.col("html").cast("string"), F.lit(""))))
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), host.alias("host"), key.alias("page"), F.col("html").cast("string"))
-    parsed = materialise(rows.mapInArrow(parse_pages, PARSED), "parsed-pages")
-    template = templates(parsed).withColumnsRenamed({"host": "_host", "page": "_page"})
-    size = template.agg(F.sum(F.size("template") + 8)).first()[0] or 0
+    template = templates(rows)
     names = ["page_id", "url", "text", "n_chars"]
+    known = None
+    if template.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES:
+        # Eight bytes each.
+        known = rows.sparkSession.sparkContext.broadcast(np.sort(template.toArrow().column("hash").to_numpy()))
 
     def run(batches):
         for batch in tidy(batches):
-            values = zip(*[c.to_pylist() for c in batch.columns[2:]])
-            texts = [main_text(*v[:-1], frozenset(v[-1] or ())) for v in values]
+            texts = []
+            for host, html, held in zip(*[c.to_pylist() for c in batch.columns[2:]]):
+                page, salt = Page(html or ""), digest_of(host)
+                if known is None:
+                    mine = frozenset(held or ())
+                else:
+                    own = np.array([d ^ salt for d, c in zip(page.digest, page.candidate) if c], np.int64)
+                    near = np.searchsorted(known.value, own)
+                    mine = frozenset(own[(near < len(known.value)) & (known.value[np.minimum(near, len(known.value) - 1)] == own)].tolist()) if len(known.value) else ()
+                texts.append(page.main_text(lambda d: d ^ salt in mine))  # noqa: B023
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names)
 
-    on = (F.col("host") == F.col("_host")) & (F.col("page") == F.col("_page"))
-    joined = parsed.join(F.broadcast(template) if size <= BROADCAST_HASHES else template, on, "left")
-    return joined.select("page_id", "url", "texts", "levels", "owners", "parents", "digests", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    if known is None:
+        on = (F.col("host") == F.col("_host")) & (F.col("page") == F.col("_page"))
+        rows = rows.join(page_templates(rows, template), on, "left")
+    else:
+        rows = rows.withColumn("template", F.lit(None).cast("array<long>"))
+    return rows.select("page_id", "url", "host", "html", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
