@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from naviscope.operators.quantiles import exact_quantiles
 from naviscope.operators.scan import CHUNK_ROWS, add_ntile, add_running_sum, position_chunk
+from naviscope.session import materialise
 
 
 def add_folds(rows, folds=10, key="scheme_idx", label="label_bin", chunk_rows=CHUNK_ROWS):
@@ -69,12 +71,16 @@ def expand_levels(counts, levels, level="level", prediction="prediction", out="n
     return grid.withColumn(prediction, (F.col(level) >= F.col(out)).cast("int"))
 
 
-def box_plot(scores, by, value="f1"):
+def box_plot(scores, by, value="f1", large_groups=False):
     """Quartiles, whiskers within 1.5 box heights, and outliers per group.
 
-    `scores` is read twice. Exact quartiles hold the distinct values of a group, not its rows.
+    `scores` is read twice. Exact quartiles hold the distinct values of a group, not its rows;
+    with `large_groups` they hold neither, but take a few passes more.
     """
-    q = scores.groupBy(*by).agg(F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("__q"))
+    if large_groups:
+        q = exact_quantiles(scores, by, value, (0.25, 0.5, 0.75)).withColumnRenamed("quantiles", "__q")
+    else:
+        q = scores.groupBy(*by).agg(F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("__q"))
     q = q.select(*[F.col(c).alias(f"__{c}") for c in by], "__q")
     on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
     q1, median, q3 = (F.col("__q")[i] for i in range(3))
@@ -98,22 +104,39 @@ def best_tree_count(scores, value="f1"):
     return best.select("horizon", "b.num_trees", "b.mean_f1")
 
 
-def roc_points(rows, score="score", label="label_bin", chunks=1024):
+def _roc_sums(rows, score, label):
+    """(horizon, score, p, n, tp, fp, positives, negatives): counts at each distinct score, and of all as high or higher."""
+    counts = rows.groupBy("horizon", score).agg(
+        F.sum(label).cast("long").alias("p"),
+        F.sum(1 - F.col(label)).cast("long").alias("n"),
+    )
+    # Ranges cut at sampled quantiles are about equal however the scores pile up. Stored, so that they stay.
+    ranged = counts.repartitionByRange("horizon", F.col(score).desc()).withColumn("__chunk", F.spark_partition_id())
+    counts = materialise(ranged, "score-ranges")
+    sums = {"tp": (F.col("p"), "positives"), "fp": (F.col("n"), "negatives")}
+    return add_running_sum(counts, ["horizon"], "__chunk", [F.col(score).desc()], sums)
+
+
+def roc_points(rows, score="score", label="label_bin"):
     """Per horizon and distinct score: the rates of all rows scored as high or higher.
 
-    Scores lie in 0..1. Equal scores are merged before anything is sorted, and
-    the running sums go score range by score range.
+    Equal scores are merged before anything is sorted, and the running sums go range by range.
     """
-    counts = rows.groupBy("horizon", score).agg(
-        F.sum(label).cast("long").alias("__p"),
-        F.sum(1 - F.col(label)).cast("long").alias("__n"),
-    )
-    counts = counts.withColumn("__chunk", -F.floor(F.col(score) * chunks).cast("long"))
-    sums = {"tp": (F.col("__p"), "positives"), "fp": (F.col("__n"), "negatives")}
-    out = add_running_sum(counts, ["horizon"], "__chunk", [F.col(score).desc()], sums)
-    return out.select(
+    return _roc_sums(rows, score, label).select(
         "horizon",
         score,
         F.coalesce(F.try_divide(F.col("tp").cast("double"), "positives"), F.lit(0.0)).alias("tpr"),
         F.coalesce(F.try_divide(F.col("fp").cast("double"), "negatives"), F.lit(0.0)).alias("fpr"),
     )
+
+
+def roc_area(rows, score="score", label="label_bin"):
+    """Area under each horizon's curve, by trapezoids; null where a class is missing.
+
+    Twice the area in units of one positive and one negative is whole: each distinct score adds its
+    negatives times the positives above it, twice, and those at it, once.
+    """
+    twice = (F.col("n") * (2 * F.col("tp") - F.col("p"))).cast("decimal(38,0)")
+    sums = _roc_sums(rows, score, label).groupBy("horizon").agg(F.sum(twice).alias("twice"), F.max("positives").alias("positives"), F.max("negatives").alias("negatives"))
+    whole = 2.0 * F.col("positives") * F.col("negatives")
+    return sums.select("horizon", "positives", "negatives", F.try_divide(F.col("twice").cast("double"), whole).alias("area"))

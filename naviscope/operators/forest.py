@@ -55,7 +55,7 @@ def fit(train, num_trees, label="label_bin", max_depth=MAX_DEPTH, leaf_share=LEA
     return (learner.setWeightCol(weight) if weight else learner).fit(train)
 
 
-def _side_by_side(task, items, parallelism):
+def side_by_side(task, items, parallelism):
     with ThreadPoolExecutor(parallelism) as pool:
         return list(pool.map(task, items))
 
@@ -115,7 +115,7 @@ def cross_validate(stored, folds=10, max_trees=40, parallelism=PARALLEL_FITS, **
         return [(horizon, r.num_trees, fold, r.prediction, r.label_bin, r.n) for r in counts.collect()]
 
     jobs = [(h, f) for h in sorted(total) for f in range(folds) if sizes.get((h, f), 0) < total[h]]
-    found = [row for part in _side_by_side(one, jobs, parallelism) for row in part]
+    found = [row for part in side_by_side(one, jobs, parallelism) for row in part]
     schema = "horizon string, num_trees int, fold int, prediction int, label_bin int, n long"
     counts = spark.createDataFrame(found, schema)
     return f1_scores(counts, ["horizon", "num_trees", "fold"], weight="n")
@@ -140,7 +140,7 @@ def fit_horizons(
         mine = mine.withColumn("weight", F.when(F.col("label_bin") == 1, ratio).otherwise(1.0))
         return horizon, fit(mine, trees[horizon], weight="weight", **options)
 
-    return dict(_side_by_side(one, sorted(counts), parallelism))
+    return dict(side_by_side(one, sorted(counts), parallelism))
 
 
 def importances(spark, models):

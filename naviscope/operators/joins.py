@@ -1,7 +1,11 @@
-"""Lookups by name."""
+"""Joins of two sources on keys and names."""
+
+import uuid
 
 from pyspark.sql import functions as F
 
+from naviscope.session import new_folder
+
 
 def lookup(df, dimension, key, dimension_key, strict=False):
     """Dimension columns on each row; one dimension row per key is required.
@@ -45,3 +49,44 @@ def ambiguous_names(right, right_keys, right_id):
     names = list(right_keys)
     shared = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
     return rows.join(shared, names)
+
+
+def stored_by_key(df, key, name, buckets=None):
+    """`df` written once as a table bucketed and sorted by `key`: joins and groups on it need no exchange.
+
+    Each bucket is one file. The table is external, in the shared folder; sources that are joined
+    take the same number of buckets, by default the session's shuffle partitions.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    full_name = f"{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", new_folder(spark, name))
+    writer.saveAsTable(full_name)
+    return spark.table(full_name)
+
+
+def details_by_key(listed, details, key, order, buckets=None):
+    """(rows, exceptions) of two sources that are matched on `key`, both stored bucketed by it.
+
+    `rows`: each listed row with its details; of repeated details the last in the order of the
+    columns `order` counts. `exceptions`: key, kind and n_rows of keys that are listed without details
+    (missing), have details without being listed (extra), or are repeated in either source
+    (listed twice, repeated). A null key matches nothing: it is missing or extra.
+    """
+    listed = stored_by_key(listed, key, "listed", buckets)
+    details = stored_by_key(details, key, "details", buckets)
+    others = [c for c in details.columns if c not in (key, *order)]
+    last = details.groupBy(key).agg(F.max(F.struct(*order, *others)).alias("__last"), F.count(F.lit(1)).alias("__n_details"))
+    counted = listed.groupBy(key).agg(F.count(F.lit(1)).alias("__n_listed"))
+    # The tables are large by nature; a merge join keeps to their buckets.
+    rows = listed.join(last.hint("merge"), key).select(*listed.columns, *[F.col(f"__last.{c}").alias(c) for c in (*order, *others)])
+    both = counted.join(last.drop("__last").hint("merge"), key, "full")
+    kinds = {
+        "missing": (F.col("__n_details").isNull(), "__n_listed"),
+        "extra": (F.col("__n_listed").isNull(), "__n_details"),
+        "listed twice": (F.col("__n_listed") > 1, "__n_listed"),
+        "repeated": (F.col("__n_details") > 1, "__n_details"),
+    }
+    found = F.filter(F.array(*[F.when(on, F.struct(F.lit(k).alias("kind"), F.col(n).alias("n_rows"))) for k, (on, n) in kinds.items()]), lambda x: x.isNotNull())
+    exceptions = both.select(key, F.explode(found).alias("x")).select(key, "x.kind", "x.n_rows")
+    return rows, exceptions

@@ -24,6 +24,15 @@ RISK_TEXTS = {
     "LARGE": "unknown",
 }
 
+# A part's name on the site, and in a feed: as it is, one letter less, words swapped, a word more, a letter twice.
+SITE_NAME = "concat_ws(' ', p_name, lower(p_type), 'fund', translate(p_brand, '#', ' '), 'series', p_partkey)"
+FEED_NAME = """CASE p_partkey % 5
+    WHEN 0 THEN concat_ws('  ', upper(p_name), lower(p_type), 'Fund', translate(p_brand, '#', '-'), 'Series', p_partkey)
+    WHEN 1 THEN concat_ws(' ', concat(substr(p_name, 1, 2), substr(p_name, 4)), lower(p_type), 'fund', translate(p_brand, '#', ' '), 'series', p_partkey)
+    WHEN 2 THEN concat_ws(' ', lower(p_type), p_name, 'fund', 'series', p_partkey, translate(p_brand, '#', ' '))
+    WHEN 3 THEN concat_ws(' ', p_name, lower(p_type), 'fund', translate(p_brand, '#', ' '), 'series', p_partkey, 'growth')
+    ELSE concat_ws(' ', p_name, lower(p_type), 'fundd', translate(p_brand, '#', ' '), 'series', p_partkey) END"""
+
 # Month marks that bound the current and the previous window of each horizon.
 MARKS = sorted({0, *HORIZONS.values(), *(2 * n for n in HORIZONS.values())})
 

@@ -9,10 +9,13 @@ from naviscope.operators import (
     features,
     forest,
     joins,
+    models,
     ranking,
     reshape,
     risk,
+    sampling,
     schemes,
+    similar,
     sections,
 )
 from naviscope.operators.scan import add_chunk, position_chunk
@@ -20,7 +23,7 @@ from naviscope.plans import binding, derived
 from naviscope.plans.binding import table
 from naviscope.schemas import CHOSEN_TREES, HORIZONS, NUMERIC_COLUMN_ORDER, SCHEME_SCHEMA, measure_columns
 from naviscope.session import materialise, new_folder
-from naviscope.sources import feed, pages, sinks
+from naviscope.sources import feed, feed_source, pages, sinks
 from naviscope.streaming import feed_stream
 
 QUERIES = {}
@@ -306,6 +309,30 @@ def incremental_feed(spark, sf_dir):
     return spark.read.parquet(f"{target}/rows").drop("batch", "file", "line_no")
 
 
+@query
+def upserted_feed(spark, sf_dir):
+    """A feed, then a second one that corrects a third of its rows: one row per day and code is left."""
+    target, checkpoint = new_folder(spark, "snapshots"), new_folder(spark, "upsert-state")
+    part, names = table(spark, sf_dir, "part"), derived.FEED_HEADINGS
+    dimension = _dimension(spark, sf_dir)
+    source = derived.write_feed(spark, sf_dir)
+    feed_stream.upsert(spark, source, target, checkpoint, dimension, names)
+    corrected = part.filter("p_partkey % 3 = 0").withColumn("p_retailprice", F.col("p_retailprice") + 1)
+    derived.write_feed(spark, sf_dir, corrected, source)
+    feed_stream.upsert(spark, source, target, checkpoint, dimension, names)
+    return spark.read.parquet(f"{target}/rows").drop("version")
+
+
+@query
+def feed_source_lines(spark, sf_dir):
+    """What the feed data source reads, by many ranges a file, next to the lines of the text reader."""
+    path = derived.write_feed(spark, sf_dir)
+    ranged = feed_source.read_feed(spark, path, rangeBytes=4096).select("line", F.lit(1).alias("ranged"), F.lit(0).alias("plain"))
+    plain = feed.read_lines(spark, path).select("line", F.lit(0).alias("ranged"), F.lit(1).alias("plain"))
+    both = ranged.unionByName(plain).withColumn("line", text.strip("line"))
+    return both.groupBy("line").agg(F.sum("ranged").alias("n_ranged"), F.sum("plain").alias("n_plain"))
+
+
 @query
 def schemes_delimited(spark, sf_dir):
     rows = binding.selected_schemes(spark, sf_dir)
@@ -338,21 +365,45 @@ def scheme_detail_join(spark, sf_dir):
     return schemes.join_details(listed, details)
 
 
-def _some_nations(spark, sf_dir):
-    return table(spark, sf_dir, "nation").filter("n_regionkey <> 0").select("n_nationkey", "n_name")
+def _listed_and_details(spark, sf_dir):
+    """Schemes of the largest families and, as another source, what the events say of a scheme."""
+    listed = binding.selected_schemes(spark, sf_dir).select("scheme_idx", "scheme_url", "scheme_name")
+    details = table(spark, sf_dir, "events").selectExpr(
+        f"concat('{binding.ROOT}/schemes/', user_id) AS scheme_url", "event_id", "event_type AS status", "value AS latest_value"
+    )
+    return joins.details_by_key(listed, details, "scheme_url", ["event_id"])
+
+
+@query
+def detail_sources_join(spark, sf_dir):
+    return _listed_and_details(spark, sf_dir)[0]
+
+
+@query
+def detail_sources_exceptions(spark, sf_dir):
+    return _listed_and_details(spark, sf_dir)[1]
 
 
 @query
 def dimension_lookup(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    found = joins.lookup(customers, _some_nations(spark, sf_dir), "c_nationkey", "n_nationkey")
-    return found.select("c_custkey", "c_nationkey", "n_name")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return joins.lookup(customers, nations, "c_nationkey", "n_nationkey").select("c_custkey", "c_nationkey", "n_name")
+
+
+@query
+def dimension_gaps(spark, sf_dir):
+    """Every customer's last event, null for the many that have none."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    last = extract.last_wins(table(spark, sf_dir, "events"), ["user_id"], "event_id", ["event_type"])
+    return joins.lookup(customers, last, "c_custkey", "user_id").select("c_custkey", "event_type")
 
 
 @query
 def dimension_unmatched(spark, sf_dir):
+    """Customers without any event."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return joins.unmatched(customers, _some_nations(spark, sf_dir), "c_nationkey", "n_nationkey")
+    return joins.unmatched(customers, table(spark, sf_dir, "events").select("user_id"), "c_custkey", "user_id")
 
 
 @query
@@ -369,12 +420,27 @@ def dimension_last_wins(spark, sf_dir):
     return extract.last_wins(events, ["user_id"], "event_id", ["event_type", "value"])
 
 
+def _name_key(name):
+    """What must be equal for two names to be taken for one."""
+    return F.lower(text.short_name(name))
+
+
+@query
+def similar_names(spark, sf_dir):
+    """The part behind each name of a feed that spells, orders and abbreviates names in its own way."""
+    part = table(spark, sf_dir, "part")
+    listed = part.selectExpr("p_partkey AS scheme_idx", f"{binding.SITE_NAME} AS scheme_name")
+    fed = part.selectExpr("p_partkey AS code", f"{binding.FEED_NAME} AS feed_name")
+    found = similar.similar_names(fed, listed, "feed_name", "scheme_name", "scheme_idx")
+    return found.select("code", "feed_name", "matched_name", "scheme_idx", "n_candidates", "edits")
+
+
 @query
 def name_ambiguous(spark, sf_dir):
     top = schemes.top_families(binding.all_families(spark, sf_dir)).select("family_name")
     listed = table(spark, sf_dir, "part").selectExpr("p_partkey AS scheme_idx", "p_name AS scheme_name", "p_brand AS family_name")
     listed = schemes.expand_families(top, listed, "family_name")
-    return joins.ambiguous_names(listed, {"name": F.lower("scheme_name"), "family": F.col("family_name")}, "scheme_idx")
+    return joins.ambiguous_names(listed, {"name": _name_key("scheme_name"), "family": F.col("family_name")}, "scheme_idx")
 
 
 @query
@@ -392,8 +458,8 @@ def name_join(spark, sf_dir):
     matches = joins.name_matches(
         feed_rows,
         listed,
-        [F.lower(text.short_name("feed_name")), F.col("fund_family")],
-        [F.lower(text.short_name("scheme_name")), F.col("family_name")],
+        [_name_key("feed_name"), F.col("fund_family")],
+        [_name_key("scheme_name"), F.col("family_name")],
         "scheme_idx",
     )
     return matches.select("code", "fund_family", "scheme_idx", "n_candidates")
@@ -571,26 +637,44 @@ def rebalanced(spark, sf_dir):
     return features.duplicate_minority(train)
 
 
+@query
+def roc_area(spark, sf_dir):
+    rows = _scored(spark, sf_dir).select("horizon", "score", "label_bin")
+    return evaluate.roc_area(materialise(rows, "scored"))
+
+
+@query
+def exact_sample(spark, sf_dir):
+    """Thirty training rows per horizon and label, all where there are fewer."""
+    train = _scored(spark, sf_dir).filter("is_train").select("scheme_idx", "horizon", "label_bin")
+    return sampling.sample_exactly(materialise(train, "training"), ["horizon", "label_bin"], 30, ["scheme_idx", "horizon"])
+
+
+@query
+def class_weights(spark, sf_dir):
+    train = _scored(spark, sf_dir).filter("is_train").select("scheme_idx", "horizon", "label_bin")
+    return sampling.class_weights(materialise(train, "training"), ["horizon"], "label_bin")
+
+
+@query
+def price_boxplot(spark, sf_dir):
+    """Prices of all line items by return flag: groups that hold a third of all rows and more."""
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    return evaluate.box_plot(rows, ["l_returnflag"], "l_extendedprice", large_groups=True)
+
+
 @query
 def thinned(spark, sf_dir):
     train = _scored(spark, sf_dir).filter("is_train").select("scheme_idx", "horizon", "label_bin")
     return features.thin_majority(train, 0.25)
 
 
-@query
-def risk_measures(spark, sf_dir):
-    prices = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_partkey").alias("scheme_idx"), F.date_trunc("month", "l_shipdate").alias("month"))
-        .agg(F.expr("try_divide(sum(bigint(rint(l_extendedprice * 100))), sum(bigint(l_quantity))) AS price"))
-    )
-    returns = risk.period_returns(prices, ["scheme_idx"], "month", "price")
-    kinds = table(spark, sf_dir, "part").selectExpr("p_partkey AS scheme_idx", "p_type AS category")
-    # Stored: the benchmark and the measures both start from it.
-    returns = materialise(returns.join(kinds, "scheme_idx"), "returns")
-    # Stored, its size decides whether it is broadcast.
-    bench = materialise(risk.benchmark_returns(returns, ["category"], "month"), "benchmark")
-    measures = risk.risk_measures(returns, bench, "scheme_idx", ["category"], "month")
+def _monthly_prices(lineitem):
+    months = lineitem.groupBy(F.col("l_partkey").alias("scheme_idx"), F.date_trunc("month", "l_shipdate").alias("month"))
+    return months.agg(F.expr("try_divide(sum(bigint(rint(l_extendedprice * 100))), sum(bigint(l_quantity))) AS price"))
+
+
+def _rounded(measures):
     return measures.select(
         "scheme_idx",
         "n_periods",
@@ -599,6 +683,34 @@ def risk_measures(spark, sf_dir):
     )
 
 
+def _categories(spark, sf_dir):
+    return table(spark, sf_dir, "part").selectExpr("p_partkey AS scheme_idx", "p_type AS category")
+
+
+@query
+def risk_measures(spark, sf_dir):
+    prices = _monthly_prices(table(spark, sf_dir, "lineitem"))
+    returns = risk.period_returns(prices, ["scheme_idx"], "month", "price")
+    # Stored: the benchmark and the measures both start from it.
+    returns = materialise(returns.join(_categories(spark, sf_dir), "scheme_idx"), "returns")
+    # Stored, its size decides whether it is broadcast.
+    bench = materialise(risk.benchmark_returns(returns, ["category"], "month"), "benchmark")
+    return _rounded(risk.risk_measures(returns, bench, "scheme_idx", ["category"], "month"))
+
+
+@query
+def risk_measures_by_month(spark, sf_dir):
+    """The measures from stored moments: all months but the last loaded, the last one added from its own line items."""
+    lineitem, groups = table(spark, sf_dir, "lineitem"), _categories(spark, sf_dir)
+    last = lineitem.agg(F.date_trunc("month", F.max("l_shipdate"))).first()[0]
+    store = risk.MomentStore(spark, new_folder(spark, "moments"), "scheme_idx", ["category"], "month", "price")
+    prices = materialise(_monthly_prices(lineitem.where(F.col("l_shipdate") < F.lit(last))), "prices")
+    store.load(prices, groups)
+    before = prices.agg(F.max("month")).first()[0]
+    store.add(_monthly_prices(lineitem.where(F.col("l_shipdate") >= F.lit(last))), groups, last, before)
+    return _rounded(store.measures())
+
+
 # --- Rankings --------------------------------------------------------------
 
 
@@ -679,6 +791,37 @@ def forest_accuracy(spark, sf_dir):
     return evaluate.accuracy(_predictions(spark, sf_dir).filter("NOT is_train"))
 
 
+@query
+def forest_accuracy_checks(spark, sf_dir):
+    """Held-out accuracy next to the confusion counts of the same stored predictions."""
+    found = materialise(_predictions(spark, sf_dir).filter("NOT is_train"), "predictions")
+    counts = evaluate.confusion(found, ["horizon"])
+    right = F.col("tp") + F.col("tn")
+    total = right + F.col("fp") + F.col("fn")
+    agree = (total == F.col("n_rows")) & (F.abs(F.col("accuracy") * total - right) < 1e-6)
+    both = evaluate.accuracy(found).join(counts, "horizon")
+    return both.select("horizon", "n_rows", F.round("majority_share", 9).alias("majority_share"), (F.col("tp") + F.col("fn")).alias("n_good"), agree.alias("counts_agree"), F.col("accuracy").between(0, 1).alias("in_range"))
+
+
+@query
+def forest_importance_checks(spark, sf_dir):
+    found = forest_importances(spark, sf_dir)
+    return found.select("horizon", "feature", F.col("importance").between(0, 1).alias("in_range"))
+
+
+@query
+def forest_saved(spark, sf_dir):
+    """Pipelines fitted on raw feature rows, saved, loaded again and scored: each row's result before and after."""
+    rows = materialise(_features(spark, sf_dir, "reference"), "feature-rows")
+    folder = new_folder(spark, "models")
+    fitted = models.fit_and_save(rows, folder)
+    before = models.score(rows, fitted).select("scheme_idx", "horizon", "prediction", "probability")
+    after = models.score(rows, models.load(folder, fitted)).select("scheme_idx", "horizon", F.col("prediction").alias("again"), F.col("probability").alias("probability_again"))
+    both = before.join(after, ["scheme_idx", "horizon"])
+    same = F.col("prediction").eqNullSafe(F.col("again")) & F.col("probability").eqNullSafe(F.col("probability_again"))
+    return both.groupBy("horizon").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(same).alias("n_same"), F.count("again").alias("n_scored"))
+
+
 @query
 def forest_reference(spark, sf_dir):
     """Accuracy on the features and means of the `reference` mode."""

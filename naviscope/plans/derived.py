@@ -56,15 +56,16 @@ def feed_lines(part):
     return rows.select("feed", "ord", F.posexplode(F.expr(lines)).alias("n", "line"))
 
 
-def write_feed(spark, sf_dir):
-    """Folder of feed files, each written by one task in line order."""
-    path = new_folder(spark, "feed")
-    lines = feed_lines(binding.table(spark, sf_dir, "part"))
+def write_feed(spark, sf_dir, part=None, path=None):
+    """Folder of feed files, each written by one task in line order; files are added to a `path` that is there."""
+    path = path or new_folder(spark, "feed")
+    lines = feed_lines(binding.table(spark, sf_dir, "part") if part is None else part)
     (
         lines.repartition("feed")
         .sortWithinPartitions("feed", "ord", "n")
         .select("feed", "line")
-        .write.partitionBy("feed")
+        .write.mode("append")
+        .partitionBy("feed")
         .option("lineSep", "\n")
         .text(path)
     )

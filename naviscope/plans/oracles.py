@@ -4,7 +4,7 @@ Nothing here is shared with the Spark side but the fixed values: returns come
 from direct date windows, folds from `ntile`, sections from one window per key.
 """
 
-from naviscope.plans.binding import RISK_TEXTS, ROOT
+from naviscope.plans.binding import FEED_NAME, RISK_TEXTS, ROOT, SITE_NAME
 from naviscope.schemas import (
     FEATURE_NAMES,
     HORIZONS,
@@ -12,6 +12,7 @@ from naviscope.schemas import (
     MISSING_TOKENS,
     NUMERIC_COLUMN_ORDER,
     RISK_CODES,
+    SPARSE_FEATURES,
     TRAIN_RATIO,
 )
 
@@ -33,6 +34,10 @@ def collapse(x):
     return f"trim(regexp_replace({x}, '{BLANKS}+', ' ', 'g'))"
 
 
+def plain(x):
+    return f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
+
+
 def case(x, pairs, otherwise="NULL"):
     whens = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in pairs.items())
     return f"CASE {x} {whens} ELSE {otherwise} END"
@@ -303,6 +308,7 @@ _FEED = """SELECT p_partkey::VARCHAR AS code, concat('K', p_size) AS k1, 'B' AS
 sql("feed_enriched", _FEED)
 sql("feed_delimited", _FEED)
 sql("incremental_feed", _FEED)
+sql("upserted_feed", _FEED.replace("(p_retailprice::", "((p_retailprice + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END)::"))
 _FEED_FILES = """
 ordered AS (SELECT p_partkey // 1000 AS feed, p_type, p_brand,
     lag(p_type) OVER w AS last_type, lag(p_brand) OVER w AS last_brand,
@@ -319,6 +325,15 @@ sql(
     sum(CASE WHEN new_type = 1 THEN (data_no - 1) + (data_no - 2) WHEN new_family = 1 THEN data_no - 1 ELSE 0 END)::BIGINT FROM placed""",
     _FEED_FILES,
 )
+sql(
+    "feed_source_lines",
+    """SELECT line, count(*) AS n_ranged, count(*) AS n_plain FROM (
+    SELECT concat(p_partkey, ';K', p_size, '; B ;', replace(p_name, ' ', '   '), '  - Growth - ', p_size, ';', p_retailprice::DECIMAL(18,2), ';d', p_size % 28) AS line FROM part
+    UNION ALL SELECT 'Code;K1 ; K2;Scheme Name;Value;Day' FROM (SELECT DISTINCT feed FROM placed)
+    UNION ALL SELECT unnest(['', '', concat(p_type, ' Ended (Plan (', p_type, '))')]) FROM placed WHERE new_type = 1
+    UNION ALL SELECT p_brand FROM placed WHERE new_family = 1) GROUP BY line""",
+    _FEED_FILES,
+)
 sql(
     "feed_rejects",
     """SELECT doc_id, line_no::BIGINT AS line_no, len(string_split(line, ','))::INT AS n_fields,
@@ -362,17 +377,32 @@ sql(
     concat('Rs. ', min_qty) AS scheme_min_investment FROM facts JOIN part ON p_partkey = scheme_idx""",
     FACTS,
 )
-_NATIONS = "n AS (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 0)"
+_DETAILS = (
+    f"listed AS (SELECT scheme_idx, concat('{ROOT}/schemes/', scheme_idx) AS scheme_url, scheme_name FROM sch)",
+    f"details AS (SELECT concat('{ROOT}/schemes/', user_id) AS scheme_url, event_id, event_type AS status, value AS latest_value FROM events)",
+    "n AS (SELECT scheme_url, count(*) AS n FROM details GROUP BY scheme_url)",
+)
 sql(
-    "dimension_lookup",
-    "SELECT c_custkey, c_nationkey, n_name FROM customer LEFT JOIN n ON c_nationkey = n_nationkey",
-    _NATIONS,
+    "detail_sources_join",
+    """SELECT listed.*, event_id, status, latest_value FROM listed JOIN details USING (scheme_url)
+    QUALIFY row_number() OVER (PARTITION BY scheme_idx ORDER BY event_id DESC) = 1""",
+    *FIRST,
+    *_DETAILS,
+)
+sql(
+    "detail_sources_exceptions",
+    """SELECT scheme_url, 'missing' AS kind, 1::BIGINT AS n_rows FROM listed WHERE scheme_url NOT IN (SELECT scheme_url FROM n)
+    UNION ALL SELECT scheme_url, 'extra', n FROM n WHERE scheme_url NOT IN (SELECT scheme_url FROM listed)
+    UNION ALL SELECT scheme_url, 'repeated', n FROM n WHERE n > 1""",
+    *FIRST,
+    *_DETAILS,
 )
+sql("dimension_lookup", "SELECT c_custkey, c_nationkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 sql(
-    "dimension_unmatched",
-    "SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM n)",
-    _NATIONS,
+    "dimension_gaps",
+    "SELECT c_custkey, event_type FROM customer LEFT JOIN (SELECT user_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id) ON c_custkey = user_id",
 )
+sql("dimension_unmatched", "SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)")
 sql("dimension_strict", "SELECT s_suppkey, s_nationkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 sql(
     "dimension_last_wins",
@@ -394,6 +424,26 @@ sql(
     FACTS,
 )
 
+sql(
+    "similar_names",
+    """SELECT code, feed_name, best.r AS matched_name, CASE WHEN n_candidates = 1 THEN scheme_idx END AS scheme_idx,
+    coalesce(n_candidates, 0) AS n_candidates, edits FROM fed
+    LEFT JOIN best ON fed.name = best.l LEFT JOIN rows ON best.r = rows.name""",
+    f"fed AS (SELECT p_partkey AS code, {FEED_NAME} AS feed_name, {plain(FEED_NAME)} AS name FROM part)",
+    f"rows AS (SELECT {plain(SITE_NAME)} AS name, min(p_partkey) AS scheme_idx, count(*) AS n_candidates FROM part GROUP BY 1)",
+    "names AS (SELECT DISTINCT 'l' AS side, name FROM fed UNION ALL SELECT 'r', name FROM rows)",
+    "grams AS (SELECT side, name, unnest(list_distinct(list_transform(range(1, length(name) + 2), lambda i: substr(concat('  ', name, ' '), i, 3)))) AS gram FROM names)",
+    "weights AS (SELECT gram, length(bin((SELECT count(*) FROM names) // count(*))) AS w FROM grams GROUP BY gram)",
+    "weighed AS (SELECT side, name, gram, w FROM grams JOIN weights USING (gram))",
+    "totals AS (SELECT side, name, sum(w) AS total FROM weighed GROUP BY side, name)",
+    "shared AS (SELECT a.name AS l, b.name AS r, sum(a.w) AS s FROM weighed a JOIN weighed b ON a.gram = b.gram AND a.side = 'l' AND b.side = 'r' GROUP BY 1, 2)",
+    """near AS (SELECT l, r, levenshtein(l, r) AS edits, x.total + y.total - 2 * s AS apart FROM shared
+    JOIN totals x ON x.side = 'l' AND x.name = l JOIN totals y ON y.side = 'r' AND y.name = r
+    WHERE 10 * s >= 6 * (x.total + y.total - s))""",
+    """best AS (SELECT l, r, edits FROM near WHERE edits <= greatest(length(l), length(r)) // 4
+    QUALIFY row_number() OVER (PARTITION BY l ORDER BY edits, apart, r) = 1)""",
+)
+
 # --- Schemes ---
 
 sql(
@@ -528,6 +578,40 @@ sql(
     *ALL,
     RULE,
 )
+sql(
+    "roc_area",
+    """SELECT horizon, max(tp) AS positives, max(fp) AS negatives, sum((fp - old_fp) * (tp + old_tp)) / nullif(2e0 * max(tp) * max(fp), 0) AS area FROM (
+    SELECT horizon, tp, fp, lag(tp, 1, 0) OVER w AS old_tp, lag(fp, 1, 0) OVER w AS old_fp FROM (
+    SELECT horizon, score, (sum(p) OVER w)::BIGINT AS tp, (sum(n) OVER w)::BIGINT AS fp FROM (
+    SELECT horizon, score, sum(label_bin) AS p, sum(1 - label_bin) AS n FROM pred GROUP BY ALL)
+    WINDOW w AS (PARTITION BY horizon ORDER BY score DESC)) WINDOW w AS (PARTITION BY horizon ORDER BY tp, fp)) GROUP BY horizon""",
+    *ALL,
+    RULE,
+)
+sql(
+    "exact_sample",
+    """SELECT scheme_idx, horizon, label_bin FROM pred WHERE is_train QUALIFY row_number() OVER (
+    PARTITION BY horizon, label_bin ORDER BY substr(md5(concat('0|', scheme_idx, '|', horizon)), 1, 15), scheme_idx) <= 30""",
+    *ALL,
+    RULE,
+)
+sql(
+    "class_weights",
+    """SELECT scheme_idx, horizon, label_bin, n / (count(DISTINCT label_bin) OVER (PARTITION BY horizon) * m) AS weight FROM (
+    SELECT *, count(*) OVER (PARTITION BY horizon) AS n, count(*) OVER (PARTITION BY horizon, label_bin) AS m FROM pred WHERE is_train)""",
+    *ALL,
+    RULE,
+)
+sql(
+    "price_boxplot",
+    """SELECT l_returnflag, any_value(q1) AS q1, any_value(median) AS median, any_value(q3) AS q3,
+    min(l_extendedprice) FILTER (l_extendedprice BETWEEN low AND high) AS whisker_low,
+    max(l_extendedprice) FILTER (l_extendedprice BETWEEN low AND high) AS whisker_high,
+    (count(*) FILTER (NOT l_extendedprice BETWEEN low AND high))::INT AS outliers FROM (
+    SELECT *, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FROM lineitem JOIN (
+    SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
+    quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY ALL) USING (l_returnflag)) GROUP BY ALL""",
+)
 sql(
     "rebalanced",
     """SELECT scheme_idx, horizon, label_bin, unnest(range(1, 1 + CASE WHEN label_bin = 1 THEN times ELSE 1 END))::INT AS copy
@@ -568,6 +652,7 @@ sql(
     round(down_capture, 4) AS down_capture FROM m""",
     _RISK,
 )
+ORACLES["risk_measures_by_month"] = ORACLES["risk_measures"]
 
 # --- Forests: what must hold of them, whatever the trees ---
 
@@ -577,6 +662,23 @@ sql(
     count(*) AS n_scored, true AS importances_sum FROM lab GROUP BY horizon""",
     *ALL,
 )
+sql(
+    "forest_accuracy_checks",
+    """SELECT horizon, count(*) AS n_rows, round(greatest(avg(label_bin), 1 - avg(label_bin)), 9) AS majority_share,
+    sum(label_bin)::BIGINT AS n_good, true AS counts_agree, true AS in_range FROM lab WHERE NOT is_train GROUP BY horizon""",
+    *ALL,
+)
+sql(
+    "forest_importance_checks",
+    f"""SELECT horizon, feature, true AS in_range FROM (SELECT DISTINCT horizon FROM lab WHERE is_train),
+    (SELECT unnest({[n for n in FEATURE_NAMES if n not in SPARSE_FEATURES]}) AS feature)""",
+    *ALL,
+)
+sql(
+    "forest_saved",
+    "SELECT horizon, count(*) AS n_rows, count(*) AS n_same, count(*) AS n_scored FROM lab GROUP BY horizon",
+    *ALL,
+)
 sql(
     "cv_checks",
     """SELECT horizon, 400::BIGINT AS n_scores, 10::BIGINT AS n_folds, 40::BIGINT AS n_trees, 400::BIGINT AS n_in_range

@@ -40,17 +40,39 @@ def shared_folder(spark):
     return folder
 
 
+def run_folder(spark):
+    """The folder below the shared one that holds everything this application writes between jobs."""
+    return f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark, name):
-    """A path below the shared folder that nobody else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path below the run's folder that nobody else uses."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark, path):
+    """Remove a folder, wherever Spark's file systems put it; no folder is no error."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def folder_exists(spark, path):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def clear_run(spark):
+    """Remove what this application wrote between jobs; frames that read it can't be used any more."""
+    remove_folder(spark, run_folder(spark))
 
 
-def materialise(df, name, partition_by=()):
+def materialise(df, name, partition_by=(), path=None):
     """Write `df` once as parquet in the shared folder and read it back.
 
     Readers start from files, so a lost executor costs its tasks only.
     """
     spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = path or new_folder(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

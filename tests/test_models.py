@@ -172,7 +172,7 @@ def test_roc(spark):
     rng = random.Random(2)
     rows = [("1m", round(rng.random(), 2), rng.randint(0, 1)) for _ in range(500)]
     df = spark.createDataFrame(rows, "horizon string, score double, label_bin int")
-    found = {r.score: (r.tpr, r.fpr) for r in evaluate.roc_points(df, chunks=10).collect()}
+    found = {r.score: (r.tpr, r.fpr) for r in evaluate.roc_points(df).collect()}
     positives = sum(y for _, _, y in rows)
     for score, (tpr, fpr) in found.items():
         above = [y for _, s, y in rows if s >= score]
