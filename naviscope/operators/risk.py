@@ -97,7 +97,9 @@ def measures_of(merged, key, risk_free=0.0):
     Sums about the means are exact before they become doubles; sums too large for that, which 38
     digits can't multiply, are multiplied as doubles.
     """
-    about = lambda a, x, y, types: f"coalesce(double(n * {a} - {' * '.join(f'try_cast({c} AS {t})' for c, t in zip((x, y), types))}), n * double({a}) - double({x}) * double({y})) / n"
+    # Types that leave products of 38 digits their decimals.
+    many = lambda c, t: f"try_cast({c} AS {t})"
+    about = lambda a, x, y, types: f"coalesce(double({many('n', 'decimal(9,0)')} * {many(a, 'decimal(28,20)')} - {many(x, types[0])} * {many(y, types[1])}), n * double({a}) - double({x}) * double({y})) / n"
     ret, bench = "decimal(14,4)", "decimal(22,16)"
     exact = merged.selectExpr(
         key,

@@ -320,7 +320,7 @@ def upserted_feed(spark, sf_dir):
     corrected = part.filter("p_partkey % 3 = 0").withColumn("p_retailprice", F.col("p_retailprice") + 1)
     derived.write_feed(spark, sf_dir, corrected, source)
     feed_stream.upsert(spark, source, target, checkpoint, dimension, names)
-    return spark.read.parquet(f"{target}/rows").drop("version")
+    return feed_stream.read_snapshots(spark, target).drop("version")
 
 
 @query

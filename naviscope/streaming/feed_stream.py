@@ -92,6 +92,14 @@ def start_upsert(spark, source, target, checkpoint, dimension, names, day="day",
     return _run(spark, source, checkpoint, write, files_per_batch)
 
 
+def read_snapshots(spark, target, day="day"):
+    """The rows that `upsert` keeps, the day as the text it was, whatever it looks like."""
+    path = f"{target}/rows"
+    schema = spark.read.parquet(path).schema
+    kinds = ", ".join(f"`{f.name}` {'string' if f.name == day else f.dataType.simpleString()}" for f in schema)
+    return spark.read.schema(kinds).parquet(path)
+
+
 def upsert(*args, **options):
     """`start_upsert`, until every file present has been taken in."""
     query = start_upsert(*args, **options)

@@ -4,8 +4,9 @@ import pytest
 from pyspark.ml.feature import Imputer
 from pyspark.sql import functions as F
 
-from naviscope.operators import evaluate, features, forest
+from naviscope.operators import evaluate, features, forest, models
 from naviscope.schemas import FEATURE_NAMES
+from naviscope.session import materialise
 
 
 def labelled(spark, rows):
@@ -179,3 +180,42 @@ def test_roc(spark):
         assert tpr == pytest.approx(sum(above) / positives)
         assert fpr == pytest.approx((len(above) - sum(above)) / (len(rows) - positives))
     assert set(found) == {s for _, s, _ in rows}
+
+
+def raw_features(spark):
+    """Two horizons; missing features, one of them in every training row of a horizon, and a horizon of one class."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(400):
+        for h in ("1m", "5y"):
+            x = [None if rng.random() < 0.2 else rng.random() for _ in features.FEATURES]
+            if h == "5y":
+                x[3] = None if i < 300 else 1.0
+            rows.append((i, h, i < 300, *x, int(h == "1m" and (x[0] or 0) > 0.5)))
+    names = ", ".join(f"{f} double" for f in features.FEATURES)
+    return spark.createDataFrame(rows, f"scheme_idx long, horizon string, is_train boolean, {names}, label_bin int")
+
+
+def test_saved_pipelines_score_as_before(spark, tmp_path):
+    rows = materialise(raw_features(spark), "raw-features")
+    folder = str(tmp_path / "models")
+    fitted = models.fit_and_save(rows, folder, trees={"1m": 5, "5y": 3})
+    before = models.score(rows, fitted)
+    assert before.columns == [*rows.columns, "prediction", "probability"] and before.count() == rows.count()
+    again = models.score(rows, models.load(folder, ("1m", "5y")))
+    assert sorted(before.collect(), key=str) == sorted(again.collect(), key=str)
+    # Missing features are filled with the means of training rows, 0 where no training row has one.
+    means = rows.where("is_train").groupBy("horizon").agg(*[F.avg(f).alias(f) for f in features.FEATURES])
+    means = {r.horizon: r for r in means.collect()}
+    for h, model in fitted.items():
+        row = model.transform(rows.where((F.col("horizon") == h) & F.col("f0").isNull())).first()
+        assert row["filled_f0"] == pytest.approx(means[h]["f0"])
+    hidden = fitted["5y"].transform(rows.where("horizon = '5y' AND is_train")).first()
+    assert hidden["filled_f3"] == 0
+    right = before.where("horizon = '1m' AND prediction = label_bin").count()
+    assert right > 360 and before.where("horizon = '5y' AND prediction = 1").count() == 0
+    # A horizon without a model has no predictions; saving again replaces.
+    some = models.score(rows, {"1m": fitted["1m"]})
+    assert some.where("prediction IS NULL").count() == 400
+    models.fit_and_save(rows.where("horizon = '1m'"), folder, trees={"1m": 2, "5y": 3})
+    assert models.load(folder, ("1m",))["1m"].stages[-1].getNumTrees == 2
