@@ -21,7 +21,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import functions as F
 
 from naviscope.llm.bpe import byte_letters, read_vocabulary
-from naviscope.llm.common import arrow_records, chunks, columns, process_cache, tidy
+from naviscope.llm.common import arrow_records, chunks, columns, process_cache, stored_large_rows, tidy
 from naviscope.session import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -291,7 +291,7 @@ def align(documents, vocabulary_path, model_path):
     empty table gives no row; other columns are ignored; a very long text is a chunk of its own.
     """
     with arrow_records(documents.sparkSession, BATCH_TEXTS):
-        chunked = materialise(aligned_chunks(documents, vocabulary_path, model_path), "aligned")
+        chunked = stored_large_rows(aligned_chunks(documents, vocabulary_path, model_path), "aligned")
     counts = materialise(pair_counts(chunked), "pairs")
     held = chunked.select("chunk", F.explode("pairs").alias("pair"))
     found = held.join(counts, "pair").select(F.col("chunk").alias("of"), "pair", "n", "best")

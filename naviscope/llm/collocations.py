@@ -22,7 +22,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from naviscope.llm.common import arrow_records, columns, tidy
+from naviscope.llm.common import arrow_records, columns, stored_large_rows, tidy
 from naviscope.operators.scan import add_row_number
 from naviscope.session import materialise
 
@@ -323,7 +323,7 @@ def phrases(documents, least=LEAST, longest=LONGEST):
     rows = columns(documents, lang="string", text="string").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     spark = documents.sparkSession
     with arrow_records(spark, BATCH_TEXTS):
-        rows = materialise(rows.mapInArrow(word_rows, "row long, lang string, words array<string>, counts array<long>, sequence binary"), "word-rows")
+        rows = stored_large_rows(rows.mapInArrow(word_rows, "row long, lang string, words array<string>, counts array<long>, sequence binary"), "word-rows")
     each = rows.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x"))
     counted = materialise(each.groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("f")), "words")
     totals = materialise(counted.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
@@ -332,7 +332,7 @@ def phrases(documents, least=LEAST, longest=LONGEST):
     frequent = counted.where(F.col("f") >= least).withColumn("part", F.pmod(F.xxhash64("lang", "word"), F.lit(1 << slice_bits)).cast("int"))
     words = materialise(numbered(materialise(frequent, "frequent-words"), ["lang", "word"]), "word-ids")
     below = words.select("id", "lang", F.array("word").alias("words"), F.array("f").alias("heads"), F.array("f").alias("tails"))
-    rows = materialise(id_rows(rows, words), "id-rows")
+    rows = stored_large_rows(id_rows(rows, words), "id-rows")
     levels = []
     for k in range(2, longest + 1):
         with arrow_records(spark, BATCH_ROWS):
@@ -342,7 +342,7 @@ def phrases(documents, least=LEAST, longest=LONGEST):
         levels.append(below)
         if k < longest:
             with arrow_records(spark, BATCH_ROWS):
-                rows = materialise(next_rows(rows, level), f"id-rows-{k}")
+                rows = stored_large_rows(next_rows(rows, level), f"id-rows-{k}")
     out = []
     for level, above in zip(levels, [*levels[1:], None]):
         if above is None:

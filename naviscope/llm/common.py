@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from naviscope.session import new_folder
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A side of a join goes to every executor only below so many rows of a few bytes each.
@@ -62,6 +64,25 @@ def tidy(batches, rows=1000):
         trim(0)
 
 
+# Pages and row groups are closed by size after every row; by default a page takes 100 rows at least, which
+# the codec holds at once outside the heap.
+LARGE_ROWS = {
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "1",
+    "parquet.block.size.row.check.min": "1",
+    "parquet.block.size.row.check.max": "4",
+    "parquet.block.size": str(16 << 20),
+}
+
+
+def stored_large_rows(df, name):
+    """`materialise` for tables whose rows take a megabyte or so."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    df.write.options(**LARGE_ROWS).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextlib.contextmanager
 def arrow_records(spark, records):
     """Jobs started within hand at most so many rows at a time to Python: for tables of large rows."""
