@@ -78,11 +78,10 @@ def encode_texts(texts, known, encode_new, special, remembered=None):
     if len(known) > (remembered or REMEMBERED):
         known.clear()
     pieces, bounds = split_pieces(segments, process_cache("character_kinds", character_kinds))
-    values = list(map(known.get, pieces))
-    if None in values:
-        new = list({p for p, v in zip(pieces, values) if v is None})
+    new = list(set(pieces).difference(known))
+    if new:
         known.update(zip(new, encode_new(new)))
-        values = list(map(known.__getitem__, pieces))
+    values = list(map(known.__getitem__, pieces))
     out, k = [], 0
     for n in per_text:
         out.append(marker_bytes.join([b"".join(values[i:j]) for i, j in bounds[k : k + n]]))

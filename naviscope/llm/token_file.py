@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import functions as F
 
-from naviscope.llm.bpe import read_vocabulary
+from naviscope.llm.bpe import byte_letters, read_vocabulary
 from naviscope.llm.common import chunks, columns, process_cache, tidy
 from naviscope.llm.pretokens import encode_texts
 from naviscope.session import new_folder
@@ -34,6 +34,8 @@ SEGMENT_TOKENS = 1 << 18
 END_OF_DOCUMENT = 0
 # Pre-tokens a worker remembers (about 250 bytes each).
 REMEMBERED = 1_000_000
+# New pre-tokens of one call of the library.
+IN_A_ROW = 4096
 SEGMENTS = "shard int, seq int, offset long, doc_ids array<long>, doc_tokens array<int>, payload binary"
 
 
@@ -102,9 +104,33 @@ def library_encoder(vocabulary):
     if others:
         raise ValueError("one special token is expected")
 
+    letters = {c: b for b, c in byte_letters().items()}
+    length = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for t, i in tokenizer.get_vocab().items():
+        length[i] = len(t) if all(c in letters for c in t) else len(t.encode())
+
+    def each(pieces):
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def together(pieces):
+        """Pieces that begin with the only blank they hold are cut apart again by the library when they stand in a row."""
+        ids = np.array(tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum(length[ids])
+        wanted = np.cumsum([len(p.encode()) for p in pieces])
+        at = np.searchsorted(ends, wanted)
+        if len(ids) and at[-1] == len(ids) - 1 and (ends[at] == wanted).all():
+            data, edges = ids.tobytes(), [0, *(4 * at + 4).tolist()]
+            return [data[i:j] for i, j in zip(edges, edges[1:])]
+        return each(pieces)
+
     def encode_new(pieces):
-        found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        row = [p for p in pieces if len(p) > 1 and p[0] == " " and not p[1].isspace()]
+        known = {}
+        for k in range(0, len(row), IN_A_ROW):
+            known.update(zip(row[k : k + IN_A_ROW], together(row[k : k + IN_A_ROW])))
+        rest = [p for p in pieces if p not in known]
+        known.update(zip(rest, each(rest)))
+        return list(map(known.__getitem__, pieces))
 
     return {}, encode_new, (token, number)
 
@@ -145,7 +171,8 @@ def write_tokens(documents, vocabulary_path, path, segment_tokens=SEGMENT_TOKENS
     """
     vocabulary = documents.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     rows = columns(documents, doc_id="long", text="string")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of equal doc_id are dealt by how their texts begin.
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(segment_writer(vocabulary, segment_tokens), SEGMENTS).write.mode("overwrite").parquet(path)
 
 
