@@ -119,16 +119,51 @@ def test_lemma_loses_no_occurrence():
             text[k : k + rng.randint(0, 1)] = rng.choice(("", "x", "-"))
         whole = f"{some(15)} {''.join(text).upper()}\n{some(15)}"
         index = leaks.Passages([(1, passage)], table)
-        found = {n: (t, edits) for t, n, edits, _, _ in index.search(["zz", whole, ""], table)}
+        found = index.search(["zz", whole, ""], table)
         codes = leaks.fold([whole], table)[0][:-1].tolist()
-        for n, piece in enumerate(index.pieces):
-            least = distance(piece.tolist(), codes)
-            within = least <= leaks.budget(len(piece))[0]
-            assert found.get(n) == ((1, least) if within else None)
-            hits += within
+        if not index.codes:
+            assert not found
+            continue
+        code = index.codes[0].tolist()
+        size = min(len(code), leaks.REGION)
+        least = min(distance(code[s : s + size], codes) for s in range(len(code) - size + 1))
+        assert set(found) == ({(1, 0)} if least <= leaks.budget(size)[0] else set())
+        hits += len(found)
+        assert all(edits == least for edits, _, _ in found.values())
     assert hits > 50
 
 
+def test_every_quote_of_80_characters_is_found():
+    rng, table = random.Random(8), leaks.fold_table()
+    passage = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(80))[:400]
+    index = leaks.Passages([(1, passage)], table)
+    texts = [f"{rng.random()} {passage[a : a + n]} {rng.random()}" for n in (80, 81, 90, 100, 115, 130) for a in range(0, 400 - n + 1)]
+    # A quote that begins or ends within a run of blanks or signs folds to one character less.
+    folded = [len(leaks.fold([passage[a : a + n].strip()], table)[0]) - 1 for n in (80, 81, 90, 100, 115, 130) for a in range(0, 400 - n + 1)]
+    found = {t for t, _ in index.search(texts, table)}
+    assert found >= {t for t, n in enumerate(folded) if n >= 80} and len(found) > 1500
+    short = [f"{rng.random()} {passage[a : a + 60]} {rng.random()}" for a in range(0, 340)]
+    assert not index.search(short, table)
+
+
+def test_hits_are_taken_in_slices(monkeypatch):
+    import resource
+
+    rng, table = random.Random(4), leaks.fold_table()
+    passages = [(1, "a" * 200), (2, "ab " * 90), (3, " ".join(rng.choice(["one", "two", "three"]) for _ in range(60)))]
+    index = leaks.Passages(passages, table)
+    texts = ["a" * 300 + " x " + "ab " * 50, passages[2][1][30:140], "aa " * 400, passages[2][1][5:70] + "q" + passages[2][1][70:200]]
+    wanted = index.search(texts, table)
+    assert {k: v[0] for k, v in wanted.items()}.items() >= {(0, 0): 0, (0, 1): 0, (1, 2): 0}.items()
+    for hits in (1, 50, 3000):
+        monkeypatch.setattr(leaks, "HITS", hits)
+        assert {k: v[0] for k, v in index.search(texts, table).items()} == {k: v[0] for k, v in wanted.items()}
+    monkeypatch.undo()
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert leaks.Passages(passages[:1], table).search(["a" * 1_000_000], table) == {(0, 0): (0, 0, 80)}
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000
+
+
 def leaking(rows, passages):
     """(doc_id, item_id) by plain search, for texts that hold folded passages unchanged."""
     table = leaks.fold_table()
