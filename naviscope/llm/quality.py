@@ -3,10 +3,10 @@
 Base rules fail texts of under MIN_WORDS words or with more than a fifth of their words in
 repeated five-word windows. For the rest, three measures (symbols per word, mean word
 length, share of repeated lines) are held against fences that each group of equal language
-and source sets itself: with the quartiles of the group, from a mergeable KLL sketch, the
-fence lies REACH spreads from the median, where a spread is the smaller of the two distances
-from the median to a quartile; a least distance and an allowance for short texts are parameters of a measure.
-Groups of under SUPPORT rows take the merged sketch of their language, or of all rows.
+and source sets itself, from its mergeable KLL sketch: a fence lies as far beyond the median as
+REACH times the distance from the median to an outer quantile, on either side. The less a
+group has to say, the more its quantiles are those of its language, and the language's those of all
+rows. A text's size and the group's add what chance allows; both shrink as these grow.
 """
 
 from pyspark.sql import functions as F
@@ -19,12 +19,13 @@ MAX_REPEATED_PERCENT = 20
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
-REACH = 6
+REACH = 4
+# Rows that weigh as much as those of the next wider group.
 SUPPORT = 30
 SKETCH_K = 1024
-# Measure: least distance of a fence from the median, in the measure's own unit, and what is
-# added to it for chance: the third value, divided by the root of the text's size (the second).
-MEASURES = {"symbols_per_word": (0.1, "n_words", 0.5), "word_length": (2.0, "n_words", 10.0), "repeated_lines": (0.35, "n_lines", 0.5)}
+# Measure: its outer quantile (the share of texts beyond it that may be of any kind), and what chance adds to
+# a fence: the third value, divided by the root of the text's size (the second) and by that of the group's.
+MEASURES = {"symbols_per_word": (0.9, "n_words", 0.5), "word_length": (0.9, "n_words", 10.0), "repeated_lines": (0.98, "n_lines", 0.5)}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -99,12 +100,22 @@ def thresholds(rows):
     languages = languages.withColumnRenamed("lang", "_language")
     found = found.join(groups, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     found = found.join(languages, F.col("lang").eqNullSafe(F.col("_language")), "left").join(F.broadcast(whole), "one", "left")
+    rows_of = {"": F.coalesce("n", F.lit(0)), "lang_": F.coalesce("lang_n", F.lit(0))}
+
+    def quantile(m, share):
+        """Of the group, shrunk towards its language's, shrunk towards that of all rows."""
+        out = F.kll_sketch_get_quantile_double(f"all_{m}", F.lit(share))
+        for level in ("lang_", ""):
+            weight = rows_of[level] / (rows_of[level] + F.lit(float(SUPPORT)))
+            own = F.kll_sketch_get_quantile_double(f"{level}{m}", F.lit(share))
+            out = F.when(rows_of[level] > 0, weight * own + (1 - weight) * out).otherwise(out)
+        return out
+
     fences = []
-    for m, (least, _, _) in MEASURES.items():
-        best = F.when(F.col("n") >= SUPPORT, F.col(m)).when(F.col("lang_n") >= SUPPORT, F.col(f"lang_{m}")).otherwise(F.col(f"all_{m}"))
-        q1, q2, q3 = (F.kll_sketch_get_quantile_double(best, F.lit(p)) for p in (0.25, 0.5, 0.75))
-        reach = F.greatest(F.lit(least), REACH * F.least(q3 - q2, q2 - q1))
-        fences += [(q2 - reach).alias(f"low_{m}"), (q2 + reach).alias(f"high_{m}")]
+    for m, (outer, _, chance) in MEASURES.items():
+        low, middle, high = (quantile(m, p) for p in (round(1 - outer, 9), 0.5, outer))
+        more = chance / F.sqrt(F.greatest(rows_of[""], F.lit(1)))
+        fences += [(middle - REACH * (middle - low) - more).alias(f"low_{m}"), (middle + REACH * (high - middle) + more).alias(f"high_{m}")]
     return materialise(found.select("lang", "source", *fences), "quality-fences")
 
 

@@ -76,13 +76,22 @@ def verdicts(rows):
     out = []
     for base, n_lines, m, lang, source in measured:
         kept = not base[-1]
-        for k, (least, size, chance) in quality.MEASURES.items():
+        for k, (outer, size, chance) in quality.MEASURES.items():
             if not kept:
                 break
-            values = next(sorted(groups[key][k]) for key in ((lang, source), (lang,), ()) if len(groups[key][k]) >= quality.SUPPORT or not key)
-            q1, q2, q3 = (values[math.ceil(p * len(values)) - 1] for p in (0.25, 0.5, 0.75))
-            reach = max(least, quality.REACH * min(q3 - q2, q2 - q1)) + chance / math.sqrt(max(1, base[0] if size == "n_words" else n_lines))
-            kept &= q2 - reach <= m[k] <= q2 + reach
+            whole, *narrower = [sorted(groups[key][k]) for key in ((), (lang,), (lang, source))]
+
+            def quantile(p):
+                found = whole[math.ceil(p * len(whole)) - 1]
+                for values in filter(None, narrower):
+                    weight = len(values) / (len(values) + float(quality.SUPPORT))
+                    found = weight * values[math.ceil(p * len(values)) - 1] + (1 - weight) * found
+                return found
+
+            low, middle, high = (quantile(p) for p in (round(1 - outer, 9), 0.5, outer))
+            group = chance / math.sqrt(max(1, len(narrower[-1])))
+            text_size = chance / math.sqrt(max(1, base[0] if size == "n_words" else n_lines))
+            kept &= (middle - quality.REACH * (middle - low) - group) - text_size <= m[k] <= (middle + quality.REACH * (high - middle) + group) + text_size
         out.append((base, kept))
     return out
 
@@ -100,6 +109,20 @@ def test_quality(documents, awkward, no_documents):
     assert quality.judge(no_documents).count() == 0 and quality.kept_documents(no_documents).count() == 0
 
 
+def test_fences_move_with_a_group_s_spread(spark):
+    """The same text is kept where its source is as varied, and rejected where the source is not."""
+    import random
+
+    rng = random.Random(2)
+    plain = lambda n: " ".join(rng.choice(("river", "lakes", "stone", "house", "green", "light")) + str(i) for i in range(n))
+    marked = lambda n: " ".join(w + ("#" if i % 3 == 0 else "") for i, w in enumerate(plain(n).split()))
+    rows = [(i, plain(60) if i % 4 else marked(60), "en", "varied") for i in range(400)] + [(1000 + i, plain(60), "en", "even") for i in range(400)]
+    probe = marked(60)
+    rows += [(5000, probe, "en", "varied"), (5001, probe, "en", "even")]
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert kept[5000] and not kept[5001] and sum(kept.values()) == len(rows) - 1
+
+
 def rule_of(host, path):
     fits = [(len(h + p), h + p, v) for v, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return max(fits)[1:] if fits else (None, None)
