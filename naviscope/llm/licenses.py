@@ -158,11 +158,12 @@ def scan(documents, templates=TEMPLATES):
     """License labels of every text.
 
     One row per input row: doc_id (may be null), n_words, places of the base phrases
-    (n_base, first_word, last_word), base_labels, labels (those of found templates too),
-    score (1 for a phrase, else the largest containment, else 0) and n_blocks, the
-    blocks' closest templates. These take a line as a block; notice_labels, notice_score and
-    n_notices are of notices that may span lines. Null and empty texts have no words; repeated rows are repeated; an
-    empty table gives no row; other columns are ignored.
+    (n_base, first_word, last_word), base_labels, labels (those of templates found in lines
+    and of notices too), score (1 for a phrase, else the largest containment of either, else 0) and
+    n_blocks, the lines' closest templates; notice_labels, notice_score and n_notices are of the notices,
+    which may span lines, alone. Null and empty texts have no words; repeated rows are repeated; an
+    empty table gives no row; other columns are ignored; the time for a text of many notices grows
+    as the square of their number.
     """
     documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ranked = word_ranks(documents, templates)
@@ -191,8 +192,8 @@ def scan(documents, templates=TEMPLATES):
         F.array_min("_all").cast("long").alias("first_word"),
         F.array_max("_all").cast("long").alias("last_word"),
         joined(F.col("_base")).alias("base_labels"),
-        joined(F.concat("_base", F.transform("_found", lambda m: m["label"]))).alias("labels"),
-        F.when(F.size("_all") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("_found", lambda m: m["score"])), F.lit(0.0))).alias("score"),
+        joined(F.concat("_base", F.transform("_found", lambda m: m["label"]), F.transform("_notices", lambda m: m["label"]))).alias("labels"),
+        F.when(F.size("_all") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.concat(*[F.transform(x, lambda m: m["score"]) for x in ("_found", "_notices")])), F.lit(0.0))).alias("score"),
         F.size("_found").cast("long").alias("n_blocks"),
         joined(F.transform("_notices", lambda m: m["label"])).alias("notice_labels"),
         F.coalesce(F.array_max(F.transform("_notices", lambda m: m["score"])), F.lit(0.0)).alias("notice_score"),

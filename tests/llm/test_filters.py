@@ -11,6 +11,28 @@ def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
+def notices_of(words):
+    """(score, label, first, last) of templates in runs of words, from every place that a template's word starts, closest ones."""
+    found = set()
+    for label, text in licenses.TEMPLATES:
+        own, width = set(text.split()), math.ceil(1.25 * len(text.split()))
+        need = licenses.needed(len(own))
+        runs = []
+        for s in range(len(words)):
+            run = words[s : s + width]
+            places = [s + j for j, w in enumerate(run) if w in own]
+            n = len(own & set(run))
+            if places:
+                runs.append((n, places[0] - places[-1], places[0], places[-1], s))
+        for p in range(len(words)):
+            near = [r[:4] for r in runs if p - width < r[4] <= p]
+            if words[p] in own and near and max(near)[0] >= need:
+                n, _, first, last = max(near)
+                found.add((n / len(own), label, first, last))
+    covered = lambda m: any(a[0] > m[0] and 2 * (min(a[3], m[3]) - max(a[2], m[2]) + 1) >= m[3] - m[2] + 1 for a in found)
+    return [m for m in found if not covered(m)]
+
+
 def licenses_of(text):
     words = words_of(text)
     places = [(i, label) for phrase, label in licenses.PHRASES.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
@@ -22,6 +44,9 @@ def licenses_of(text):
         if top >= licenses.CONTAINMENT:
             labels |= {label for s, label in scores if s == top}
             best = max(best, top)
+    notices = notices_of(words)
+    labels |= {label for _, label, _, _ in notices}
+    best = max([best, *[s for s, *_ in notices]])
     starts = [i for i, _ in places]
     return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places})), ",".join(sorted(labels)), 1.0 if places else best
 
@@ -47,6 +72,8 @@ def test_wrapped_and_neighbouring_notices(spark):
     rows += [(10, by_label["gpl"] + " or else " + by_label["bsd"].replace("binary", "other")), (11, "Licensed under CC BY-NC 4.0"), (12, "nothing here"), (13, None)]
     found = {r["doc_id"]: (r["notice_labels"], r["notice_score"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [found[i] for i in range(5)] == [(x, 1.0) for x in ("mit", "bsd", "isc", "gpl", "mpl")]
+    whole = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert whole[0] == ("mit", 1.0) and whole[10][0] == "bsd,gpl"
     assert found[10] == ("bsd,gpl", 1.0) and found[11] == ("cc-by-nc", 1.0) and found[12] == found[13] == ("", 0.0)
 
 
