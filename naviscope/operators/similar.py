@@ -15,7 +15,7 @@ from naviscope.session import materialise
 # Share of the weight that two names must have in common, and of the longer name that may be edited.
 SIMILARITY, EDITS = (6, 10), (1, 4)
 # Pairs of one key from which on longer keys take its place, and the longest key.
-KEY_PAIRS, KEY_LENGTH = 100_000, 4
+KEY_PAIRS, KEY_LENGTH = 5_000, 8
 
 
 def plain_name(x):
@@ -32,7 +32,7 @@ def weighted(names):
     """(side, name, grams, weights, rests, weight) of distinct (side, name): trigrams from the rarest to the most common.
 
     A trigram weighs as many bits as it takes to write how many times rarer than the number of
-    names it is; `rests` is the weight from each trigram to the end.
+    names it is; in `grams` two digits of its weight follow it. `rests` is the weight from each to the end.
     """
     each = materialise(names.select("side", "name", F.explode(trigrams("name")).alias("gram")), "name-trigrams")
     total = names.agg(F.count(F.lit(1)).alias("n_names"))
@@ -40,7 +40,7 @@ def weighted(names):
     # One row; the counts are stored, so that their real size decides how they are joined.
     counts = materialise(counts.join(F.broadcast(total)).withColumn("w", F.length(F.bin(F.expr("n_names div df")))), "trigram-weights")
     rows = each.join(counts, "gram").groupBy("side", "name").agg(F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("t"))
-    rows = rows.select("side", "name", F.col("t.gram").alias("grams"), F.col("t.w").alias("weights"))
+    rows = rows.select("side", "name", F.transform("t", lambda t: F.concat(t["gram"], F.lpad(t["w"].cast("string"), 2, "0"))).alias("grams"), F.col("t.w").alias("weights"))
     rests = "transform(sequence(1, size(weights)), i -> aggregate(slice(weights, i, size(weights)), 0L, (a, x) -> a + x))"
     return rows.withColumn("rests", F.expr(rests)).withColumn("weight", F.col("rests")[0])
 
@@ -86,18 +86,18 @@ def candidate_pairs(rows, key_pairs=KEY_PAIRS):
         sizes = materialise(key_sizes(keys).withColumn("large", many), "key-sizes")
         last = length == KEY_LENGTH
         usable = keys.join(sizes if last else sizes.where("NOT large"), "key")
-        side = lambda s, n: usable.where(F.col("side") == s).select("key", F.col("at").alias(f"{n}_at"), *[F.col(c).alias(f"{n}_{c}") for c in ("name", "grams", "weights", "rests", "weight")])  # noqa: E731, B023
+        side = lambda s, n: usable.where(F.col("side") == s).select("key", F.col("at").alias(f"{n}_at"), *[F.col(c).alias(f"{n}_{c}") for c in ("name", "grams", "rests", "weight", "got")])  # noqa: E731, B023
         pairs = side("l", "left").join(side("r", "right"), "key")
         # Positional filter: the key's trigrams are the first shared ones, the rest can add no more than either has left.
-        shared = F.expr("aggregate(filter(zip_with(left_grams, left_weights, (g, w) -> struct(g, w)), x -> array_contains(right_grams, x.g)), 0L, (a, x) -> a + x.w)")
-        more = F.least(F.expr("left_rests[left_at]"), F.expr("right_rests[right_at]"))
+        ahead = F.least(*[F.coalesce(F.expr(f"get({n}_rests, {n}_at + 1)"), F.lit(0)) for n in ("left", "right")])
         pairs = pairs.where(_reaches(F.least("left_weight", "right_weight"), F.col("left_weight"), F.col("right_weight")))
-        if length == 1:
-            pairs = pairs.where(_reaches(more, F.col("left_weight"), F.col("right_weight")))
-        pairs = pairs.withColumn("shared", shared).where(_reaches(F.col("shared"), F.col("left_weight"), F.col("right_weight")))
+        pairs = pairs.where(_reaches(F.col("left_got") + ahead, F.col("left_weight"), F.col("right_weight")))
+        pairs = pairs.withColumn("common", F.array_intersect("left_grams", "right_grams"))
+        pairs = pairs.withColumn("shared", F.expr("aggregate(common, 0L, (a, x) -> a + int(right(x, 2)))"))
+        pairs = pairs.where(_reaches(F.col("shared"), F.col("left_weight"), F.col("right_weight")))
         # The key must be the first of the shared trigrams, or all of them where it is complete.
-        common = F.array_intersect("left_grams", "right_grams")
-        wanted = F.when(F.endswith("key", F.lit("\u0002")), F.concat(F.array_join(common, "\u0001"), F.lit("\u0002"))).otherwise(F.array_join(F.slice(common, 1, length), "\u0001"))
+        whole = F.endswith("key", F.lit("\u0002"))
+        wanted = F.when(whole, F.concat(F.array_join("common", "\u0001"), F.lit("\u0002"))).otherwise(F.array_join(F.slice("common", 1, length), "\u0001"))
         pairs = pairs.where(F.col("key") == wanted)
         num, den = EDITS
         allowed = F.floor(num * F.greatest(F.length("left_name"), F.length("right_name")) / den).cast("int")
