@@ -27,7 +27,7 @@ def test_query(spark, db, sf_dir, name):
 
 def test_models_are_checked_by_what_must_hold_of_them():
     without = set(QUERIES) - set(oracle_sql())
-    checked = {"forest_checks", "cv_checks"}
+    checked = {"forest_checks", "cv_checks", "forest_saved", "forest_accuracy_checks", "forest_importance_checks"}
     assert without == {n for n in QUERIES if n.startswith(("forest_", "cv_"))} - checked
 
 
