@@ -60,8 +60,9 @@ def framed(url):
 
 def grams(rows, *keep):
     """A row per character of `framed`, with its context: MEMORY + 1 characters."""
-    places = F.sequence(F.lit(1), F.length("framed") - MEMORY)
-    return rows.select(*keep, F.explode(F.transform(places, lambda i: F.substring(F.col("framed"), i, F.lit(MEMORY + 1)))).alias("gram"))
+    # One pass over the URL: at each character, what it begins.
+    overlapping = F.regexp_extract_all("framed", F.lit(f"(?s)(?=(.{{{MEMORY + 1}}}))."), F.lit(1))
+    return rows.select(*keep, F.explode(overlapping).alias("gram"))
 
 
 def model(rows):

@@ -176,6 +176,18 @@ def test_urls(spark, sf_dir):
     assert (only["rule"], only["verdict"]) == (None, "allow")
 
 
+def test_grams_are_all_runs_of_characters(spark):
+    import time
+
+    texts = ["", None, "a", "http://é.org/😀/漢?a=\n1", "😀" * 9, "x" * 200_000]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "uid long, url string").select("uid", urls.framed("url").alias("framed"))
+    start = time.time()
+    found = collections.Counter(map(tuple, urls.grams(rows, "uid").collect()))
+    assert time.time() - start < 60
+    framed = [urls.START * urls.MEMORY + (t or "") + urls.END for t in texts]
+    assert found == collections.Counter((i, t[k : k + urls.MEMORY + 1]) for i, t in enumerate(framed) for k in range(len(t) - urls.MEMORY))
+
+
 def test_url_model_learns_what_rules_say(spark):
     """Held-out accuracy: half of the paths are judged by rules, the rest by the model."""
     rows = [(i, f"http://{'spam' if i % 2 else 'good'}{i % 7}.org/{'pills' if i % 2 else 'story'}-{i}") for i in range(400)]
