@@ -19,6 +19,7 @@ from naviscope.schemas import (
 ORACLES = {}
 
 BLANKS = r"[\s\p{Z}\x0b\x1c-\x1f\x85]"
+# What is no part of a number.
 NOISE = r"(Rs[ ]*\.)|[^\d|.|-]|(Rank[ ]*)"
 
 
