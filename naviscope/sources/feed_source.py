@@ -2,7 +2,8 @@
 
 A file is cut into ranges of `rangeBytes`; a line belongs to the range that holds its first byte, so
 that one huge file is read by many tasks. Columns: file, block (the range's first byte), pos (rising
-with the lines of a range), line. Batch and stream read the same ranges.
+with the lines of a range), line. Batch and stream read the same ranges. Paths are those that Arrow's file
+systems know (local, HDFS and object stores); `feed.read_lines` reads any that Spark does.
 """
 
 import io
