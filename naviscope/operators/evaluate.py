@@ -81,7 +81,8 @@ def box_plot(scores, by, value="f1", large_groups=False):
         q = exact_quantiles(scores, by, value, (0.25, 0.5, 0.75)).withColumnRenamed("quantiles", "__q")
     else:
         q = scores.groupBy(*by).agg(F.percentile(value, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("__q"))
-    q = q.select(*[F.col(c).alias(f"__{c}") for c in by], "__q")
+    # Stored, its size decides how it is joined: few groups are broadcast, and no group's rows meet in one task.
+    q = materialise(q.select(*[F.col(c).alias(f"__{c}") for c in by], "__q"), "quartiles")
     on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
     q1, median, q3 = (F.col("__q")[i] for i in range(3))
     reach = 1.5 * (q3 - q1)

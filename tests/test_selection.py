@@ -68,6 +68,15 @@ def test_box_plots_of_large_groups_are_the_same(spark):
         quantiles.exact_quantiles(df, ["horizon"], "f1", (1.5,))
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_box_plots_do_not_gather_a_group(spark, large):
+    df = spark.range(2_000_000).selectExpr("id % 3 AS g", "double(id % 1001) AS v", "id AS other")
+    assert [tuple(r) for r in evaluate.box_plot(df, ["g"], "v", large).orderBy("g").collect()] == [(g, 250.0, 500.0, 750.0, 0.0, 1000.0, 0) for g in range(3)]
+    plan = evaluate.box_plot(df, ["g"], "v", large)
+    plan = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "formatted")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_samples_have_their_size_whatever_the_partitions(spark):
     rows = [(i, "big" if i % 3 else None, i % 7, "x") for i in range(5000)] + [(9000 + i, "small", 0, "x") for i in range(4)]
     df = spark.createDataFrame(rows, "id long, s string, n long, other string")
