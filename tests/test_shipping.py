@@ -52,3 +52,14 @@ def test_empty_batch():
     run = html.page_parser({"t": (html.parse_selector("p"), "rows")})
     empty = pa.RecordBatch.from_pydict({"page_id": pa.array([], pa.int64()), "html": pa.array([], pa.string())})
     assert next(run([empty])).num_rows == 0
+
+
+def test_batches_are_handed_on_in_parts():
+    run = html.page_parser({"t": (html.parse_selector("table"), "first_table")})
+    bodies = [f"<table><tr>{f'<td>{i}</td>' * (i % 50)}</tr></table>" for i in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"page_id": [*range(1999), None], "html": bodies})
+    parts = list(run([batch]))
+    cells = [sum(len(row) for page in part.column("t").to_pylist() for row in page) for part in parts]
+    assert sum(cells) == sum(i % 50 for i in range(2000)) and max(cells) <= html.CELLS + 50
+    found = [(r["page_id"], [c["text"] for c in r["t"][0]]) for part in parts for r in part.to_pylist()]
+    assert found == [(i if i < 1999 else None, [str(i)] * (i % 50)) for i in range(2000)]
