@@ -50,6 +50,8 @@ def fit(train, num_trees, label="label_bin", max_depth=MAX_DEPTH, leaf_share=LEA
         numTrees=num_trees,
         maxDepth=max_depth,
         minWeightFractionPerNode=leaf_share,
+        # The trees are the same; a row keeps the node it is in and isn't led down each tree at every level.
+        cacheNodeIds=True,
         seed=seed,
     )
     return (learner.setWeightCol(weight) if weight else learner).fit(train)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer
 from pyspark.sql import functions as F
 
@@ -149,6 +150,14 @@ def test_trees_do_not_grow_with_the_rows(spark):
     assert nodes(10_000) < 1.5 * nodes(1_000)
 
 
+def test_rows_keep_their_nodes_while_trees_grow(stored):
+    rows = stored.filter("is_train AND horizon = '1m'")
+    model = forest.fit(rows, 5, max_depth=8)
+    assert model.getCacheNodeIds()
+    led = RandomForestClassifier(featuresCol="features", labelCol="label_bin", numTrees=5, maxDepth=8, minWeightFractionPerNode=forest.LEAF_SHARE, seed=forest.SEED).fit(rows)
+    assert [t.toDebugString.partition("\n")[2] for t in model.trees] == [t.toDebugString.partition("\n")[2] for t in led.trees]
+
+
 def test_balanced_training_finds_more_good_rows(stored):
     def recall(balanced):
         found = forest.predict(stored, forest.fit_horizons(stored, balanced=balanced, max_depth=3))
