@@ -69,6 +69,21 @@ def longer_keys(keys):
     return more.unionByName(alone)
 
 
+def _sharing(pairs):
+    """Pairs whose `shared` weight, that of their `common` trigrams, reaches the threshold."""
+    pairs = pairs.withColumn("common", F.array_intersect("left_grams", "right_grams"))
+    pairs = pairs.withColumn("shared", F.expr("aggregate(common, 0L, (a, x) -> a + int(right(x, 2)))"))
+    return pairs.where(_reaches(F.col("shared"), F.col("left_weight"), F.col("right_weight")))
+
+
+def _verified(pairs):
+    """Pairs few enough edits apart: (left, right, edits, apart)."""
+    num, den = EDITS
+    allowed = F.floor(num * F.greatest(F.length("left_name"), F.length("right_name")) / den).cast("int")
+    pairs = pairs.withColumn("edits", F.levenshtein("left_name", "right_name")).where(F.col("edits") <= allowed)
+    return pairs.select(F.col("left_name").alias("left"), F.col("right_name").alias("right"), "edits", (F.col("left_weight") + F.col("right_weight") - 2 * F.col("shared")).alias("apart"))
+
+
 def key_sizes(keys):
     sides = keys.groupBy("key").agg(F.count_if(F.col("side") == "l").alias("n_left"), F.count_if(F.col("side") == "r").alias("n_right"))
     return sides.where((F.col("n_left") > 0) & (F.col("n_right") > 0))
@@ -92,17 +107,11 @@ def candidate_pairs(rows, key_pairs=KEY_PAIRS):
         ahead = F.least(*[F.coalesce(F.expr(f"get({n}_rests, {n}_at + 1)"), F.lit(0)) for n in ("left", "right")])
         pairs = pairs.where(_reaches(F.least("left_weight", "right_weight"), F.col("left_weight"), F.col("right_weight")))
         pairs = pairs.where(_reaches(F.col("left_got") + ahead, F.col("left_weight"), F.col("right_weight")))
-        pairs = pairs.withColumn("common", F.array_intersect("left_grams", "right_grams"))
-        pairs = pairs.withColumn("shared", F.expr("aggregate(common, 0L, (a, x) -> a + int(right(x, 2)))"))
-        pairs = pairs.where(_reaches(F.col("shared"), F.col("left_weight"), F.col("right_weight")))
+        pairs = _sharing(pairs)
         # The key must be the first of the shared trigrams, or all of them where it is complete.
         whole = F.endswith("key", F.lit("\u0002"))
         wanted = F.when(whole, F.concat(F.array_join("common", "\u0001"), F.lit("\u0002"))).otherwise(F.array_join(F.slice("common", 1, length), "\u0001"))
-        pairs = pairs.where(F.col("key") == wanted)
-        num, den = EDITS
-        allowed = F.floor(num * F.greatest(F.length("left_name"), F.length("right_name")) / den).cast("int")
-        pairs = pairs.withColumn("edits", F.levenshtein("left_name", "right_name")).where(F.col("edits") <= allowed)
-        out.append(pairs.select(F.col("left_name").alias("left"), F.col("right_name").alias("right"), "edits", (F.col("left_weight") + F.col("right_weight") - 2 * F.col("shared")).alias("apart")))
+        out.append(_verified(pairs.where(F.col("key") == wanted)))
         large = sizes.where("large").select("key")
         if last or not large.limit(1).count():
             break
@@ -113,6 +122,29 @@ def candidate_pairs(rows, key_pairs=KEY_PAIRS):
     return pairs
 
 
+def _without_one(name):
+    """Hashes of a name and of what is left of it without each of its characters."""
+    name = F.col(name)
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.length(name)), lambda i: F.xxhash64(F.concat(F.substr(name, F.lit(1), i - 1), F.substr(name, i + 1)))))
+
+
+def near_pairs(rows):
+    """(left, right, edits, apart) as `candidate_pairs` has them: the equal name of a left name, or else all that are one edit from it.
+
+    Names one edit apart are equal when at most one character is taken from each.
+    """
+    lefts, rights = rows.where("side = 'l'"), rows.where("side = 'r'")
+    equal = lefts.select("name").join(rights.select("name"), "name")
+    out = equal.select(F.col("name").alias("left"), F.col("name").alias("right"), F.lit(0).alias("edits"), F.lit(0).cast("long").alias("apart"))
+    others = lefts.join(rights.select("name"), "name", "left_anti")
+    # Hashes stand for names until the pairs are known; what they confuse is told apart below.
+    keys = lambda side, n: side.select(F.xxhash64("name").alias(f"{n}_id"), F.explode(_without_one("name")).alias("key"))
+    found = materialise(keys(others, "left").join(keys(rights, "right"), "key").select("left_id", "right_id").distinct(), "near-keys")
+    named = lambda side, n: side.select(F.xxhash64("name").alias(f"{n}_id"), *[F.col(c).alias(f"{n}_{c}") for c in ("name", "grams", "weight")])
+    pairs = found.join(named(others, "left"), "left_id").join(named(rights, "right"), "right_id")
+    return out.unionByName(_verified(_sharing(pairs)).where("edits <= 1").select(*out.columns))
+
+
 def similar_names(left, right, left_name, right_name, right_id, key_pairs=KEY_PAIRS):
     """Each left row with the right row whose name is most like its own.
 
@@ -127,7 +159,11 @@ def similar_names(left, right, left_name, right_name, right_id, key_pairs=KEY_PA
     rights = materialise(rights.groupBy("right").agg(only, F.count(F.lit(1)).alias("n_candidates")), "right-names")
     names = lefts.select(F.lit("l").alias("side"), F.col("__name").alias("name")).where("name <> ''").distinct()
     names = materialise(names.unionByName(rights.select(F.lit("r").alias("side"), F.col("right").alias("name"))), "names")
-    pairs = candidate_pairs(materialise(weighted(names), "weighted-names"), key_pairs)
+    weighed = materialise(weighted(names), "weighted-names")
+    # Edits come first: a name with a pair here needs no others, and the keys of the rest are shared by fewer.
+    near = materialise(near_pairs(weighed), "near-names")
+    settled = near.select(F.lit("l").alias("side"), F.col("left").alias("name")).distinct()
+    pairs = near.unionByName(candidate_pairs(weighed.join(settled, ["side", "name"], "left_anti"), key_pairs))
     best = pairs.groupBy("left").agg(F.min(F.struct("edits", "apart", "right")).alias("b")).select("left", "b.edits", "b.right")
     # Stored, their size decides whether they are broadcast to the left rows.
     found = materialise(best.join(rights, "right"), "similar-names")

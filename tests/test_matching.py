@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from naviscope.operators import joins, similar
 from naviscope.plans import binding
 from naviscope.plans.catalog import _name_key
+from naviscope.session import materialise
 
 
 def plain(name):
@@ -89,6 +90,24 @@ def test_perturbed_names_find_their_row(spark, sf_dir):
     assert all(r["scheme_idx"] == r["code"] for r in rows if r["code"] % 5 in (0, 1, 3, 4))
 
 
+def test_near_names_need_no_keys(spark, monkeypatch):
+    left = ["alpha fund", "alpha fumd", "alpha fnd", "alphaa fund", "beta fund one", "alhpa fund", "x", "gamma funds", "éa índex"]
+    right = ["alpha fund", "alphb fund", "beta fund two", "gamma fund", "gamma fundz", "y", "ea índex", "éa índexx"]
+    rows = spark.createDataFrame([("l", n) for n in left] + [("r", n) for n in right], "side string, name string")
+    weighed = materialise(similar.weighted(rows), "weighed")
+    pairs = {tuple(r) for r in similar.candidate_pairs(weighed).collect()}
+    equal = {p[0] for p in pairs if p[2] == 0}
+    assert {tuple(r) for r in similar.near_pairs(weighed).collect()} == {p for p in pairs if p[2] == (0 if p[0] in equal else 1)} != set()
+    seen, whole = [], similar.candidate_pairs
+    monkeypatch.setattr(similar, "candidate_pairs", lambda rows, *a: seen.extend(r["name"] for r in rows.where("side = 'l'").collect()) or whole(rows, *a))
+    fed, listed = spark.createDataFrame(list(enumerate(left)), "code long, feed_name string"), spark.createDataFrame(list(enumerate(right)), "scheme_idx long, scheme_name string")
+    found = similar.similar_names(fed, listed, "feed_name", "scheme_name", "scheme_idx").collect()
+    assert sorted(seen) == sorted(set(left) - {p[0] for p in pairs if p[2] <= 1}) and len(seen) < len(left)
+    for r in found:
+        best = min(((e, a, n) for f, n, e, a in pairs if f == r["feed_name"]), default=(None, None, None))
+        assert (r["edits"], r["matched_name"]) == (best[0], best[2])
+
+
 def test_keys_of_many_pairs_grow(spark):
     names = [f"zzz{a}{b} tail{b}{c}" for a in "abcdefgh" for b in "ijklmnop" for c in "qrst"]
     rows = spark.createDataFrame([("l", n) for n in names] + [("r", n) for n in names], "side string, name string")
