@@ -1,9 +1,12 @@
 """Phrase collocations, counted in quotient filters.
 
-Words of at least LEAST occurrences in their language get ids, and texts become rows of such ids, 0
-where a piece ends or a rarer word stands. Level k = 2, 3, ... counts phrases of k words: both its
-phrases of k - 1 words have ids of their own, and the two ids, packed into 64 bits, are its key. A
-phrase that is frequent has only frequent parts, so that nothing countable is lost.
+Texts become rows of places in a dictionary, of which a task makes one per language for as much text as
+it can hold, so that few words go over the network more than once. One shuffle of the dictionaries
+counts the words; those of at least LEAST occurrences in their language get ids, and the rows become
+rows of such ids, 0 where a piece ends or a rarer word stands. Level k = 2, 3, ... counts phrases of k
+words: both its phrases of k - 1 words have ids of their own, and the two ids, packed into no more bits
+than the level's ids take, are its key. A phrase that is frequent has only frequent parts, so that
+nothing countable is lost.
 
 Each row's keys are permuted invertibly and counted in a quotient filter: the upper bits of a key
 say where it stands, only the rest is stored, and both together give the key back. Filters are
@@ -14,7 +17,8 @@ permutation spreads keys evenly, and a row holds a phrase once, so no phrase mak
 import math
 import re
 import sys
-from collections import Counter
+from array import array
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +37,18 @@ LONGEST = 5
 TOP = 2000
 # A row of words is closed once it holds so many (documents stay whole).
 ROW_WORDS = 1 << 18
+# Bytes, about, of the texts and dictionaries that a task holds before it hands the largest on.
+HELD_BYTES, WORD_BYTES = 1 << 26, 120
+# Words of a dictionary that are handed on in a row.
+DICTIONARY_ROW = 1 << 15
 # Texts, and rows of words, that are handed to a worker at a time.
 BATCH_TEXTS, BATCH_ROWS = 1000, 2
 # Entries that a task counts before it hands on filters.
 TASK_ENTRIES = 1 << 21
 # Entries of a slice before merging, about.
 SLICE_ENTRIES = 1 << 20
+# Parts of the words for each slice (as a power of 2), so that tasks get evenly many.
+WORD_PARTS = 4
 # Keys of one level (8 bytes each) up to which they are broadcast; beyond, they are joined.
 BROADCAST_KEYS = 4_000_000
 # Parts into which a language is dealt before its last sort.
@@ -50,77 +60,80 @@ PIECE_ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 U64 = np.uint64
 
 
-def permuted(keys):
-    """An invertible permutation of 64-bit keys."""
-    x = np.asarray(keys, U64)
-    x = (x ^ (x >> U64(32))) * U64(MIX[0])
-    x = (x ^ (x >> U64(32))) * U64(MIX[1])
-    return x ^ (x >> U64(32))
+def permuted(keys, bits=64):
+    """An invertible permutation of keys of so many bits."""
+    x, half, below = np.asarray(keys, U64), U64((bits + 1) // 2), U64((1 << bits) - 1)
+    x = (x ^ (x >> half)) * U64(MIX[0]) & below
+    x = (x ^ (x >> half)) * U64(MIX[1]) & below
+    return x ^ (x >> half)
 
 
-def restored(keys):
-    x = np.asarray(keys, U64)
-    x = (x ^ (x >> U64(32))) * U64(UNMIX[1])
-    x = (x ^ (x >> U64(32))) * U64(UNMIX[0])
-    return x ^ (x >> U64(32))
+def restored(keys, bits=64):
+    x, half, below = np.asarray(keys, U64), U64((bits + 1) // 2), U64((1 << bits) - 1)
+    x = (x ^ (x >> half)) * U64(UNMIX[1]) & below
+    x = (x ^ (x >> half)) * U64(UNMIX[0]) & below
+    return x ^ (x >> half)
 
 
 class QuotientFilter:
-    """Exact counters of sorted distinct 64-bit keys that share their upper `shared` bits.
+    """Exact counters of sorted distinct keys of `bits` bits that share their upper `shared` bits.
 
     A key below these bits is a quotient of `q` bits and a remainder. One bitmap says which
-    quotients occur, one where the run of a quotient ends; remainders take whole bytes, counts
-    one byte, with larger ones aside.
+    quotients occur, one where the run of a quotient ends, one which counts are not 1; remainders
+    take the bits they have, counts but 1 one byte, with larger ones aside.
     """
 
-    def __init__(self, shared, q, size, occupied, run_ends, remainders, counts, large):
-        self.shared, self.q, self.size = shared, q, size
-        self.occupied, self.run_ends, self.remainders, self.counts, self.large = occupied, run_ends, remainders, counts, large
-
-    @staticmethod
-    def width(shared, q):
-        return -(-(64 - shared - q) // 8)
+    def __init__(self, bits, shared, q, size, occupied, run_ends, remainders, repeated, counts, large):
+        self.bits, self.shared, self.q, self.size = bits, shared, q, size
+        self.occupied, self.run_ends, self.remainders, self.repeated, self.counts, self.large = occupied, run_ends, remainders, repeated, counts, large
 
     @classmethod
-    def of(cls, keys, counts, shared=0):
+    def of(cls, keys, counts, shared=0, bits=64):
         n = len(keys)
-        q = min(max(n - 1, 0).bit_length(), 63 - shared)
-        rest = 64 - shared - q
-        below = keys & U64((1 << (64 - shared)) - 1)
+        q = min(max(n - 1, 0).bit_length(), bits - 1 - shared)
+        rest = bits - shared - q
+        below = keys & U64((1 << (bits - shared)) - 1)
         quotient = (below >> U64(rest)).astype(np.int64)
         occupied = np.zeros(1 << q, bool)
         occupied[quotient] = True
         run_ends = np.ones(n, bool)
         run_ends[:-1] = quotient[1:] != quotient[:-1]
-        remainder = (below & U64((1 << rest) - 1)).astype("<u8").view(np.uint8).reshape(n, 8)[:, : cls.width(shared, q)]
-        bits = [np.packbits(b, bitorder="little") for b in (occupied, run_ends)]
-        return cls(shared, q, n, *bits, remainder, np.minimum(counts, 255).astype(np.uint8), counts[counts >= 255].astype("<u8"))
+        remainder = below.astype("<u8").view(np.uint8).reshape(n, 8)[:, : -(-rest // 8)]
+        remainder = np.unpackbits(remainder, axis=1, bitorder="little")[:, :rest].reshape(-1)
+        repeated = counts != 1
+        packed = [np.packbits(b, bitorder="little") for b in (occupied, run_ends, remainder, repeated)]
+        return cls(bits, shared, q, n, *packed, np.minimum(counts[repeated], 255).astype(np.uint8), counts[counts >= 255].astype("<u8"))
 
     def entries(self):
         """(keys without the shared bits, counts), in order."""
+        n, rest = self.size, self.bits - self.shared - self.q
+        width = -(-rest // 8)
         places = np.flatnonzero(np.unpackbits(self.occupied, count=1 << self.q, bitorder="little"))
-        ends = np.unpackbits(self.run_ends, count=self.size, bitorder="little")
+        ends = np.unpackbits(self.run_ends, count=n, bitorder="little")
         run = np.cumsum(ends, dtype=np.int64) - ends
-        whole = np.zeros((self.size, 8), np.uint8)
-        whole[:, : self.remainders.shape[1]] = self.remainders
-        keys = whole.view("<u8").reshape(-1).astype(U64) | places[run].astype(U64) << U64(64 - self.shared - self.q)
-        counts = self.counts.astype(np.int64)
-        counts[self.counts == 255] = self.large
+        remainder = np.zeros((n, 8 * width), np.uint8)
+        remainder[:, :rest] = np.unpackbits(self.remainders, count=n * rest, bitorder="little").reshape(n, rest)
+        whole = np.zeros((n, 8), np.uint8)
+        whole[:, :width] = np.packbits(remainder, axis=1, bitorder="little")
+        keys = whole.view("<u8").reshape(-1).astype(U64) | places[run].astype(U64) << U64(rest)
+        counts = np.ones(n, np.int64)
+        counts[np.unpackbits(self.repeated, count=n, bitorder="little").astype(bool)] = self.counts
+        counts[counts == 255] = self.large
         return keys, counts
 
     def to_bytes(self):
-        head = np.array([self.shared, self.q, self.size], "<u8")
-        return b"".join(x.tobytes() for x in (head, self.occupied, self.run_ends, self.remainders, self.counts, self.large))
+        head = np.array([self.bits, self.shared, self.q, self.size], "<u4")
+        return b"".join(x.tobytes() for x in (head, self.occupied, self.run_ends, self.remainders, self.repeated, self.counts, self.large))
 
     @classmethod
     def from_bytes(cls, data):
-        shared, q, n = np.frombuffer(data, "<u8", 3).tolist()
-        at, parts, width = 24, [], cls.width(shared, q)
-        for size in (-(-(1 << q) // 8), -(-n // 8), n * width, n):
-            parts.append(np.frombuffer(data, np.uint8, size, at))
-            at += size
-        parts[2] = parts[2].reshape(n, width)
-        return cls(shared, q, n, *parts, np.frombuffer(data, "<u8", -1, at))
+        bits, shared, q, n = np.frombuffer(data, "<u4", 4).tolist()
+        at, parts = 16, []
+        for size in (1 << q, n, n * (bits - shared - q), n):
+            parts.append(np.frombuffer(data, np.uint8, -(-size // 8), at))
+            at += len(parts[-1])
+        parts.append(np.frombuffer(data, np.uint8, int(np.unpackbits(parts[-1], count=n, bitorder="little").sum()) if n else 0, at))
+        return cls(bits, shared, q, n, *parts, np.frombuffer(data, "<u8", -1, at + len(parts[-1])))
 
 
 def summed(keys, counts):
@@ -136,38 +149,106 @@ def words_of(text):
     return text.encode().lower().translate(PIECE_ENDS).replace(b"\n", b" \n ").split(b" ")
 
 
+def packed(codes):
+    """Numbers from 0, most of them small, in a byte each; larger ones aside in two, or again in four."""
+    two = codes[codes >= 255] - 255
+    parts = [np.minimum(codes, 255).astype(np.uint8), np.minimum(two, 65535).astype("<u2"), (two[two >= 65535] - 65535).astype("<u4")]
+    return b"".join(x.tobytes() for x in (np.array([len(codes), len(two)], "<u4"), *parts))
+
+
+def unpacked(data):
+    n, n_two = np.frombuffer(data, "<u4", 2).tolist()
+    codes = np.frombuffer(data, np.uint8, n, 8).astype(np.int64)
+    two = np.frombuffer(data, "<u2", n_two, 8 + n).astype(np.int64)
+    two[two == 65535] += np.frombuffer(data, "<u4", -1, 8 + n + 2 * n_two)
+    codes[codes == 255] += two
+    return codes
+
+
+class Dictionary:
+    """The words of one language that a task has read, and its texts as places in them, 0 for the end of a piece."""
+
+    def __init__(self):
+        self.place = defaultdict()
+        self.place.default_factory = self.place.__len__
+        self.codes, self.cuts, self.chars = array("i", [self.place[b"\n"]]), [0], 0
+
+    def add(self, text):
+        self.codes.extend(map(self.place.__getitem__, filter(None, words_of(text))))
+        self.codes.append(0)
+        self.chars += len(text)
+        if len(self.codes) - self.cuts[-1] >= ROW_WORDS:
+            self.cuts.append(len(self.codes))
+
+    def size(self):
+        return self.chars + WORD_BYTES * len(self.place)
+
+    def rows(self):
+        """(words, counts, sequences): words from the most frequent on, which are 1, 2, ... in the packed sequences."""
+        self.place.default_factory = None
+        codes = np.frombuffer(self.codes, "i4")
+        counts = np.bincount(codes, minlength=len(self.place))[1:]
+        order = np.argsort(-counts, kind="stable")
+        rank = np.zeros(len(order) + 1, np.int64)
+        rank[order + 1] = np.arange(1, len(order) + 1)
+        words = list(self.place)
+        edges = [*self.cuts, len(codes)]
+        return [words[i + 1] for i in order.tolist()], counts[order], [packed(rank[codes[i:j]]) for i, j in zip(edges, edges[1:]) if i < j]
+
+
 def word_rows(batches):
-    """Rows of words: row, lang, the row's distinct words, their counts, and the words as places in that list (-1 for an end)."""
-    names = ["row", "lang", "words", "counts", "sequence"]
+    """Rows of a dictionary's words (lang, words, their counts; the first word's place) and of its sequences, each with the dictionary's number."""
+    names = ["row", "dict", "lang", "first", "words", "counts", "sequence"]
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary())
     base, made = TaskContext.get().partitionId() << 32, 0
-    held = {}
+    held, size = {}, 0
 
-    def row(lang):
+    def row(*values):
         nonlocal made
-        tokens = held.pop(lang)
-        counts = Counter(tokens)
-        del counts[b"\n"]
-        place = dict(zip(counts, range(len(counts))))
-        place[b"\n"] = -1
-        sequence = np.fromiter(map(place.__getitem__, tokens), "<i4", len(tokens))
         made += 1
-        values = (base + made, lang, [w.decode() for w in counts], list(counts.values()), sequence.tobytes())
-        kinds = (pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((base + made, *values), kinds)], names)
+
+    def rows(lang):
+        number = base + made + 1
+        words, counts, sequences = held.pop(lang).rows()
+        for i in range(0, len(words), DICTIONARY_ROW):
+            some = slice(i, i + DICTIONARY_ROW)
+            yield row(number, lang, i + 1, [w.decode() for w in words[some]], counts[some], None)
+        for sequence in sequences:
+            yield row(number, None, None, None, None, sequence)
 
     for batch in tidy(batches):
         for lang, text in zip(batch.column(0), batch.column(1)):
             lang, text = lang.as_py(), text.as_py()
             if text:
-                mine = held.setdefault(lang, [])
-                mine += filter(None, words_of(text))
-                mine.append(b"\n")
-                if len(mine) >= ROW_WORDS:
-                    yield row(lang)
-                elif sum(map(len, held.values())) >= 2 * ROW_WORDS:
-                    yield row(max(held, key=lambda k: len(held[k])))
+                mine = held.setdefault(lang, Dictionary())
+                size -= mine.size()
+                mine.add(text)
+                size += mine.size()
+                while size >= HELD_BYTES:
+                    largest = max(held, key=lambda k: held[k].size())
+                    size -= held[largest].size()
+                    yield from rows(largest)
     for lang in list(held):
-        yield row(lang)
+        yield from rows(lang)
+
+
+def known_words(rows, slice_bits, least):
+    """(found, id_bits): each dictionary's words of `least` occurrences and more: dict, place, id, lang, word, f.
+
+    All rows of a word meet in the part that its hash says, which is the upper bits of its id; the lower
+    ones, as many as the largest part asks for, number the words of the part.
+    """
+    part_bits = slice_bits + WORD_PARTS
+    each = rows.select("dict", "lang", "first", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x"))
+    each = each.select("dict", "lang", (F.col("first") + F.col("at")).alias("place"), F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
+    spread = each.withColumn("part", F.pmod(F.xxhash64("lang", "word"), F.lit(1 << part_bits))).repartition("part")
+    counted = spread.withColumn("f", F.sum("n").over(Window.partitionBy("part", "lang", "word"))).where(F.col("f") >= least).drop("n")
+    found = materialise(counted.withColumn("nth", F.dense_rank().over(Window.partitionBy("part").orderBy("lang", "word"))), "found-words")
+    nth_bits = (found.agg(F.max("nth")).first()[0] or 0).bit_length()
+    if part_bits + nth_bits > 32:
+        raise ValueError("too many frequent words for ids of 32 bits")
+    return found.withColumn("id", F.shiftleft(F.col("part").cast("long"), nth_bits) + F.col("nth")).drop("part", "nth"), part_bits + nth_bits
 
 
 def numbered(frequent, order):
@@ -177,47 +258,64 @@ def numbered(frequent, order):
     return out.withColumn("id", F.when(F.col("id") < 1 << 32, F.col("id")).otherwise(F.raise_error(F.lit("more than 2^32 ids")).cast("long")))
 
 
-def id_rows(rows, words):
+def trimmed(ids):
+    """The ids without those that stand alone, which no pair holds, and one 0 between the others."""
+    paired = np.zeros(len(ids) + 1, bool)
+    both = (ids[:-1] > 0) & (ids[1:] > 0)
+    paired[:-2] |= both
+    paired[1:-1] |= both
+    kept = paired[:-1].copy()
+    kept[1:] |= paired[:-2]
+    return np.where(paired[:-1], ids, 0)[kept].astype("<u4")
+
+
+def id_rows(rows, found):
     """(row, ids): the id of each word of a row, 0 for ends and words without one."""
-    local = rows.select("row", "lang", F.posexplode("words").alias("place", "word"))
-    found = local.join(words.select("lang", "word", "id"), ["lang", "word"]).select(F.col("row").alias("of"), "place", "id")
 
     def run(left, right):
         out = []
         place, ids = right.column("place").to_numpy(), right.column("id").to_numpy()
-        size = int(place.max()) + 1 if len(place) else 0
+        size = int(place.max(initial=0)) + 1
         for number, sequence in zip(left.column("row"), left.column("sequence")):
-            at = np.frombuffer(sequence.as_py(), "<i4")
-            table = np.zeros(max(size, int(at.max(initial=-1)) + 1) + 1, "<u4")
+            at = unpacked(sequence.as_py())
+            table = np.zeros(max(size, int(at.max(initial=0)) + 1), "<u4")
             table[place] = ids
-            out.append((number.as_py(), table[at].tobytes()))
+            out.append((number.as_py(), trimmed(table[at]).tobytes()))
         return pa.table({"row": pa.array([o[0] for o in out], pa.int64()), "ids": pa.array([o[1] for o in out], pa.binary())})
 
-    return rows.select("row", "sequence").groupBy("row").cogroup(found.groupBy("of")).applyInArrow(run, "row long, ids binary")
+    sequences = rows.where("sequence is not null").select("dict", "row", "sequence")
+    known = found.select(F.col("dict").alias("of"), "place", "id")
+    return sequences.groupBy("dict").cogroup(known.groupBy("of")).applyInArrow(run, "row long, ids binary")
 
 
-def pair_keys(ids):
-    """(places, keys): where two neighbouring ids both exist, packed into 64 bits."""
+def pair_keys(ids, id_bits=32):
+    """(places, keys): where two neighbouring ids both exist, packed into twice `id_bits` bits."""
     ids = np.frombuffer(ids, "<u4").astype(U64)
     at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-    return at, ids[at] << U64(32) | ids[at + 1]
+    return at, ids[at] << U64(id_bits) | ids[at + 1]
+
+
+def key_bits(slice_bits, id_bits):
+    """The bits of a permuted key: those of a pair, and one more at least than say its slice."""
+    return max(2 * id_bits, slice_bits + 1)
 
 
-def count_pairs(rows, slice_bits):
+def count_pairs(rows, slice_bits, id_bits):
     """(slice, filter): the quotient filters of a task's pairs, cut by the upper bits of the permuted keys."""
+    bits = key_bits(slice_bits, id_bits)
 
     def filters(keys, counts):
-        slices = (keys >> U64(64 - slice_bits)).astype(np.int64) if slice_bits else np.zeros(len(keys), np.int64)
+        slices = (keys >> U64(bits - slice_bits)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(slices)) + 1
         edges = [0, *cuts.tolist(), len(keys)]
-        parts = [(int(slices[i]), QuotientFilter.of(keys[i:j], counts[i:j], slice_bits).to_bytes()) for i, j in zip(edges, edges[1:])]
+        parts = [(int(slices[i]), QuotientFilter.of(keys[i:j], counts[i:j], slice_bits, bits).to_bytes()) for i, j in zip(edges, edges[1:])]
         return pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], ["slice", "filter"])
 
     def run(batches):
         held, size = [], 0
         for batch in tidy(batches, 1):
             for ids in batch.column(0):
-                keys = np.sort(permuted(pair_keys(ids.as_py())[1]))
+                keys = np.sort(permuted(pair_keys(ids.as_py(), id_bits)[1], bits))
                 held.append(summed(keys, np.ones(len(keys), np.int64)))
                 size += len(held[-1][0])
                 if size >= TASK_ENTRIES:
@@ -235,8 +333,9 @@ def _together(parts):
     return summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
 
 
-def merged(filters, slice_bits, least):
+def merged(filters, slice_bits, id_bits, least):
     """(part, left, right, f): the keys whose merged count is `least` or more, taken apart."""
+    bits = key_bits(slice_bits, id_bits)
 
     def run(table):
         number = table.column("slice")[0].as_py()
@@ -250,15 +349,14 @@ def merged(filters, slice_bits, least):
                 keys, counts = _together([(keys, counts), *waiting])
                 waiting, size = [], 0
         kept = counts >= least
-        whole = keys[kept] | U64(number << (64 - slice_bits)) if slice_bits else keys[kept]
-        pair = restored(whole)
-        return pa.table({"part": pa.array(np.full(len(pair), number), pa.int32()), "left": pa.array((pair >> U64(32)).astype(np.int64)), "right": pa.array((pair & U64(0xFFFFFFFF)).astype(np.int64)), "f": pa.array(counts[kept])})
+        pair = restored(keys[kept] | U64(number << (bits - slice_bits)), bits)
+        return pa.table({"part": pa.array(np.full(len(pair), number), pa.int32()), "left": pa.array((pair >> U64(id_bits)).astype(np.int64)), "right": pa.array((pair & U64((1 << id_bits) - 1)).astype(np.int64)), "f": pa.array(counts[kept])})
 
     return filters.groupBy("slice").applyInArrow(run, "part int, left long, right long, f long")
 
 
 def next_rows(rows, level):
-    """(row, ids) one level up: at each place the id of the pair that starts there, 0 if it has none."""
+    """(row, ids) one level up: at each place the id of the pair that starts there, 0 if it has none, trimmed."""
     spark = rows.sparkSession
     pairs = level.select("left", "right", "id")
     if pairs.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
@@ -300,7 +398,7 @@ def _looked_up(ids, sorted_keys, sorted_ids):
     if len(sorted_keys):
         near = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
         out[at] = np.where(sorted_keys[near] == keys, sorted_ids[near], 0)
-    return out.tobytes()
+    return trimmed(out).tobytes()
 
 
 def described(level, parts):
@@ -323,21 +421,21 @@ def phrases(documents, least=LEAST, longest=LONGEST):
     rows = columns(documents, lang="string", text="string").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     spark = documents.sparkSession
     with arrow_records(spark, BATCH_TEXTS):
-        rows = stored_large_rows(rows.mapInArrow(word_rows, "row long, lang string, words array<string>, counts array<long>, sequence binary"), "word-rows")
-    each = rows.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x"))
-    counted = materialise(each.groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("f")), "words")
-    totals = materialise(counted.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+        rows = stored_large_rows(rows.mapInArrow(word_rows, "row long, dict long, lang string, first long, words array<string>, counts array<long>, sequence binary"), "word-rows")
+    totals = rows.where("counts is not null").groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (a, x) -> a + x)")).alias("n"))
+    totals = materialise(totals, "totals")
     everything = totals.agg(F.sum("n")).first()[0] or 0
-    slice_bits = min(31, math.ceil(math.log2(max(8, everything / SLICE_ENTRIES))))
-    frequent = counted.where(F.col("f") >= least).withColumn("part", F.pmod(F.xxhash64("lang", "word"), F.lit(1 << slice_bits)).cast("int"))
-    words = materialise(numbered(materialise(frequent, "frequent-words"), ["lang", "word"]), "word-ids")
+    slice_bits = min(28, math.ceil(math.log2(max(8, everything / SLICE_ENTRIES))))
+    found, id_bits = known_words(rows, slice_bits, least)
+    words = materialise(found.select("id", "lang", "word", "f").distinct(), "words")
     below = words.select("id", "lang", F.array("word").alias("words"), F.array("f").alias("heads"), F.array("f").alias("tails"))
-    rows = stored_large_rows(id_rows(rows, words), "id-rows")
+    rows = stored_large_rows(id_rows(rows, found), "id-rows")
     levels = []
     for k in range(2, longest + 1):
         with arrow_records(spark, BATCH_ROWS):
-            found = materialise(merged(count_pairs(rows, slice_bits), slice_bits, least), f"pairs-{k}")
+            found = materialise(merged(count_pairs(rows, slice_bits, id_bits), slice_bits, id_bits, least), f"pairs-{k}")
         level = materialise(numbered(found, ["left", "right"]), f"pair-ids-{k}")
+        id_bits = max(1, level.count().bit_length())
         below = materialise(described(level, below), f"phrases-{k}")
         levels.append(below)
         if k < longest:

@@ -171,6 +171,54 @@ def test_quotient_filters_give_back_keys_and_counts():
     assert (collocations.restored(collocations.permuted(some)) == some).all()
 
 
+def test_filters_of_pairs_take_the_bits_of_their_ids():
+    rng = np.random.default_rng(3)
+    id_bits, slice_bits = 17, 7
+    bits = collocations.key_bits(slice_bits, id_bits)
+    ids = rng.integers(1, 1 << id_bits, 40_001).astype("<u4")
+    at, pairs = collocations.pair_keys(ids.tobytes(), id_bits)
+    keys = np.unique(collocations.permuted(pairs, bits))
+    assert len(at) == 40_000 and (np.sort(collocations.restored(keys, bits)) == np.unique(pairs)).all()
+    low = np.unique(keys & np.uint64((1 << (bits - slice_bits)) - 1))
+    counts = rng.choice([1, 2, 300], len(low), p=[0.9, 0.09, 0.01])
+    data = collocations.QuotientFilter.of(low, counts, slice_bits, bits).to_bytes()
+    back, found = collocations.QuotientFilter.from_bytes(data).entries()
+    assert (back == low).all() and (found == counts).all() and len(data) < 2.5 * len(low)
+    for n_bits in (1, 2, 9, 33, 64):
+        some = rng.integers(0, 1 << min(n_bits, 63), 500, dtype=np.uint64)
+        moved = collocations.permuted(some, n_bits)
+        assert (collocations.restored(moved, n_bits) == some).all() and (n_bits == 64 or (moved >> np.uint64(n_bits) == 0).all())
+
+
+def test_places_and_ids_are_packed_without_loss():
+    for codes in ([], [0], [254, 255, 256, 65789, 65790, 65791, 10**6], list(range(0, 200_000, 7))):
+        assert collocations.unpacked(collocations.packed(np.array(codes, np.int64))).tolist() == codes
+    assert len(collocations.packed(np.arange(1000) % 200)) < 1100
+    for ids, kept in (([], []), ([5], []), ([0, 5, 0], []), ([1, 2], [1, 2]), ([1, 0, 2, 3, 0, 0, 4, 0, 5, 6, 7], [2, 3, 0, 5, 6, 7]), ([0, 1, 2, 0, 3], [1, 2, 0])):
+        assert collocations.trimmed(np.array(ids, "<u4")).tolist() == kept
+
+
+def test_a_task_hands_each_word_on_once_per_language(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "ROW_WORDS", 100)
+    rows = phrase_rows()
+    df = spark.createDataFrame([("und" if lang is None else lang, t) for lang, t in rows], "lang string, text string").coalesce(1)
+    schema = "row long, dict long, lang string, first long, words array<string>, counts array<long>, sequence binary"
+    found = df.mapInArrow(collocations.word_rows, schema).collect()
+    words = [(r["lang"], w) for r in found for w in r["words"] or ()]
+    assert len(words) == len(set(words)) > 0 and sum(r["sequence"] is not None for r in found) > 20
+    assert len({r["row"] for r in found}) == len(found)
+
+
+def test_collocations_of_many_dictionaries(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "HELD_BYTES", 4000)
+    monkeypatch.setattr(collocations, "ROW_WORDS", 30)
+    monkeypatch.setattr(collocations, "DICTIONARY_ROW", 3)
+    rows = phrase_rows()
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    found = collocations.collocations(df, 5, 2000).collect()
+    assert keyed(found) == keyed(plain_phrases(rows, 5, 2000)) and found
+
+
 def test_scores_pass_64_bits(spark):
     big = 10**12
     rows = [("en", ["x", "y"], big, [3 * big, big], [2 * big, big], True)]
