@@ -188,6 +188,16 @@ def test_grams_are_all_runs_of_characters(spark):
     assert found == collections.Counter((i, t[k : k + urls.MEMORY + 1]) for i, t in enumerate(framed) for k in range(len(t) - urls.MEMORY))
 
 
+def test_pieces_of_urls_are_not_broadcast(spark, monkeypatch):
+    """However small the files of URLs and model are: their pieces may be millions."""
+    plans, write = {}, urls.materialise
+    explain = lambda df: df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    monkeypatch.setattr(urls, "materialise", lambda df, name: plans.update({name: explain(df)}) or write(df, name))
+    rows = spark.range(2000).selectExpr("id AS page_id", "concat('http://a', id % 9, '.org/', repeat('x', 200)) AS url")
+    assert urls.judge(rows).count() == 2000
+    assert "Generate" in plans["url-scores"] and "Broadcast" not in plans["url-scores"]
+
+
 def test_url_model_learns_what_rules_say(spark):
     """Held-out accuracy: half of the paths are judged by rules, the rest by the model."""
     rows = [(i, f"http://{'spam' if i % 2 else 'good'}{i % 7}.org/{'pills' if i % 2 else 'story'}-{i}") for i in range(400)]
