@@ -1,10 +1,12 @@
 """Names of two sources matched by similarity, without comparing all pairs.
 
 A name is the set of its character trigrams, each weighted by its rarity. Two names whose weighted
-Jaccard similarity reaches the threshold share a trigram within the rare beginning (the prefix) of
-both, so candidates come from an equi-join on prefix trigrams, and the pair is made once, at the
-first trigram they share. A key with too many pairs is replaced by longer ones, of that trigram
-and the next one shared, and so on; edit distance verifies what is left.
+Jaccard similarity reaches the threshold share so much weight that neither can miss more than a
+bounded part of its own. So candidates come from an equi-join on the rarest trigram they share,
+which stands within the rare beginning (the prefix) of both. How long a prefix must be depends on
+the other name's weight, so names are joined by classes of weight. A key with too many pairs is
+replaced by longer ones, of that trigram and the next one shared, and so on; keys are hashes, and
+what is left is compared by edit distance and by all trigrams.
 """
 
 from pyspark.sql import functions as F
@@ -16,6 +18,10 @@ from naviscope.session import materialise
 SIMILARITY, EDITS = (6, 10), (1, 4)
 # Pairs of one key from which on longer keys take its place, and the longest key.
 KEY_PAIRS, KEY_LENGTH = 5_000, 8
+# Pairs for each name of a key from which on it takes less to look at longer keys.
+NAME_PAIRS = 2
+# How many times as much as the lightest the heaviest name of a class of weight has, at most.
+CLASS_WIDTH = 1.08
 
 
 def plain_name(x):
@@ -32,17 +38,20 @@ def weighted(names):
     """(side, name, grams, weights, rests, weight) of distinct (side, name): trigrams from the rarest to the most common.
 
     A trigram weighs as many bits as it takes to write how many times rarer than the number of
-    names it is; in `grams` two digits of its weight follow it. `rests` is the weight from each to the end.
+    names it is; in `grams` two digits of its weight follow it. Only trigrams that both sides have
+    are listed; `weight` is that of all. `rests` is the weight from each to the end.
     """
     each = materialise(names.select("side", "name", F.explode(trigrams("name")).alias("gram")), "name-trigrams")
     total = names.agg(F.count(F.lit(1)).alias("n_names"))
-    counts = each.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    sides = [F.count_if(F.col("side") == s) for s in "lr"]
+    counts = each.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), ((sides[0] > 0) & (sides[1] > 0)).alias("both"))
     # One row; the counts are stored, so that their real size decides how they are joined.
     counts = materialise(counts.join(F.broadcast(total)).withColumn("w", F.length(F.bin(F.expr("n_names div df")))), "trigram-weights")
-    rows = each.join(counts, "gram").groupBy("side", "name").agg(F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("t"))
-    rows = rows.select("side", "name", F.transform("t", lambda t: F.concat(t["gram"], F.lpad(t["w"].cast("string"), 2, "0"))).alias("grams"), F.col("t.w").alias("weights"))
-    rests = "transform(sequence(1, size(weights)), i -> aggregate(slice(weights, i, size(weights)), 0L, (a, x) -> a + x))"
-    return rows.withColumn("rests", F.expr(rests)).withColumn("weight", F.col("rests")[0])
+    listed = F.when(F.col("both"), F.struct("df", "gram", "w"))
+    rows = each.join(counts, "gram").groupBy("side", "name").agg(F.array_sort(F.collect_list(listed)).alias("t"), F.sum("w").alias("weight"))
+    rows = rows.select("side", "name", F.transform("t", lambda t: F.concat(t["gram"], F.lpad(t["w"].cast("string"), 2, "0"))).alias("grams"), F.col("t.w").alias("weights"), "weight")
+    rests = "reverse(aggregate(reverse(weights), array(0L), (a, x) -> array_append(a, element_at(a, -1) + x)))"
+    return rows.select("side", "name", "grams", "weights", F.expr(f"slice({rests}, 1, size(weights))").alias("rests"), "weight")
 
 
 def _reaches(shared, left, right):
@@ -51,21 +60,49 @@ def _reaches(shared, left, right):
     return den * shared >= num * (left + right - shared)
 
 
+def _class(weight):
+    return F.floor(F.log(weight) / F.log(F.lit(CLASS_WIDTH))).cast("int")
+
+
+def _hashed(rows):
+    return rows.withColumn("id", F.xxhash64("name"))
+
+
 def first_keys(rows):
-    """Each name's prefix trigrams: side, name, key, at (place of the key's last trigram), got (the key's weight) ..."""
+    """Each name's prefix trigrams: side, id, key, at (place of the key's last trigram), got (the key's weight), ahead
+    (the weight behind it), weight, whole (False).
+    """
     num, den = SIMILARITY
-    keys = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("grams") - 1)))
-    keys = keys.where(den * F.expr("rests[at]") >= num * F.col("weight"))
-    return keys.withColumn("key", F.expr("grams[at]")).withColumn("got", F.expr("weights[at]").cast("long"))
+    keys = _hashed(rows).withColumn("at", F.explode(F.expr(f"filter(sequence(0, size(rests)), i -> i < size(rests) AND {den} * rests[i] >= {num} * weight)")))
+    keys = keys.withColumn("key", F.xxhash64(F.expr("grams[at]"))).withColumn("got", F.expr("weights[at]").cast("long"))
+    return keys.select("side", "id", "key", "at", "got", _ahead(), "weight", F.lit(False).alias("whole"))
 
 
-def longer_keys(keys):
-    """Keys one trigram longer. A name that its key alone can carry keeps it too, marked as complete."""
+def classed_keys(keys, rows):
+    """First keys for each class of weight of the other side that can be met there; `least` is the weight that must be shared."""
     num, den = SIMILARITY
-    more = keys.withColumn("next", F.explode(F.expr("filter(sequence(0, size(grams)), i -> i > at)")))
-    more = more.where((F.col("next") < F.size("grams")) & (den * (F.col("got") + F.expr("rests[next]")) >= num * F.col("weight")))
-    more = more.withColumn("key", F.expr("concat(key, '\\u0001', grams[next])")).withColumn("got", F.col("got") + F.expr("weights[next]")).withColumn("at", F.col("next")).drop("next")
-    alone = keys.where(den * F.col("got") >= num * F.col("weight")).withColumn("key", F.concat("key", F.lit("\u0002")))
+    # As many rows as there are classes: the logarithm of a weight.
+    classes = materialise(rows.groupBy("side", _class("weight").alias("other")).agg(F.min("weight").alias("low")), "weight-classes")
+    classes = classes.select(F.when(F.col("side") == "l", "r").otherwise("l").alias("side"), "other", "low")
+    keys = keys.withColumn("of", _class("weight")).join(F.broadcast(classes), "side")
+    # What two names share is no more than the lighter one's weight.
+    low = F.greatest("low", F.ceil(num * F.col("weight") / den))
+    keys = keys.withColumn("least", F.ceil(num * (F.col("weight") + low) / (num + den))).where("got + ahead >= least")
+    pair = [F.when(F.col("side") == "l", F.col(c)).otherwise(F.col(d)) for c, d in (("of", "other"), ("other", "of"))]
+    return keys.withColumn("key", F.xxhash64("key", *pair)).drop("of", "other", "low")
+
+
+def _ahead():
+    return F.coalesce(F.expr("get(rests, at + 1)"), F.lit(0)).cast("long").alias("ahead")
+
+
+def longer_keys(keys, rows):
+    """Keys one trigram longer. A name that its key alone can carry keeps it too, marked as whole."""
+    more = keys.join(_hashed(rows).select("side", "id", "grams", "weights", "rests"), ["side", "id"])
+    more = more.withColumn("at", F.explode(F.expr("filter(sequence(at + 1, size(rests)), i -> i < size(rests) AND got + rests[i] >= least)")))
+    more = more.withColumn("key", F.xxhash64("key", F.expr("grams[at]"))).withColumn("got", F.col("got") + F.expr("weights[at]"))
+    more = more.select(*[c for c in keys.columns if c != "ahead"], _ahead()).select(*keys.columns)
+    alone = keys.where("got >= least").withColumn("key", F.xxhash64("key", F.lit("whole"))).withColumn("ahead", F.lit(0).cast("long")).withColumn("whole", F.lit(True))
     return more.unionByName(alone)
 
 
@@ -85,41 +122,49 @@ def _verified(pairs):
 
 
 def key_sizes(keys):
-    sides = keys.groupBy("key").agg(F.count_if(F.col("side") == "l").alias("n_left"), F.count_if(F.col("side") == "r").alias("n_right"))
+    sides = keys.groupBy("key").agg(F.count_if(F.col("side") == "l").alias("n_left"), F.count_if(F.col("side") == "r").alias("n_right"), F.max("whole").alias("whole"))
     return sides.where((F.col("n_left") > 0) & (F.col("n_right") > 0))
 
 
 def candidate_pairs(rows, key_pairs=KEY_PAIRS):
     """(left, right, edits, apart): pairs whose weighted similarity reaches the threshold; `apart` is the weight not shared.
 
-    Each pair comes from one key: the trigrams that the two share, from the rarest on.
+    A pair meets at the trigrams that the two share, from the rarest on, and may meet at others too.
     """
-    out, keys = [], materialise(first_keys(rows), "name-keys")
+    out, keys = [], materialise(classed_keys(first_keys(rows), rows), "name-keys")
     for length in range(1, KEY_LENGTH + 1):
-        # A complete key can't grow: its pairs share nothing else.
-        many = (F.col("n_left") * F.col("n_right") > key_pairs) & ~F.endswith("key", F.lit("\u0002"))
-        sizes = materialise(key_sizes(keys).withColumn("large", many), "key-sizes")
+        # A whole key can't grow: its pairs share nothing else.
+        n, pairs = F.col("n_left") + F.col("n_right"), F.col("n_left") * F.col("n_right")
+        sizes = materialise(key_sizes(keys).withColumn("large", (pairs > F.least(F.lit(key_pairs), NAME_PAIRS * n)) & ~F.col("whole")), "key-sizes")
         last = length == KEY_LENGTH
-        usable = keys.join(sizes if last else sizes.where("NOT large"), "key")
-        side = lambda s, n: usable.where(F.col("side") == s).select("key", F.col("at").alias(f"{n}_at"), *[F.col(c).alias(f"{n}_{c}") for c in ("name", "grams", "rests", "weight", "got")])  # noqa: E731, B023
-        pairs = side("l", "left").join(side("r", "right"), "key")
+        usable = keys.join((sizes if last else sizes.where("NOT large")).select("key"), "key")
+        side = lambda s, n: usable.where(F.col("side") == s).select("key", *[F.col(c).alias(f"{n}_{c}") for c in ("id", "got", "ahead", "weight")])  # noqa: E731, B023
         # Positional filter: the key's trigrams are the first shared ones, the rest can add no more than either has left.
-        ahead = F.least(*[F.coalesce(F.expr(f"get({n}_rests, {n}_at + 1)"), F.lit(0)) for n in ("left", "right")])
-        pairs = pairs.where(_reaches(F.least("left_weight", "right_weight"), F.col("left_weight"), F.col("right_weight")))
-        pairs = pairs.where(_reaches(F.col("left_got") + ahead, F.col("left_weight"), F.col("right_weight")))
-        pairs = _sharing(pairs)
-        # The key must be the first of the shared trigrams, or all of them where it is complete.
-        whole = F.endswith("key", F.lit("\u0002"))
-        wanted = F.when(whole, F.concat(F.array_join("common", "\u0001"), F.lit("\u0002"))).otherwise(F.array_join(F.slice("common", 1, length), "\u0001"))
-        out.append(_verified(pairs.where(F.col("key") == wanted)))
+        met = side("l", "left").join(side("r", "right"), "key")
+        met = met.where(_reaches(F.col("left_got") + F.least("left_ahead", "right_ahead"), F.col("left_weight"), F.col("right_weight")))
+        out.append(materialise(met.select("left_id", "right_id").distinct(), "met-names"))
         large = sizes.where("large").select("key")
         if last or not large.limit(1).count():
             break
-        keys = materialise(longer_keys(keys.join(large, "key")), "name-keys")
-    pairs = out[0]
+        keys = materialise(longer_keys(keys.join(large, "key"), rows), "name-keys")
+    met = out[0]
     for part in out[1:]:
-        pairs = pairs.unionByName(part)
-    return pairs
+        met = met.unionByName(part)
+    return _compared(met.distinct(), rows)
+
+
+def _compared(met, rows):
+    """(left, right, edits, apart) of the pairs among (left_id, right_id), hashes of names, that are alike."""
+    num, den = EDITS
+    rows = _hashed(rows)
+    side = lambda s, n, *more: rows.where(F.col("side") == s).select(F.col("id").alias(f"{n}_id"), *[F.col(c).alias(f"{n}_{c}") for c in ("name", *more)])
+    # Names first: most pairs end here, before their trigrams are fetched.
+    pairs = met.join(side("l", "left"), "left_id").join(side("r", "right"), "right_id")
+    allowed = F.floor(num * F.greatest(F.length("left_name"), F.length("right_name")) / den).cast("int")
+    pairs = pairs.where((F.abs(F.length("left_name") - F.length("right_name")) <= allowed) & (F.levenshtein("left_name", "right_name") <= allowed))
+    grams = [side(s, n, "grams", "weight").drop(f"{n}_id") for s, n in (("l", "left"), ("r", "right"))]
+    pairs = materialise(pairs.select("left_name", "right_name"), "close-names").join(grams[0], "left_name").join(grams[1], "right_name")
+    return _verified(_sharing(pairs))
 
 
 def _without_one(name):
@@ -163,7 +208,8 @@ def similar_names(left, right, left_name, right_name, right_id, key_pairs=KEY_PA
     # Edits come first: a name with a pair here needs no others, and the keys of the rest are shared by fewer.
     near = materialise(near_pairs(weighed), "near-names")
     settled = near.select(F.lit("l").alias("side"), F.col("left").alias("name")).distinct()
-    pairs = near.unionByName(candidate_pairs(weighed.join(settled, ["side", "name"], "left_anti"), key_pairs))
+    others = materialise(weighed.join(settled, ["side", "name"], "left_anti"), "other-names")
+    pairs = near.unionByName(candidate_pairs(others, key_pairs))
     best = pairs.groupBy("left").agg(F.min(F.struct("edits", "apart", "right")).alias("b")).select("left", "b.edits", "b.right")
     # Stored, their size decides whether they are broadcast to the left rows.
     found = materialise(best.join(rights, "right"), "similar-names")

@@ -118,6 +118,20 @@ def test_keys_of_many_pairs_grow(spark):
     assert pairs.count() == pairs.distinct().count() == similar.candidate_pairs(weighed, 10**9).count()
 
 
+def test_few_pairs_are_compared(spark, monkeypatch):
+    """Names that differ in a number only: the pairs of all keys stay near the number of names, not its square."""
+    kinds = [f"{a} {b} fund" for a in ("blue", "large", "cold") for b in ("ring", "gear", "plate", "bolt")]
+    right = [f"{kinds[i % 12]} series {i}" for i in range(1000, 4000)]
+    left = [f"{kinds[i % 12]} series {i} growth" for i in range(1000, 4000, 3)]
+    sizes, write = [], similar.materialise
+    monkeypatch.setattr(similar, "materialise", lambda df, name: sizes.append(write(df, name)) or sizes[-1] if name == "key-sizes" else write(df, name))
+    fed, listed = spark.createDataFrame(list(enumerate(left)), "code long, feed_name string"), spark.createDataFrame(list(enumerate(right)), "scheme_idx long, scheme_name string")
+    found = similar.similar_names(fed, listed, "feed_name", "scheme_name", "scheme_idx").collect()
+    assert all((r["matched_name"], r["edits"]) == (r["feed_name"].removesuffix(" growth"), 7) for r in found)
+    pairs = sum(s.where("NOT large").agg(F.sum(F.col("n_left") * F.col("n_right"))).first()[0] or 0 for s in sizes)
+    assert pairs < 20 * (len(left) + len(right)), pairs
+
+
 def test_empty_sources(spark):
     fed = spark.createDataFrame([(1, "a b")], "code long, feed_name string")
     listed = spark.createDataFrame([], "scheme_idx long, scheme_name string")
